@@ -4,19 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import chat, gif, packing, simhash, token_files
 from .common import table
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op2_gif_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gif.op2(table(spark, sf_dir, "documents"))
+
+
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.op5(table(spark, sf_dir, "conversations"))
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.op6(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.op10(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op10_simhash_near_dedup,)}
+    return {f.__name__: f for f in (op1_packing, op2_gif_columns, op5_chat_formatting, op6_token_files, op10_simhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_chat_formatting": chat.SQL}
