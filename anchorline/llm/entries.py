@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, gif, packing, simhash, token_files
+from . import chat, gif, mixing, packing, quality, simhash, token_files
 from .common import table
 
 
@@ -27,12 +27,20 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.op6(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.op8(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.op9(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.op10(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_gif_columns, op5_chat_formatting, op6_token_files, op10_simhash_near_dedup)}
+    return {f.__name__: f for f in (op1_packing, op2_gif_columns, op5_chat_formatting, op6_token_files, op8_quality_rules, op9_mixing_sources, op10_simhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
