@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, gif, mixing, packing, quality, simhash, token_files
+from . import chat, gif, mixing, packing, quality, simhash, substring_dedup, token_files
 from .common import table
 
 
@@ -19,6 +19,10 @@ def op2_gif_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gif.op2(table(spark, sf_dir, "documents"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.op3(table(spark, sf_dir, "documents"))
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.op5(table(spark, sf_dir, "conversations"))
 
@@ -40,7 +44,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_gif_columns, op5_chat_formatting, op6_token_files, op8_quality_rules, op9_mixing_sources, op10_simhash_near_dedup)}
+    return {f.__name__: f for f in (op1_packing, op2_gif_columns, op3_substring_dedup, op5_chat_formatting, op6_token_files, op8_quality_rules, op9_mixing_sources, op10_simhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
