@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, gif, mixing, packing, quality, simhash, substring_dedup, token_files
+from . import chat, gif, lm_bloom, mixing, packing, quality, simhash, substring_dedup, token_files
 from .common import table
 
 
@@ -31,6 +31,10 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.op6(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_bloom.scored(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.op8(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -44,7 +48,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_gif_columns, op3_substring_dedup, op5_chat_formatting, op6_token_files, op8_quality_rules, op9_mixing_sources, op10_simhash_near_dedup)}
+    return {f.__name__: f for f in (op1_packing, op2_gif_columns, op3_substring_dedup, op5_chat_formatting, op6_token_files, op7_lm_scoring, op8_quality_rules, op9_mixing_sources, op10_simhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
