@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, gif, lm_bloom, mixing, packing, quality, simhash, substring_dedup, token_files
+from . import chat, gif, langid, lm_bloom, mixing, packing, quality, simhash, substring_dedup, token_files
 from .common import table
 
 
@@ -23,6 +23,10 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.op3(table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.op4(table(spark, sf_dir, "documents"))
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.op5(table(spark, sf_dir, "conversations"))
 
@@ -48,7 +52,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_gif_columns, op3_substring_dedup, op5_chat_formatting, op6_token_files, op7_lm_scoring, op8_quality_rules, op9_mixing_sources, op10_simhash_near_dedup)}
+    return {f.__name__: f for f in (op1_packing, op2_gif_columns, op3_substring_dedup, op4_language_id, op5_chat_formatting, op6_token_files, op7_lm_scoring, op8_quality_rules, op9_mixing_sources, op10_simhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -27,7 +27,7 @@ from . import common
 
 BUCKETS, TRUSTED = 1 << 15, 100_000
 #: Mean log ratio from which a document is kept; pseudo-count on both sides of a ratio.
-THRESHOLD, PSEUDO = -0.08, 5.0
+THRESHOLD, PSEUDO = -0.07, 20.0
 MIN_WORDS, MAX_REPEATED = 50, 50
 
 

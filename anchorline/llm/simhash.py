@@ -1,10 +1,11 @@
 """SimHash near-duplicates through deletion-variant signatures.
 
-A 64-bit fingerprint is cut into two segments of 32 bits.  Of two fingerprints
-that differ in at most three bits, one segment differs in at most one.  So every
-distinct fingerprint is indexed under both segments as they are and under every
-segment variant with one bit made a wildcard; an equality on such a key brings
-together all candidates, and the full distance is verified.
+A 64-bit fingerprint is cut into segments.  Of two fingerprints that differ in
+fewer than twice as many bits as there are segments, one segment differs in at
+most one bit: two segments of 32 bits do for three bits, four of 16 for seven.
+So every distinct fingerprint is indexed under its segments as they are and under
+every segment variant with one bit made a wildcard; an equality on such a key
+brings together all candidates, and the full distance is verified.
 
 Within the members of a key the links are verified as a search that leaves a
 spanning forest, never all pairs.  A key with more than ``block`` members is cut
@@ -13,7 +14,8 @@ an unbounded group and no link is lost.
 
 Defined results: null or blank text has fingerprint zero and links like any
 other; rows with the same id or text each get a row; an empty table gives an
-empty result; columns other than ``doc_id`` and ``text`` are not read.
+empty result; columns other than ``doc_id`` and ``text`` are not read but pass
+through ``survivors``.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -68,17 +71,20 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(of, "doc_id long, fp long")
 
 
-def keyed(fps: DataFrame) -> DataFrame:
-    """(key, fp, side): both segments as they are, and each with one bit as a wildcard (side: that bit)."""
+def keyed(fps: DataFrame, segments: int) -> DataFrame:
+    """(key, fp, side, whole): the segments as they are, and each with one bit as a wildcard (side: that bit)."""
+    width = 64 // segments
     variants = []
-    for s in (0, 1):
-        segment = F.shiftrightunsigned("fp", 32) if s else F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF))
+    for s in range(segments):
+        segment = F.shiftrightunsigned("fp", s * width).bitwiseAND(F.lit((1 << width) - 1))
         # a key holds the segment in its low 32 bits, then the variant's number
-        variants.append(F.struct(segment.bitwiseOR(F.lit((s * 33 + 32) << 32)).alias("key"), F.lit(0).alias("side")))
-        for p in range(32):
-            rest = segment.bitwiseAND(F.lit(0xFFFFFFFF ^ (1 << p)))
-            variants.append(F.struct(rest.bitwiseOR(F.lit((s * 33 + p) << 32)).alias("key"), F.shiftright(segment, p).bitwiseAND(F.lit(1)).cast("int").alias("side")))
-    return fps.select("fp", F.explode(F.array(*variants)).alias("v")).select("v.key", "v.side", "fp")
+        number = s * (width + 1)
+        variants.append(F.struct(segment.bitwiseOR(F.lit((number + width) << 32)).alias("key"), F.lit(0).alias("side"), F.lit(True).alias("whole")))
+        for p in range(width):
+            rest = segment.bitwiseAND(F.lit(((1 << width) - 1) ^ (1 << p)))
+            side = F.shiftright(segment, p).bitwiseAND(F.lit(1)).cast("int")
+            variants.append(F.struct(rest.bitwiseOR(F.lit((number + p) << 32)).alias("key"), side.alias("side"), F.lit(False).alias("whole")))
+    return fps.select("fp", F.explode(F.array(*variants)).alias("v")).select("v.key", "v.side", "v.whole", "fp")
 
 
 def spanning(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
@@ -99,13 +105,13 @@ def spanning(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
 
 def links(fps: DataFrame, distance: int = 3, block: int = 256) -> DataFrame:
     """(a, b): links among distinct fingerprints that leave the same components as all links."""
-    if not 0 <= distance <= 3:
-        raise ValueError("two segments with one wildcard find differences of at most three bits")
-    members = keyed(fps)
+    segments = next(m for m in (2, 4, 8) if distance < 2 * m)
+    # a few bytes become many rows: more tasks than their size alone would get
+    members = keyed(fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp"), segments)
     # a wildcard key counts if both values of its bit occur: equal segments meet under the segment's own key
     shared = (
-        members.groupBy("key").agg(F.count("*").alias("n"), F.min("side").alias("low"), F.max("side").alias("high"))
-        .where((F.col("n") > 1) & (((F.shiftright("key", 32) % 33) == 32) | (F.col("low") < F.col("high")))).select("key", "n")
+        members.groupBy("key").agg(F.count("*").alias("n"), F.min("side").alias("low"), F.max("side").alias("high"), F.first("whole").alias("whole"))
+        .where((F.col("n") > 1) & (F.col("whole") | (F.col("low") < F.col("high")))).select("key", "n")
     )
     held = members.join(shared, "key").select("key", "fp", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     mine = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
@@ -166,17 +172,74 @@ def components(edges: DataFrame) -> DataFrame:
     return tied.select(F.col("a").alias("node"), "root").unionByName(tied.select(F.col("root").alias("node"), "root").distinct())
 
 
-def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 3) -> DataFrame:
-    """(doc_id, fp, component_id) for each row: the least doc_id reachable over links of at most ``distance`` bits."""
-    prints = common.saved(fingerprints(docs, width), "fingerprints")
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
+def labelled(prints: DataFrame, distance: int) -> DataFrame:
+    """(fp, component_id) for rows (doc_id, fp): the least doc_id reachable over links of at most ``distance`` bits."""
+    distinct = common.saved(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     rooted = components(links(distinct.select("fp"), distance))
     labels = distinct.join(rooted.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     labels = common.saved(labels, "roots")
     least = labels.groupBy("root").agg(F.min("first").alias("component_id"))
-    return prints.join(labels.join(least, "root").select("fp", "component_id"), "fp", "left").select("doc_id", "fp", "component_id")
+    return labels.join(least, "root").select("fp", "component_id")
+
+
+def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 3) -> DataFrame:
+    """(doc_id, fp, component_id) for each row, on runs of ``width`` words."""
+    prints = common.saved(fingerprints(docs, width), "fingerprints")
+    return prints.join(labelled(prints, distance), "fp", "left").select("doc_id", "fp", "component_id")
 
 
 def op10(docs: DataFrame) -> DataFrame:
     found = near_duplicates(docs)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+# ---- keeping one document of each group -----------------------------------------
+
+#: A word that more than this share of the documents have tells no copies apart; there
+#: are at most (mean distinct words of a document) / SHARE such words, whatever the corpus.
+SHARE = 0.05
+#: The telling words count if they are at least so many and one in so many of a text's words;
+#: else, as in the middle of a large group of copies, the text's word pairs do.
+FEW, PART = 8, 3
+#: Bits: of pairs with a similarity of 0.8 or more on five-word shingles nine in ten differ in at most so many.
+COPY_BITS = 6
+
+
+def telling_hashes(text: str | None, everywhere: np.ndarray) -> np.ndarray:
+    """XXH64 of the distinct words that few documents have, or of the distinct word pairs; of the whole of a very short text."""
+    found = np.unique(shingle_hashes(text, 1))
+    rare = found[~np.isin(found, everywhere)]
+    if len(rare) >= max(FEW, len(found) / PART):
+        return rare
+    return np.unique(shingle_hashes(text, 2)) if len(found) > FEW else shingle_hashes(text, 1 << 62)
+
+
+def words_everywhere(docs: DataFrame) -> np.ndarray:
+    """Hashes of the words that over SHARE of all documents have."""
+    schema = pa.schema([("h", pa.int64()), ("n", pa.int64())])
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [np.unique(shingle_hashes(t.as_py(), 1)) for t in batch.column(0)]
+            h, n = np.unique(np.concatenate(own), return_counts=True)
+            yield from common.emit(schema, [h.view(np.int64), n])
+
+    least = SHARE * docs.count()
+    found = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(of, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") > least)
+    return np.array([r.h for r in found.select("h").collect()], dtype=np.int64).view(np.uint64)
+
+
+def survivors(docs: DataFrame) -> DataFrame:
+    """One row of each group of copies and near copies, that of the least doc_id, with all its columns."""
+    spark = docs.sparkSession
+    common.on_workers(spark)
+    everywhere = spark.sparkContext.broadcast(words_everywhere(docs))
+
+    @F.pandas_udf("long")
+    def telling(texts: pd.Series) -> pd.Series:
+        return pd.Series([fingerprint(telling_hashes(t, everywhere.value)) for t in texts], dtype="int64")
+
+    printed = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_id"), telling(F.col("text").cast("string")).alias("fp"))
+    labels = labelled(common.saved(printed.select(F.col("_id").alias("doc_id"), "fp"), "fingerprints"), COPY_BITS)
+    first = printed.join(labels, "fp").where(F.col("_id").eqNullSafe(F.col("component_id")))
+    return first.dropDuplicates(["_id", "component_id"]).select("_row.*")

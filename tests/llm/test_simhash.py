@@ -81,3 +81,35 @@ def test_chain_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100)], "a long, b long")
     got = {r.node: r.root for r in simhash.components(edges).collect()}
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100}
+
+
+def test_seven_bits_over_four_segments(spark):
+    rng = random.Random(11)
+    pairs = []
+    for _ in range(150):
+        f = rng.getrandbits(64)
+        g = f
+        for b in rng.sample(range(64), rng.randint(1, 7)):
+            g ^= 1 << b
+        pairs.append((f, g))
+    sign = lambda f: f - (1 << 64) if f >> 63 else f
+    df = spark.createDataFrame([(sign(x),) for p in pairs for x in p], "fp long").distinct()
+    found = {frozenset((r.a, r.b)) for r in simhash.links(df, distance=7).collect()}
+    assert {frozenset((sign(a), sign(b))) for a, b in pairs} <= found
+
+
+def test_one_row_of_each_group_stays(spark):
+    rng = random.Random(1)
+    base = [" ".join(f"v{rng.randrange(10**6)}" for _ in range(200)) for _ in range(15)]
+    rows = []
+    for i in range(45):
+        words = base[i % 15].split()
+        if i >= 15:
+            words[rng.randrange(200)] = f"edit{i}"
+        rows.append((100 + i, " ".join(words), i, "x"))
+    rows += [(7, rows[3][1], 900, "copy"), (200, None, 1, "n"), (201, "", 2, "n"), (202, "short one", 3, "s"), (203, "short two", 4, "s"), (203, "short two", 5, "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, fp int, root string")
+    out = simhash.survivors(df)
+    assert out.columns == df.columns
+    assert sorted(r.doc_id for r in out.collect()) == sorted([7, *(100 + i for i in range(15) if i != 3), 200, 202, 203])
+    assert simhash.survivors(df.limit(0)).count() == 0
