@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES: tuple = ()
+from . import event_locked
+
+MODULES = (event_locked,)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
