@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import event_locked
+from . import alignment, event_locked
 
-MODULES = (event_locked,)
+MODULES = (event_locked, alignment)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
