@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import with_checkpoints
+
 
 def bucketed_range_join(points: DataFrame, ranges: DataFrame, keys: Sequence[str], time: str, low: str, high: str, width: int) -> DataFrame:
     """Inner join on ``keys`` where low <= time < high, all integers.
@@ -54,6 +56,7 @@ def mutual_best(pairs: DataFrame, keys: Sequence[str], left: str, right: str, sc
     """
     best_left = Window.partitionBy(*keys, left).orderBy(F.desc(score), right)
     best_right = Window.partitionBy(*keys, right).orderBy(F.desc(score), left)
+    with_checkpoints(pairs.sparkSession)
     rest, found = pairs, None
     for _ in range(rounds):
         ranked = rest.withColumn("_l", F.row_number().over(best_left)).withColumn("_r", F.row_number().over(best_right))

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import alignment, event_locked
+from . import alignment, curations, event_locked, populations
 
-MODULES = (event_locked, alignment)
+MODULES = (event_locked, alignment, populations, curations)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

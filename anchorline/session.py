@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -16,3 +18,11 @@ def session(master: str | None = None, **conf: str) -> SparkSession:
         "spark.sql.adaptive.skewJoin.enabled": "true",
     }
     return builder.config(map=defaults | conf).getOrCreate()
+
+
+def with_checkpoints(spark: SparkSession) -> SparkSession:
+    """The session with a checkpoint folder: the one it names, a temporary one only if it names none."""
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="anchorline-"))
+    return spark
