@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import alignment, curations, event_locked, populations
+from . import alignment, curations, event_locked, exports, populations
 
-MODULES = (event_locked, alignment, populations, curations)
+MODULES = (event_locked, alignment, populations, curations, exports)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
