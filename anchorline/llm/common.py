@@ -60,7 +60,7 @@ def words(text: Column) -> Column:
 def n_words(text: Column) -> Column:
     """size(words(text)) without building the words: the pieces less an empty one at either end."""
     text = F.coalesce(text, F.lit(""))
-    pieces = F.split(F.regexp_replace(text, f"^{BLANKS}+|{BLANKS}+$", ""), BLANKS + "+")
+    pieces = F.split(F.regexp_replace(text, rf"\A{BLANKS}+|{BLANKS}+\z", ""), BLANKS + "+")
     return F.when(text.rlike(f"[^{BLANKS[1:-1]}]"), F.size(pieces)).otherwise(0).cast("long")
 
 
