@@ -101,9 +101,9 @@ def density(points: DataFrame, x: str, y: str, cells: int, reach: float) -> Data
 
 def quantile_summary(rows: DataFrame, run: str, label: str, value: str, points: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """Quantiles per (run, label) and per run over all labels (ALL), in one pass of grouping sets."""
-    columns = [f"percentile({value}, {p}) AS p{int(100 * p)}" for p in points]
-    rows.createOrReplaceTempView("_summary_rows")
-    return rows.sparkSession.sql(f"SELECT {run}, IF(grouping({label}) = 1, 'ALL', {label}) AS {label}, count({value}) AS n, {', '.join(columns)} FROM _summary_rows GROUP BY GROUPING SETS (({run}, {label}), ({run}))")
+    sets = rows.groupingSets([[run, label], [run]], run, label)
+    found = sets.agg(F.grouping(label).alias("_all"), F.count(value).alias("n"), *(F.percentile(value, p).alias(f"p{int(100 * p)}") for p in points))
+    return found.withColumn(label, F.when(F.col("_all") == 1, "ALL").otherwise(F.col(label))).drop("_all")
 
 
 def fixation(trials: DataFrame, eye: DataFrame, interval_ms: float, window: float, least: float = 0.999) -> DataFrame:
