@@ -106,4 +106,6 @@ def op8(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def filtered(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are kept, with all their columns."""
     inner = docs.select("doc_id", "text", F.struct("*").alias("_row"))
-    return measured(inner, weights(docs, labels)).where("kept").select("_row.*")
+    # the task's number keeps the filter above the measures: pushed below them it would work them out anew for every element
+    found = measured(inner, weights(docs, labels)).withColumn("_task", F.spark_partition_id())
+    return found.where("kept AND _task >= 0").select("_row.*")
