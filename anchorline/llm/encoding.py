@@ -11,19 +11,27 @@ from __future__ import annotations
 import functools
 import json
 import os
+import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Distinct pieces that a worker remembers; beyond it the cache starts anew.
-CACHED = 800_000
+#: Distinct pieces that a worker remembers, about 200 bytes each; beyond it only those that came again stay.
+CACHED = 900_000
 #: Longer pieces are encoded but not remembered.
 LONGEST = 80
+#: Marks a text's first piece; texts that hold it take the careful way.
+FIRST = "\x01"
+#: White space other than single blanks and line feeds between other characters.
+SIDE_BY_SIDE = "  |\\n\\n| \\n|\\n |[ \\n]$|^[ \\n]|[\\x00\\x01\\t\\r\\x0b\\x0c\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
 
 
 class Encoder:
     """Ids as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached: int = CACHED):
+        self.cached = cached
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -34,52 +42,108 @@ class Encoder:
         #: Whether blanks belong to tokens (byte-level vocabularies) or are dropped.
         self.keeps_blanks = kind["type"] == "ByteLevel"
         self.cache: dict[str, bytes] = {}
+        self.again: set[str] = set()
+        # what parts pieces when many are encoded at once: a character that is one token wherever it stands between blanks
+        marks = ["\n"] if self.keeps_blanks else ["§", "¶", "|", "~"]
+        ids = {m: self.tokenizer.encode(m, add_special_tokens=False).ids for m in marks}
+        self.mark = next(m for m in marks if len(ids[m]) == 1)
+        # pieces with blanks inside, or the mark, are encoded one by one
+        self.is_odd = re.compile(f"^$|^[\\s{self.mark}]$|.[\\s{self.mark}]|^[\\n{self.mark}]", re.DOTALL).search
+        self.mark_id, self.between = ids[self.mark][0], self.mark if self.keeps_blanks else f" {self.mark} "
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self._pieces(text) for text in texts]
-        wanted = set().union(*cut)
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts one after another, and where each text's ids begin and the last ones end.
+
+        Cutting and finding the distinct pieces is Arrow's work; Python sees each
+        distinct piece of the batch once.
+        """
+        # a copy that begins at its buffers' beginning: not every function minds a slice's offset
+        texts = pc.take(pc.fill_null(texts.cast(pa.large_string()), ""), pa.array(np.arange(len(texts))))
+        if self.keeps_blanks:
+            odd = pc.match_substring_regex(texts, SIDE_BY_SIDE).to_numpy(zero_copy_only=False)
+            # the first piece has no blank before it and is marked, a line feed stays with its piece
+            cut = pc.split_pattern(pc.binary_join_element_wise(pa.scalar(FIRST, pa.large_string()), pc.replace_substring(texts, "\n", " \n"), pa.scalar("", pa.large_string())), " ")
+        else:
+            odd = np.zeros(len(texts), bool)
+            cut = pc.split_pattern(pc.ascii_lower(pc.replace_substring(texts, "\n", " ")), " ")
+        bounds = cut.offsets.to_numpy()
+        pieces = cut.values.slice(int(bounds[0]), int(bounds[-1] - bounds[0])).dictionary_encode()
+        distinct = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if self.keeps_blanks:
+            distinct = [p if p[:1] == "\n" else p[1:] if p[:1] == FIRST else " " + p for p in distinct]
+        ids = self._lookup(distinct)
+        flat = np.frombuffer(b"".join(ids), dtype="<u4")
+        sizes = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
+        starts, at = np.cumsum(sizes, dtype=np.int32) - sizes, pieces.indices.to_numpy()
+        n = sizes[at]
+        ends = np.cumsum(n, dtype=np.int64)
+        out = flat[np.repeat((starts[at] - (ends - n)).astype(np.int32), n) + np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)]
+        offsets = np.concatenate([[0], ends])[bounds - bounds[0]]
+        return self._mended(texts, odd, out, offsets) if odd.any() else (out, offsets)
+
+    def _lookup(self, distinct: list[str]) -> list[bytes]:
+        wanted = set(distinct)
         new = wanted.difference(self.cache)
-        if len(self.cache) + len(new) > CACHED:
-            self.cache.clear()
-            new = wanted
+        if len(self.cache) + len(new) > self.cached:
+            # pieces that came again stay, unless they fill the cache by themselves
+            kept = self.again if len(self.again) + len(new) < 0.7 * self.cached else ()
+            self.cache = {p: self.cache[p] for p in kept if p in self.cache}
+            self.again = set()
+            new = wanted.difference(self.cache)
+        else:
+            self.again.update(wanted.difference(new))
         self._learn(new)
-        found = [np.frombuffer(b"".join(map(self.cache.__getitem__, pieces)), dtype="<u4") for pieces in cut]
+        found = list(map(self.cache.__getitem__, distinct))
         for p in new:
             if len(p) > LONGEST:
                 del self.cache[p]
         return found
 
+    def _mended(self, texts: pa.Array, odd: np.ndarray, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same with the odd texts, where blanks stand side by side, encoded from pieces that keep those blanks together."""
+        parts = [ids[a:b] for a, b in zip(offsets, offsets[1:])]
+        for i in np.flatnonzero(odd).tolist():
+            parts[i] = np.frombuffer(b"".join(self._lookup(self._pieces(texts[i].as_py()))), dtype="<u4")
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+
     def _learn(self, new: set[str]) -> None:
-        """Adds pieces to the cache; a comma or full stop after a letter is a piece of its own."""
+        """Adds pieces to the cache; a comma or full stop after a letter is a piece of its own, and so is a line feed."""
+        cache = self.cache
         marked = [p for p in new if p[-1:] in {",", "."} and len(p) > 1 and p[-2] < "\u0250" and p[-2].lower().isalpha()]
-        pieces = list(new.difference(marked).union((p[:-1] for p in marked), ",.").difference(self.cache))
-        for e, part in zip(self.tokenizer.encode_batch([pieces[i : i + 500] for i in range(0, len(pieces), 500)], is_pretokenized=True, add_special_tokens=False), range(0, len(pieces), 500)):
-            here = pieces[part : part + 500]
-            ids = np.array(e.ids, dtype="<u4").tobytes()
-            at = (4 * np.searchsorted(np.array(e.word_ids, dtype=np.int64), np.arange(len(here) + 1))).tolist()
-            self.cache.update((p, ids[i:j]) for p, i, j in zip(here, at, at[1:]))
-        self.cache.update([(p, self.cache[p[:-1]] + self.cache[p[-1]]) for p in marked])
+        pieces = new.difference(marked).union((p[:-1] for p in marked), ",.").difference(cache)
+        lines = [p for p in pieces if p[:1] == "\n" and len(p) > 1 and not p[1].isspace()] if self.keeps_blanks else []
+        pieces = pieces.difference(lines).union((p[1:] for p in lines), "\n").difference(cache)
+        odd = list(filter(self.is_odd, pieces))
+        plain = list(pieces.difference(odd))
+        for at in range(0, len(plain), 500):
+            here = plain[at : at + 500]
+            [e] = self.tokenizer.encode_batch_fast([self.between.join(here)], add_special_tokens=False)
+            ids = np.array(e.ids, dtype="<u4")
+            cuts = np.flatnonzero(ids == self.mark_id).tolist()
+            if len(cuts) != len(here) - 1:
+                odd += here
+                continue
+            raw = ids.tobytes()
+            cache.update((p, raw[4 * i : 4 * j]) for p, i, j in zip(here, [0, *(c + 1 for c in cuts)], [*cuts, len(ids)]))
+        cache.update((p, np.array(e.ids, dtype="<u4").tobytes()) for p, e in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)))
+        cache.update([(p, cache["\n"] + cache[p[1:]]) for p in lines])
+        cache.update([(p, cache[p[:-1]] + cache[p[-1]]) for p in marked])
 
     def _pieces(self, text: str) -> list[str]:
-        if not self.keeps_blanks:
-            # the vocabulary is lower case, so A-Z need no pieces of their own
-            return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass").replace("\n", " ").split(" ")
+        """A cut is right where a character that is no blank stands on both sides of the blank."""
         if "\0" in text:
             return [text]
         pieces = text.replace("\n", "\0\n").replace(" ", "\0 ").split("\0")
-        # a cut is right where a character that is no blank stands on both sides of the blank
-        if text[-1:].isspace() or any(p[1:2].isspace() or p[-1:].isspace() for p in set(pieces)):
-            joined = pieces[:1]
-            for p in pieces[1:]:
-                if len(p) < 2 or p[1].isspace() or joined[-1][-1:].isspace():
-                    joined[-1] += p
-                else:
-                    joined.append(p)
-            return joined
-        return pieces
+        joined = pieces[:1]
+        for p in pieces[1:]:
+            if len(p) < 2 or p[1].isspace() or joined[-1][-1:].isspace():
+                joined[-1] += p
+            else:
+                joined.append(p)
+        return joined
 
 
 @functools.lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, cached: int = CACHED) -> Encoder:
     """The worker's encoder for a tokenizer file."""
-    return Encoder(path)
+    return Encoder(path, cached)

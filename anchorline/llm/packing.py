@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .encoding import encoder
+from .encoding import CACHED, encoder
 
 LENGTH, END_ID = 2048, 1
 #: Truncation penalties in tokens of padding.
@@ -132,18 +132,19 @@ class Packer:
         return rows
 
 
-def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
-    """A row for each piece of a document in a sequence; ``tokenizer`` is a file's path."""
+def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = END_ID, cached: int = CACHED) -> DataFrame:
+    """A row for each piece of a document in a sequence; ``tokenizer`` is a file's path, ``cached`` bounds a worker's memory."""
     common.on_workers(docs.sparkSession)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = encoder(tokenizer)
+        codes = encoder(tokenizer, cached)
         stops = [codes.tokenizer.token_to_id(mark + end) for mark in ".!?" for end in ("</w>", "")]
         packer = Packer(TaskContext.get().partitionId(), length, np.array([s for s in stops if s is not None], dtype=np.uint32))
-        for batch in common.slices(batches, 200):
+        for batch in common.slices(batches, 1000):
             rows = []
-            for doc_id, ids in zip(batch.column(0).to_pylist(), codes.encode([x or "" for x in batch.column(1).to_pylist()])):
-                rows += packer.add(doc_id, np.append(ids, np.uint32(end_id)))
+            ids, at = codes.encode(batch.column(1))
+            for doc_id, a, b in zip(batch.column(0).to_pylist(), at.tolist(), at[1:].tolist()):
+                rows += packer.add(doc_id, np.append(ids[a:b], np.uint32(end_id)))
             if rows:
                 yield from common.emit(ARROW, list(zip(*rows)))
         if rows := packer.flush(open_end=False):

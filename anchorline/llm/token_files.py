@@ -44,12 +44,13 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> N
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, shard, first = encoder(tokenizer), TaskContext.get().partitionId(), 0
-        for batch in common.slices(batches, 200):
-            ids = [np.append(x, np.uint32(end_id)).astype(np.int32) for x in codes.encode([t or "" for t in batch.column(1).to_pylist()])]
-            sizes = np.array([len(x) for x in ids])
-            ends = np.cumsum(sizes)
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(np.concatenate(ids)))
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(np.full(len(ids), shard, np.int32)), pa.array(first + ends - sizes), pa.array(sizes.astype(np.int32)), lists], schema=ARROW)
+        for batch in common.slices(batches, 1000):
+            ids, at = codes.encode(batch.column(1))
+            ends = at[1:] + np.arange(1, len(at))  # with an end id after each text
+            ids = np.insert(ids.astype(np.int32), at[1:], end_id)
+            sizes = np.diff(ends, prepend=0)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(ids))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.full(len(ends), shard, np.int32)), pa.array(first + ends - sizes), pa.array(sizes.astype(np.int32)), lists], schema=ARROW)
             first += int(ends[-1])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("tie"))

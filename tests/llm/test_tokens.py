@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -19,13 +20,17 @@ def plain(path, texts):
 
 
 @pytest.mark.parametrize("path", [BYTE, WORD])
-def test_pieces_give_the_same_ids(path, monkeypatch):
-    monkeypatch.setattr(encoding, "CACHED", 3000)
+def test_pieces_give_the_same_ids(path):
     rng = random.Random(1)
     texts = ["", " ", "x" * 500, *("".join(rng.choices(BITS, k=rng.randint(0, 12))) for _ in range(6000))]
-    mine = encoding.Encoder(path)
-    got = [x.tolist() for i in range(0, len(texts), 300) for x in mine.encode(texts[i : i + 300])]
+    mine = encoding.Encoder(path, cached=3000)
+    got, whole = [], pa.array(texts)
+    for i in range(0, len(texts), 300):
+        ids, at = mine.encode(whole.slice(i, 300))
+        got += [ids[a:b].tolist() for a, b in zip(at, at[1:])]
     assert got == plain(path, texts)
+    ids, at = mine.encode(pa.array([None, "a"], pa.string()))
+    assert at.tolist() == [0, 0, len(ids)] and mine.encode(pa.array([], pa.string()))[1].tolist() == [0]
 
 
 def some_texts(n=120):
