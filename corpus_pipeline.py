@@ -33,8 +33,8 @@ def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of at most 2048 tokens."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """Pieces of documents in sequences of at most 2048 tokens; the workers, which serve all stages, remember fewer pieces."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), cached=150_000)
 
 
 STAGES = [
