@@ -64,11 +64,16 @@ def n_words(text: Column) -> Column:
     return F.when(text.rlike(f"[^{BLANKS[1:-1]}]"), F.size(pieces)).otherwise(0).cast("long")
 
 
-def slices(batches: Iterable[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that a few long texts are in memory at once."""
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 500, size: int = 32 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches cut to at most ``rows`` rows and, above one row, ``size`` bytes: few long texts are in memory at once."""
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        at = 0
+        while at < batch.num_rows:
+            n = min(rows, batch.num_rows - at)
+            while n > 1 and batch.slice(at, n).nbytes > size:
+                n //= 2
+            yield batch.slice(at, n)
+            at += n
 
 
 def emit(schema: pa.Schema, columns: list, rows: int = 50_000) -> Iterator[pa.RecordBatch]:

@@ -1,6 +1,7 @@
 import re
 import zlib
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from anchorline.llm import common
@@ -25,3 +26,11 @@ def test_written_tables_come_back(spark):
     df = spark.createDataFrame([(1, None)], "a long, b string")
     again = common.saved(df, "t")
     assert again.dtypes == df.dtypes and [tuple(r) for r in again.collect()] == [(1, None)]
+
+
+def test_slices_are_bounded_and_whole():
+    texts = ["x" * n for n in (10, 5000, 10, 10, 20000, 3, 0, 7)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["t"])
+    parts = list(common.slices([batch, batch.slice(0, 0)], rows=3, size=6000))
+    assert [t for p in parts for t in p.column(0).to_pylist()] == texts
+    assert all(p.num_rows <= 3 and (p.num_rows == 1 or p.nbytes <= 6000) for p in parts)
