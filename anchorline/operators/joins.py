@@ -49,22 +49,36 @@ def anchor_before(points: DataFrame, anchors: DataFrame, keys: Sequence[str], ti
     return both.withColumn(anchor, F.last("_a", ignorenulls=True).over(order)).where("_side = 1").select(*points.columns, anchor)
 
 
-def mutual_best(pairs: DataFrame, keys: Sequence[str], left: str, right: str, score: str, rounds: int = 50) -> DataFrame:
+def mutual_best(pairs: DataFrame, keys: Sequence[str], left: str, right: str, score: str) -> DataFrame:
     """One-to-one pairs: rows that are the best of both their sides, taken out, until none is left.
 
-    Equal scores go to the smaller ids.  Every round is cut off by a checkpoint.
+    Equal scores go to the smaller ids.  Where a group of lefts and a group of rights
+    have each other, and nothing else, as their best, all are taken in one round, the
+    k-th with the k-th, as rounds of one pair each would.  Every round is cut off by
+    a checkpoint.
     """
-    best_left = Window.partitionBy(*keys, left).orderBy(F.desc(score), right)
-    best_right = Window.partitionBy(*keys, right).orderBy(F.desc(score), left)
+    of_left, of_right = Window.partitionBy(*keys, left), Window.partitionBy(*keys, right)
     with_checkpoints(pairs.sparkSession)
-    rest, found = pairs, None
-    for _ in range(rounds):
-        ranked = rest.withColumn("_l", F.row_number().over(best_left)).withColumn("_r", F.row_number().over(best_right))
-        taken = ranked.where("_l = 1 AND _r = 1").drop("_l", "_r").checkpoint()
+    rest, found, done = pairs, None, 0
+    while True:
+        ranked = rest.withColumn("_l", F.row_number().over(of_left.orderBy(F.desc(score), right))).withColumn("_r", F.row_number().over(of_right.orderBy(F.desc(score), left)))
+        # what is best on a side, as a set
+        ranked = ranked.withColumn("_tl", F.col(score) == F.max(score).over(of_left)).withColumn("_tr", F.col(score) == F.max(score).over(of_right))
+        for name, top, other, side in (("_sl", "_tl", right, of_left), ("_sr", "_tr", left, of_right)):
+            ranked = ranked.withColumn(name, F.struct(F.count(F.when(F.col(top), 1)).over(side).alias("n"), F.bit_xor(F.when(F.col(top), F.xxhash64(other))).over(side).alias("h")))
+        # the best ones of a side all have this side among their best, and the same set of best
+        for name, top, back, theirs, side in (("_cl", "_tl", "_tr", "_sr", of_left), ("_cr", "_tr", "_tl", "_sl", of_right)):
+            theirs = F.when(F.col(top), F.col(theirs))
+            ranked = ranked.withColumn(name, F.min(F.when(F.col(top), F.col(back))).over(side) & (F.min(theirs).over(side) == F.max(theirs).over(side)))
+        tied = F.col("_tl") & F.col("_tr") & F.col("_cl") & F.col("_cr") & (F.col("_l") == F.col("_r"))
+        taken = ranked.where(tied | ((F.col("_l") == 1) & (F.col("_r") == 1))).select(*pairs.columns).checkpoint()
         if taken.isEmpty():
             break
+        done += 1
         found = taken if found is None else found.unionByName(taken)
-        rest = rest.join(taken.select(*keys, left), [*keys, left], "left_anti").join(taken.select(*keys, right), [*keys, right], "left_anti")
+        if done % 20 == 0:
+            found = found.checkpoint()
+        rest = rest.join(taken.select(*keys, left), [*keys, left], "left_anti").join(taken.select(*keys, right), [*keys, right], "left_anti").checkpoint()
     return pairs.limit(0) if found is None else found
 
 

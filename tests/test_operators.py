@@ -152,6 +152,20 @@ def test_mutual_best_is_greedy_by_similarity(spark):
     assert found == want
 
 
+def test_mutual_best_pairs_all_copies_and_ties(spark):
+    rng = random.Random(4)
+    sims = [(0, i, 100 + j, 1.0) for i in range(60) for j in range(60)]
+    sims += [(1, i, j, float(rng.randrange(3))) for i in range(14) for j in range(11) if rng.random() < 0.7]
+    found = {(r.k, r.a, r.b) for r in joins.mutual_best(spark.createDataFrame(sims, "k int, a int, b int, s double"), ["k"], "a", "b", "s").collect()}
+    want, left, right = set(), set(), set()
+    for k, i, j, _ in sorted(sims, key=lambda x: (x[0], -x[3], x[1], x[2])):
+        if (k, i) not in left and (k, j) not in right:
+            want.add((k, i, j))
+            left.add((k, i))
+            right.add((k, j))
+    assert found == want and sum(k == 0 for k, _, _ in found) == 60
+
+
 def test_updates(spark):
     units = spark.createDataFrame([(1, "SUA", True), (2, "MUA", True)], "unit_id long, unittype string, is_visual boolean")
     updates = spark.createDataFrame([(1, "MUA", False, None), (2, "MUA", None, False), (99, "SUA", None, None)], "unit_id long, unittype string, is_visual boolean, keep boolean")
