@@ -178,13 +178,13 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def labelled(prints: DataFrame, distance: int) -> DataFrame:
-    """(fp, component_id) for rows (doc_id, fp): the least doc_id reachable over links of at most ``distance`` bits."""
+    """(fp, component_id, root) for rows (doc_id, fp): the least doc_id reachable over links of at most ``distance`` bits."""
     distinct = common.saved(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     rooted = components(links(distinct.select("fp"), distance))
     labels = distinct.join(rooted.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     labels = common.saved(labels, "roots")
     least = labels.groupBy("root").agg(F.min("first").alias("component_id"))
-    return labels.join(least, "root").select("fp", "component_id")
+    return labels.join(least, "root").select("fp", "component_id", "root")
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 3) -> DataFrame:
@@ -244,7 +244,21 @@ def survivors(docs: DataFrame) -> DataFrame:
     def telling(texts: pd.Series) -> pd.Series:
         return pd.Series([fingerprint(telling_hashes(t, everywhere.value)) for t in texts], dtype="int64")
 
-    printed = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_id"), telling(F.col("text").cast("string")).alias("fp"))
-    labels = labelled(common.saved(printed.select(F.col("_id").alias("doc_id"), "fp"), "fingerprints"), COPY_BITS)
-    first = printed.join(labels, "fp").where(F.col("_id").eqNullSafe(F.col("component_id")))
-    return first.dropDuplicates(["_id", "component_id"]).select("_row.*")
+    printed = keys(docs).withColumn("fp", telling(F.col("text").cast("string")))
+    light = common.saved(printed.select("_none", "_id", "_th", "fp"), "fingerprints")
+    labels = labelled(light.select(F.when(~F.col("_none"), F.col("_id")).alias("doc_id"), "fp"), COPY_BITS)
+    first = light.join(labels, "fp").groupBy("root").agg(F.min(F.struct("_none", "_id", "_th")).alias("first"))
+    return rows_of(docs, first.select("first.*")).select("_row.*")
+
+
+def keys(docs: DataFrame) -> DataFrame:
+    """_none, _id and _th, which tell rows with different ids or texts apart in the order of ids, nulls last; the text."""
+    text = F.col("text").cast("string")
+    doc_id = F.col("doc_id").cast("long")
+    return docs.select(F.struct("*").alias("_row"), doc_id.isNull().alias("_none"), F.coalesce(doc_id, F.lit(0)).alias("_id"), F.xxhash64(text).alias("_th"), text.alias("text"))
+
+
+def rows_of(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """A row of ``docs`` for each key in ``chosen``, with what else ``chosen`` has."""
+    on = ["_none", "_id", "_th"]
+    return keys(docs).join(chosen, on).dropDuplicates(on)

@@ -113,3 +113,13 @@ def test_one_row_of_each_group_stays(spark):
     assert out.columns == df.columns
     assert sorted(r.doc_id for r in out.collect()) == sorted([7, *(100 + i for i in range(15) if i != 3), 200, 202, 203])
     assert simhash.survivors(df.limit(0)).count() == 0
+
+
+def test_texts_without_ids_or_with_one_id_all_stay(spark):
+    rng = random.Random(9)
+    texts = [" ".join(f"n{rng.randrange(10**6)}" for _ in range(120)) for _ in range(12)]
+    rows = [(None, t, i) for i, t in enumerate(texts[:8])] + [(5, t, i) for i, t in enumerate(texts[8:])]
+    rows += [(None, texts[0], 50), (5, texts[9], 51), (None, texts[10], 52)]
+    out = simhash.survivors(spark.createDataFrame(rows, "doc_id long, text string, n int")).collect()
+    assert sorted(r.text for r in out) == sorted(texts)
+    assert {r.doc_id for r in out if r.text in texts[8:]} == {5}
