@@ -12,8 +12,12 @@ spanning forest, never all pairs.  A key with more than ``block`` members is cut
 into blocks and every pair of blocks becomes a group of its own, so no task holds
 an unbounded group and no link is lost.
 
+``survivors`` does not use the fingerprints: it takes candidates from min-hashes of
+the sets of five-word shingles and keeps a link only if the sets themselves have a
+Jaccard similarity of ``SIMILAR`` or more.
+
 Defined results: null or blank text has fingerprint zero and links like any
-other; rows with the same id or text each get a row; an empty table gives an
+other; for ``survivors`` all null and blank texts are copies of each other; rows with the same id or text each get a row; an empty table gives an
 empty result; columns other than ``doc_id`` and ``text`` are not read but pass
 through ``survivors``.
 """
@@ -23,7 +27,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -178,13 +181,13 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def labelled(prints: DataFrame, distance: int) -> DataFrame:
-    """(fp, component_id, root) for rows (doc_id, fp): the least doc_id reachable over links of at most ``distance`` bits."""
+    """(fp, component_id) for rows (doc_id, fp): the least doc_id reachable over links of at most ``distance`` bits."""
     distinct = common.saved(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     rooted = components(links(distinct.select("fp"), distance))
     labels = distinct.join(rooted.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     labels = common.saved(labels, "roots")
     least = labels.groupBy("root").agg(F.min("first").alias("component_id"))
-    return labels.join(least, "root").select("fp", "component_id", "root")
+    return labels.join(least, "root").select("fp", "component_id")
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 3) -> DataFrame:
@@ -200,54 +203,105 @@ def op10(docs: DataFrame) -> DataFrame:
 
 # ---- keeping one document of each group -----------------------------------------
 
-#: A word that more than this share of the documents have tells no copies apart; there
-#: are at most (mean distinct words of a document) / SHARE such words, whatever the corpus.
-SHARE = 0.05
-#: The telling words count if they are at least so many and one in so many of a text's words;
-#: else, as in the middle of a large group of copies, the text's word pairs do.
-FEW, PART = 8, 3
-#: Bits: of pairs with a similarity of 0.8 or more on five-word shingles nine in ten differ in at most so many.
-COPY_BITS = 6
+#: Words of a shingle, and the similarity of the sets of shingles from which texts are near copies, as a fraction.
+WIDTH, SIMILAR = 5, (4, 5)
+#: A band is equal if so many min-hashes are; a pair with a similarity of 0.8 has no equal band once in 150,000.
+BANDS, BAND_ROWS = 30, 5
+FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+PRINTS = pa.schema([("_none", pa.bool_()), ("_id", pa.int64()), ("_th", pa.int64()), ("node", pa.int64()), ("bands", pa.list_(pa.int64()))])
+SETS = pa.schema([("node", pa.int64()), ("shingles", pa.binary())])
+
 
+def shingle_set(text: str | None) -> np.ndarray:
+    return np.unique(shingle_hashes(text, WIDTH))
 
-def telling_hashes(text: str | None, everywhere: np.ndarray) -> np.ndarray:
-    """XXH64 of the distinct words that few documents have, or of the distinct word pairs; of the whole of a very short text."""
-    found = np.unique(shingle_hashes(text, 1))
-    rare = found[~np.isin(found, everywhere)]
-    if len(rare) >= max(FEW, len(found) / PART):
-        return rare
-    return np.unique(shingle_hashes(text, 2)) if len(found) > FEW else shingle_hashes(text, 1 << 62)
 
+def bands(hashes: np.ndarray) -> np.ndarray:
+    """A hash of the min-hashes of every band; none for an empty set."""
+    if not len(hashes):
+        return np.empty(0, np.int64)
+    least = np.full(len(FACTORS), np.uint64((1 << 64) - 1))
+    for at in range(0, len(hashes), 256):
+        np.minimum(least, (FACTORS[:, None] * hashes[None, at : at + 256]).min(axis=1), out=least)
+    found = np.arange(1, BANDS + 1, dtype=np.uint64)
+    for column in least.reshape(BANDS, BAND_ROWS).T:
+        found = (found ^ column) * np.uint64(0xBF58476D1CE4E5B9)
+        found ^= found >> np.uint64(29)
+    return found.view(np.int64)
 
-def words_everywhere(docs: DataFrame) -> np.ndarray:
-    """Hashes of the words that over SHARE of all documents have."""
-    schema = pa.schema([("h", pa.int64()), ("n", pa.int64())])
+
+def banded(docs: DataFrame) -> DataFrame:
+    """(_none, _id, _th, node, bands) for each row; rows with the same set of shingles have the same node."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = [np.unique(shingle_hashes(t.as_py(), 1)) for t in batch.column(0)]
-            h, n = np.unique(np.concatenate(own), return_counts=True)
-            yield from common.emit(schema, [h.view(np.int64), n])
+        for batch in common.slices(batches):
+            sets = [shingle_set(t.as_py()) for t in batch.column(3)]
+            nodes = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
+            yield from common.emit(PRINTS, [*batch.columns[:3], nodes, [bands(s) for s in sets]])
+
+    return keys(docs).select("_none", "_id", "_th", "text").mapInArrow(of, "_none boolean, _id long, _th long, node long, bands array<long>")
+
 
-    least = SHARE * docs.count()
-    found = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(of, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") > least)
-    return np.array([r.h for r in found.select("h").collect()], dtype=np.int64).view(np.uint64)
+def sets_of(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(node, shingles): the sorted hashes of the set of each node in ``chosen``, which has the keys of a row of it."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.slices(batches):
+            yield from common.emit(SETS, [batch.column(0), [shingle_set(t.as_py()).tobytes() for t in batch.column(1)]])
+
+    return rows_of(docs, chosen).select("node", "text").mapInArrow(of, "node long, shingles binary")
+
+
+def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets have SIMILAR or more in common."""
+    up, down = SIMILAR
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.slices(batches):
+            keep = []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                both = 0
+                # sets of too different sizes cannot have as much in common
+                if down * min(len(x), len(y)) >= up * max(len(x), len(y)):
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both > 0 and down * both >= up * (len(x) + len(y) - both))
+            keep = pa.array(keep, pa.bool_())
+            yield from common.emit(LINKS, [batch.column(0).filter(keep), batch.column(1).filter(keep)])
+
+    met = pairs.join(sets.withColumnsRenamed({"node": "a", "shingles": "sa"}), "a").join(sets.withColumnsRenamed({"node": "b", "shingles": "sb"}), "b")
+    return met.select("a", "b", "sa", "sb").mapInArrow(of, "a long, b long")
+
+
+def copies(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, root) for the nodes (node, first, bands) that have links of SIMILAR or more to others.
+
+    In each band all nodes meet the least one; of the rest only those pairs that
+    are not joined by then.  So a large group of copies needs few comparisons, and
+    every pair with an equal band is either joined or has been compared.
+    """
+    each = nodes.select("node", F.explode("bands").alias("band"))
+    shared = each.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("least")).where("n > 1").drop("n")
+    held = common.saved(each.join(shared, "band"), "bands")
+    sets = common.saved(sets_of(docs, nodes.join(held.select("node").distinct(), "node", "left_semi").select("node", "first.*")), "sets")
+    stars = common.saved(held.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(), "stars")
+    links = common.saved(similar(stars, sets), "links")
+    rooted = components(links)
+    at = common.saved(held.select("band", "node").join(rooted, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root")), "rooted")
+    apart = at.join(at.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("band"), "band")
+    left, right = (apart.select("band", F.col("node").alias(n), F.col("root").alias(f"root_{n}")) for n in "xy")
+    pairs = left.join(right, "band").where("root_x < root_y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    more = common.saved(similar(pairs.join(stars, ["a", "b"], "left_anti"), sets), "links")
+    return rooted if more.isEmpty() else components(links.unionByName(more))
 
 
 def survivors(docs: DataFrame) -> DataFrame:
     """One row of each group of copies and near copies, that of the least doc_id, with all its columns."""
-    spark = docs.sparkSession
-    common.on_workers(spark)
-    everywhere = spark.sparkContext.broadcast(words_everywhere(docs))
-
-    @F.pandas_udf("long")
-    def telling(texts: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint(telling_hashes(t, everywhere.value)) for t in texts], dtype="int64")
-
-    printed = keys(docs).withColumn("fp", telling(F.col("text").cast("string")))
-    light = common.saved(printed.select("_none", "_id", "_th", "fp"), "fingerprints")
-    labels = labelled(light.select(F.when(~F.col("_none"), F.col("_id")).alias("doc_id"), "fp"), COPY_BITS)
-    first = light.join(labels, "fp").groupBy("root").agg(F.min(F.struct("_none", "_id", "_th")).alias("first"))
+    common.on_workers(docs.sparkSession)
+    light = common.saved(banded(docs), "prints")
+    nodes = common.saved(light.groupBy("node").agg(F.min(F.struct("_none", "_id", "_th")).alias("first"), F.first("bands").alias("bands")), "nodes")
+    rooted = nodes.select("node", "first").join(copies(docs, nodes), "node", "left")
+    first = rooted.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
     return rows_of(docs, first.select("first.*")).select("_row.*")
 
 

@@ -123,3 +123,19 @@ def test_texts_without_ids_or_with_one_id_all_stay(spark):
     out = simhash.survivors(spark.createDataFrame(rows, "doc_id long, text string, n int")).collect()
     assert sorted(r.text for r in out) == sorted(texts)
     assert {r.doc_id for r in out if r.text in texts[8:]} == {5}
+
+
+def test_links_at_four_fifths_of_the_shingles_and_not_below(spark):
+    rng = random.Random(13)
+    rows, gone = [], set()
+    for k in range(60):
+        words = [f"j{rng.randrange(10**7)}" for _ in range(104)]
+        # of 100 shingles 80 or 79 are kept, all others are lost with the words at the end
+        n = 80 if k % 2 else 79
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[: n + 4]))]
+        gone |= {2 * k + 1} if k % 2 else set()
+    # a chain: each end is within reach of the middle only
+    words = [f"c{i}" for i in range(130)]
+    rows += [(500, " ".join(words[:104])), (501, " ".join(words[10:114])), (502, " ".join(words[20:124]))]
+    out = simhash.survivors(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert {r.doc_id for r in out.collect()} == {i for i, _ in rows} - gone - {501, 502}
