@@ -9,6 +9,8 @@ executors, and broadcast.
 Sizes.  The filter holds the n-grams that make up at least one ``ENTRIES``-th of
 all n-gram tokens, so there are at most ``ENTRIES`` of them; with levels on base
 1.5 they enter at most 1.37 times on average, with ten bits each: 64 MB at most.
+All n-grams that are not in the filter, those below its floor, meet their exact
+counts in a join, so every n-gram counts whatever the size.
 Exact counts of words are broadcast for those that make up one ``HEAVY``-th of
 all tokens, 64 MB at most; all others meet their counts in a join.
 
@@ -44,8 +46,13 @@ END = xxhash.xxh64_intdigest(b"\n", SEED)
 BUFFER = 1 << 21
 
 COUNTS = pa.schema([("pair", pa.bool_()), ("h", pa.int64()), ("c", pa.int64())])
-PARTS = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("rare", pa.bool_()), ("h", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
-PARTS_DDL = "rid long, doc_id long, rare boolean, h long, n_tokens long, n_known long, base double, score double"
+#: What a row of PARTS stands for: a document; a word without a broadcast count; a pair whose words' counts, before
+#: and own, are known; and for a token with a word that has none: the pair, the word before and the word itself.
+DOCUMENT, WORD, PAIR, OPEN_PAIR, OPEN_BEFORE, OPEN_WORD = range(6)
+#: ``pos`` is the token's number where several rows make up one token, else -1; of rows of pairs ``base`` and
+#: ``score`` are the counts of the word before and the word, -1 where these have rows of their own.
+PARTS = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("kind", pa.int8()), ("pos", pa.int32()), ("h", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
+PARTS_DDL = "rid long, doc_id long, kind byte, pos int, h long, n_tokens long, n_known long, base double, score double"
 
 
 def tokens(text: str | None) -> np.ndarray:
@@ -115,9 +122,9 @@ class Filter:
         return found
 
     def count(self, levels: np.ndarray) -> np.ndarray:
-        """The middle, on the log scale, of the counts that have a level; what is below the floor for none."""
-        below = min(1.0, 0.5 * (self.floor - 1))
-        return np.where(levels > 0, self.floor * BASE ** (levels - 0.5 if self.floor > 1 else levels - 1.0), below)
+        """The middle, on the log scale, of the whole numbers that have a level; zero for none."""
+        least, most = np.ceil(self.floor * BASE ** (levels - 1.0)), np.ceil(self.floor * BASE**levels) - 1
+        return np.where(levels > 0, np.sqrt(least * np.maximum(least, most)), 0.0)
 
 
 def segment_of(h: np.ndarray, segments: int) -> np.ndarray:
@@ -178,6 +185,20 @@ def build(grams: DataFrame, floor: int) -> Filter:
     return Filter(bits, segments, floor)
 
 
+def pairs_of(docs: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([pairs(d) for d in docs])
+
+
+def likelihood(lib, both, before, own, denominator: float):
+    """A token's estimate from the counts of its pair, the word before and its own, on arrays (numpy) or columns (functions)."""
+    single = (own + 0.5) / denominator
+    if lib is np:
+        joint = np.minimum(1.0, both / np.maximum(before, 1.0))
+        return np.where(before > 0, PAIR_WEIGHT * joint + (1 - PAIR_WEIGHT) * single, single)
+    joint = F.least(F.lit(1.0), both / F.greatest(before, F.lit(1.0)))
+    return F.when(before > 0, PAIR_WEIGHT * joint + (1 - PAIR_WEIGHT) * single).otherwise(single)
+
+
 def scored(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row."""
     spark = docs.sparkSession
@@ -187,7 +208,7 @@ def scored(docs: DataFrame) -> DataFrame:
     n = int(train.agg(F.sum(common.n_words(F.col("text")) + 1)).first()[0] or 0)
     floor = max(1, math.ceil(2 * n / ENTRIES))
     grams = counts(train)
-    grams = common.saved(grams.where(~F.col("pair") | (F.col("c") >= floor)), "ngrams")
+    grams = common.saved(grams, "ngrams")
     words = grams.where(~F.col("pair"))
     v = words.count()
     # with no training tokens every count is zero and so is what they are divided by
@@ -219,31 +240,52 @@ def scored(docs: DataFrame) -> DataFrame:
             base = np.add.reduceat(logs[back], starts)
             n_known = np.add.reduceat(is_sure.astype(np.int64), starts)
             # the model
-            c = bloom.count(bloom.levels(seen))
-            single = (c + 0.5) / denominator
-            level = bloom.levels(np.concatenate([pairs(d) for d in docs]))
+            single = bloom.count(bloom.levels(seen))
+            # with a floor of one the filter has all there is
+            single[(single == 0) & (bloom.floor > 1)] = -1
+            pair = pairs_of(docs)
+            level = bloom.levels(pair)
             before = np.empty(len(h))
-            before[1:] = c[back][:-1]
-            before[starts] = c[np.searchsorted(seen, np.uint64(END))]
-            both = np.where(level > 0, np.minimum(1.0, bloom.count(level) / np.maximum(before, 1.0)), 0.0)
-            p = np.where(before > 0, PAIR_WEIGHT * both + (1 - PAIR_WEIGHT) * single[back], single[back])
-            score = np.add.reduceat(np.log10(p), starts)
+            before[1:] = single[back][:-1]
+            before[starts] = single[np.searchsorted(seen, np.uint64(END))]
+            own = single[back]
+            unknown = (level == 0) & (bloom.floor > 1)
+            # a pair that is in the filter by chance can have words that are not
+            some = (before < 0) | (own < 0)
+            both = bloom.count(level)
+            p = likelihood(np, both, before, own, denominator)
+            score = np.add.reduceat(np.where(unknown | some, 0.0, np.log10(np.where(unknown | some, 1.0, p))), starts)
             rid, ids = batch.column(0).to_numpy(), batch.column(1)
             # a document's own row meets nothing in the join: its key is only there to spread the rows
-            yield from common.emit(PARTS, [rid, ids, np.zeros(len(docs), bool), mixed(rid.astype(np.uint64)).view(np.int64), sizes, n_known, base, score])
-            rare = np.flatnonzero(~is_sure)
-            if len(rare):
-                of_doc = np.searchsorted(starts, rare, side="right") - 1
-                none = np.zeros(len(rare), np.int64)
-                yield from common.emit(PARTS, [rid[of_doc], ids.take(pa.array(of_doc)), np.ones(len(rare), bool), h[rare].view(np.int64), none, none, none.astype(float), none.astype(float)])
+            yield from common.emit(PARTS, [rid, ids, np.full(len(docs), DOCUMENT), np.full(len(docs), -1), mixed(rid.astype(np.uint64)).view(np.int64), sizes, n_known, base, score])
+            of_token = np.repeat(np.arange(len(docs)), sizes)
+            h_before = np.concatenate([np.array([END], np.uint64), h[:-1]])
+            h_before[starts] = END
+            rare = ~is_sure
+            for kind, which, key in ((WORD, rare, h), (PAIR, unknown & ~some, pair), (OPEN_PAIR, some, pair), (OPEN_BEFORE, some & (before < 0), h_before), (OPEN_WORD, some & (own < 0), h)):
+                at = np.flatnonzero(which)
+                if len(at):
+                    none, pos = np.zeros(len(at), np.int64), at - starts[of_token[at]] if kind >= OPEN_PAIR else np.full(len(at), -1)
+                    x, y = (before[at], own[at]) if kind in (PAIR, OPEN_PAIR) else (none, none)
+                    yield from common.emit(PARTS, [rid[of_token[at]], pa.nulls(len(at), pa.int64()), np.full(len(at), kind), pos, key[at].view(np.int64), none, none, x.astype(float), y.astype(float)])
 
     parts = rows.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text").mapInArrow(of, PARTS_DDL)
-    less = words.where(F.col("c") < common_from).select(F.col("h").alias("word"), "c")
-    met = parts.join(less, F.col("h") == F.col("word"), "left")
-    c = F.coalesce("c", F.lit(0))
-    met = met.withColumn("base", F.when(F.col("rare"), F.when(c > 0, F.log10((c + 0.5) / denominator)).otherwise(zero)).otherwise(F.col("base")))
-    met = met.withColumn("n_known", F.when(F.col("rare"), (c > 0).cast("long")).otherwise(F.col("n_known")))
-    found = met.groupBy("rid", "doc_id").agg(*(F.sum(x).alias(x) for x in ("n_tokens", "n_known", "base", "score")))
+    less = grams.where(F.when(F.col("pair"), F.col("c") < floor).otherwise(F.col("c") < common_from)).select("pair", F.col("h").alias("gram"), "c")
+    kind = F.col("kind")
+    is_pair = kind.isin(PAIR, OPEN_PAIR)
+    met = parts.join(less, (F.col("h") == F.col("gram")) & (is_pair == F.col("pair")), "left").withColumn("c", F.coalesce("c", F.lit(0)))
+    word = F.when(F.col("c") > 0, F.log10((F.col("c") + 0.5) / denominator)).otherwise(zero)
+    counted = lambda k, known: F.max(F.when(kind == k, F.col("c").cast("double")).when((kind == OPEN_PAIR) & (F.col(known) >= 0), F.col(known)))
+    # the tokens: rows without a position sum up, rows with one make up a token
+    tokens_ = met.groupBy("rid", "pos").agg(
+        F.max("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"),
+        F.sum(F.when(kind == WORD, (F.col("c") > 0).cast("long")).otherwise(F.col("n_known"))).alias("n_known"),
+        F.sum(F.when(kind == WORD, word).when(kind == DOCUMENT, F.col("base")).otherwise(0.0)).alias("base"),
+        F.sum(F.when(kind == DOCUMENT, F.col("score")).when(kind == PAIR, F.log10(likelihood(F, F.col("c"), F.col("base"), F.col("score"), denominator))).otherwise(0.0)).alias("score"),
+        F.max(F.when(kind == OPEN_PAIR, F.col("c").cast("double"))).alias("both"), counted(OPEN_BEFORE, "base").alias("before"), counted(OPEN_WORD, "score").alias("own"),
+    )
+    token = F.when(F.col("pos") >= 0, F.log10(likelihood(F, F.col("both"), F.col("before"), F.col("own"), denominator))).otherwise(F.col("score"))
+    found = tokens_.groupBy("rid").agg(F.max("doc_id").alias("doc_id"), *(F.sum(x).alias(x) for x in ("n_tokens", "n_known", "base")), F.sum(token).alias("score"))
     return found.select(
         "doc_id", (common.crc_of_id(F.col("doc_id")) % FOLDS == HELD_OUT).alias("held_out"), "n_tokens", "n_known",
         F.lit(n).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score",

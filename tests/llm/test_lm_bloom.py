@@ -83,3 +83,33 @@ def test_edges(spark):
     alone = next(i for i in range(50) if zlib.crc32(str(i).encode()) % 5 == 1)
     [r] = lm.scored(spark.createDataFrame([(alone, "only held out")], DDL)).collect()
     assert (r.train_tokens, r.n_known, r.n_tokens) == (0, 0, 4)
+
+
+def test_all_ngrams_count_below_the_floor(spark, monkeypatch):
+    monkeypatch.setattr(lm, "ENTRIES", 3000)
+    monkeypatch.setattr(lm, "HEAVY", 300)
+    rows = corpus(300)
+    train = [toks(t) for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1]
+    c, two = Counter(w for t in train for w in t), Counter(p for t in train for p in zip(["\n", *t], t))
+    n, v = sum(c.values()), len(c)
+    floor = math.ceil(2 * n / lm.ENTRIES)
+    assert floor > 3
+
+    def near(x):
+        q = int(lm.level_of(np.array([x]), floor)[0])
+        least, most = math.ceil(floor * lm.BASE ** (q - 1)), math.ceil(floor * lm.BASE**q) - 1
+        return x if x < floor else math.sqrt(least * most)
+
+    def plain(t):
+        out = 0
+        for a, b in zip(["\n", *t], t):
+            single = (near(c[b]) + 0.5) / (n + 0.5 * (v + 1))
+            joint = min(1, near(two[a, b]) / max(near(c[a]), 1))
+            out += math.log10(0.6 * joint + 0.4 * single if c[a] else single)
+        return out
+
+    out = {r.doc_id: r.score for r in lm.scored(spark.createDataFrame(rows, DDL).repartition(4)).collect()}
+    # a filter can hold an n-gram by chance, in few of the short texts
+    small = [(i, toks(t)) for i, t in rows if len(toks(t)) < 95]
+    off = [abs(out[i] - plain(t)) / len(t) for i, t in small]
+    assert np.mean(np.array(off) < 1e-6) > 0.5 and np.mean(off) < 0.05
