@@ -4,9 +4,10 @@ A text is cut into sentences: after a word that ends in ``.``, ``!`` or ``?``, a
 a line's end, and inside sentences after words whose hash says so (one of
 ``BREAK`` on average), so that a passage is cut alike wherever it stands.  A span
 is a run of at least ``RUN`` consecutive sentences with at least ``WORDS`` words.
-Every span is hashed, equal spans meet by a join over all documents, and the
-sentences under a span that is not the first of its kind, in the order of
-document ids and positions, are removed.  Words are compared with A-Z in lower
+The least span from each sentence on and the least span up to each sentence are
+hashed; together they cover every sentence of every span.  Equal spans meet by a
+join over all documents, and the sentences under a span that is not the first of
+its kind, in the order of document ids and positions, are removed.  Words are compared with A-Z in lower
 case and without regard to white space; punctuation counts.
 
 Hashes have 96 bits.  Only the hashes of spans that occur twice or more come to
@@ -58,12 +59,21 @@ def sentences(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def spans(hashes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """h1, h2, first sentence and number of sentences of the least span from each sentence on."""
+    """h1, h2, first sentence and number of sentences of the least spans from each sentence on and up to each sentence."""
     last = len(starts) - 1
     begin = np.arange(last)
     # the first end that leaves WORDS words and RUN sentences
     end = np.maximum(np.searchsorted(starts, starts[:-1] + WORDS), begin + RUN)
     begin, end = begin[end <= last], end[end <= last]
+    # the last beginning that leaves as much before an end
+    stop = np.arange(RUN, last + 1)
+    start = np.minimum(np.searchsorted(starts, starts[stop] - WORDS, side="right") - 1, stop - RUN)
+    # a span that is the least both ways comes once
+    new = start >= 0
+    to = np.full(last + 1, -1)
+    to[begin] = end
+    new[new] &= to[start[new]] != stop[new]
+    begin, end = np.concatenate([begin, start[new]]), np.concatenate([end, stop[new]])
     powers = [np.ones(len(hashes) + 1, np.uint64) for _ in range(4)]
     found = []
     for k, (base, inverse) in enumerate(zip(BASES, INVERSES)):

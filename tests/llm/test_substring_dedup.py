@@ -89,3 +89,28 @@ def test_rows_pass_through(spark):
     assert rows["d"] == long + " x" and rows["e"] is None
     assert rows.get("a") == rows.get("b") and len((rows.get("a") or "").split()) < 30
     assert sd.op3(spark.createDataFrame([], DDL)).count() == 0 and sd.deduplicated(df.limit(0)).count() == 0
+
+
+def every_run(rows):
+    """The words that a removal under all repeated runs, not only the least ones, leaves."""
+    seen, gone = {}, {}
+    docs = {r: cut(r[1] or "") for r in rows}
+    for r, s in sorted(docs.items()):
+        for i in range(len(s)):
+            for j in range(i + sd.RUN, len(s) + 1):
+                span = tuple(w for x in s[i:j] for w in x)
+                if len(span) >= sd.WORDS and seen.setdefault(span, (r, i)) != (r, i):
+                    gone.setdefault(r, set()).update(range(i, j))
+    return {r: [w for k, x in enumerate(docs[r]) if k not in gone.get(r, ()) for w in x] for r in docs}
+
+
+def test_all_sentences_of_repeated_runs_go(spark):
+    rng = random.Random(8)
+    make = lambda n: " ".join(rng.choice("abcdefghijklm") + str(rng.randrange(80)) + rng.choice(["", "", "", ".", "!"]) for _ in range(n))
+    passages = [make(n) + "." for n in (18, 25, 40)]
+    rows = [(i, f"{make(20)}. {passages[i % 3]} {make(25)}") for i in range(30)]
+    left = every_run(rows)
+    out = {r.doc_id: r for r in sd.op3(spark.createDataFrame(rows, DDL)).collect()}
+    for r in rows:
+        assert out[r[0]].text.lower().encode().split() == left[r]
+    assert all(out[i].removed_words >= len(passages[i % 3].split()) for i in range(3, 30))
