@@ -106,7 +106,8 @@ class Packer:
         stream = np.concatenate([ids for _, ids in self.docs])[self.done :]
         ends = np.cumsum([len(ids) for _, ids in self.docs]) - self.done
         penalty = np.full(len(stream) + 1, NEVER, dtype=np.uint8)
-        penalty[GRID::GRID] = INNER_CUT
+        grid = min(GRID, self.length)
+        penalty[grid::grid] = INNER_CUT
         penalty[np.flatnonzero(np.isin(stream, self.sentence_ends)) + 1] = SENTENCE_CUT
         penalty[ends] = 0
         positions = np.flatnonzero(penalty[1:] < NEVER) + 1
@@ -140,7 +141,7 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = EN
         codes = encoder(tokenizer, cached)
         stops = [codes.tokenizer.token_to_id(mark + end) for mark in ".!?" for end in ("</w>", "")]
         packer = Packer(TaskContext.get().partitionId(), length, np.array([s for s in stops if s is not None], dtype=np.uint32))
-        for batch in common.slices(batches, 1000):
+        for batch in common.slices(batches, 3000):
             rows = []
             ids, at = codes.encode(batch.column(1))
             for doc_id, a, b in zip(batch.column(0).to_pylist(), at.tolist(), at[1:].tolist()):

@@ -10,12 +10,11 @@ from tokenizers import Tokenizer
 from anchorline.llm import encoding, packing, token_files
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
-BITS = ["a", "É", "é", "é", "́", " ", "  ", "\n", "\n\n", "\t", "\xa0", "　", "\x1c", "\x85", ".", "...", "'s", "'", "3", "14", "%", "Σ", "ΑΣ", "<|endoftext|>", "<|", "日本", "\r\n", "\x0b", "the", "The", "‍", "😀", "İ", "İ.", "\0", "thion,", "Thion."]
+BITS = ["a", "É", "é", "é", "́", " ", "  ", "\n", "\n\n", "\t", "\xa0", "　", "\x1c", "\x85", ".", "...", "'s", "'", "3", "14", "%", "Σ", "ΑΣ", "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "<|", "日本", "\r\n", "\x0b", "the", "The", "‍", "😀", "İ", "İ.", "\0", "thion,", "Thion."]
 
 
 def plain(path, texts):
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     return [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -33,6 +32,12 @@ def test_pieces_give_the_same_ids(path):
     assert at.tolist() == [0, 0, len(ids)] and mine.encode(pa.array([], pa.string()))[1].tolist() == [0]
 
 
+def test_short_windows_are_cut():
+    packer = packing.Packer(0, 32, np.array([], np.uint32))
+    rows = packer.add(1, np.arange(500, dtype=np.uint32)) + packer.flush(open_end=False)
+    assert sum(r[2] for r in rows) == 500 and max(r[2] for r in rows) == 32
+
+
 def some_texts(n=120):
     rng = random.Random(4)
     words = ["the", "thion", "ereau", "über", "of", "|", "x1"]
