@@ -1,22 +1,29 @@
-"""Language-model scores from a log-frequency Bloom filter.
-
-Word and word-pair counts of the training documents are quantised on a log scale;
-an n-gram of level q enters the filter with each of the levels 1 to q, so that a
-count is read back by probing level after level until one is missing.  The filter
-is cut into segments by the n-gram's hash, built segment by segment on the
-executors, and broadcast.
-
-Sizes.  The filter holds the n-grams that make up at least one ``ENTRIES``-th of
-all n-gram tokens, so there are at most ``ENTRIES`` of them; with levels on base
-1.5 they enter at most 1.37 times on average, with ten bits each: 64 MB at most.
-All n-grams that are not in the filter, those below its floor, meet their exact
-counts in a join, so every n-gram counts whatever the size.
-Exact counts of words are broadcast for those that make up one ``HEAVY``-th of
-all tokens, 64 MB at most; all others meet their counts in a join.
-
-Defined results: null text has no words and one end; an id that is null counts as
-empty text in the split; repeated rows each get a row; with nothing to learn from
-all counts are zero; an empty table gives no rows; other columns are not read.
+"""Language-model scores from a log-frequency Bloom filter of words and word pairs.
+
+Counts of the training documents are quantised on a log scale; an n-gram of level
+q enters the filter with each of the levels 1 to q, so that a count is read back
+by probing level after level until one is missing.  All n-grams enter, at every
+size of the corpus, so the filter grows with it and is not broadcast whole: it is
+cut into segments by the n-grams' hashes, every segment is built where its counts
+meet, and the probes are sent there.
+
+1. Documents are read in batches of bounded size.  A batch is written as one row
+   (its words, and the number of the word at every token) and one row for each
+   segment: the batch's distinct words and pairs that fall in it, with their counts
+   in the batch's training documents.  However often an n-gram occurs, a batch sends
+   it once.
+2. A segment's rows meet in one task, which adds up the counts, builds the segment of
+   the filter, and answers every row in its order: exact counts of the words (for the
+   base score) and the levels that the probes of words and pairs find.
+3. A batch's row meets the answers to it, and its documents are scored.
+
+A segment holds the n-grams of about ``SEGMENT`` bytes of text, a batch ``BATCH``
+bytes or one longer text; nothing is collected on the driver but two sums.
+
+Defined results: null text has no words and one end; a very long text is a batch of
+its own; an id that is null counts as empty text in the split; repeated rows each get
+a row; with nothing to learn from all counts are zero; an empty table gives no rows;
+other columns are not read.
 """
 
 from __future__ import annotations
@@ -26,40 +33,34 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
 
-ENTRIES, HEAVY = 1 << 25, 1 << 22
+#: Bytes of text in a batch, and for which one segment is made.
+BATCH, SEGMENT = 12 << 20, 16 << 20
+#: Ratio of two levels' counts; bits of the filter for each n-gram and level; places that one of these sets.
 BASE, BITS, PROBES = 1.5, 10, 4
-#: Bits of a segment as a power of two.
-SEGMENT = 20
 #: Weight of the pair's estimate against the single word's.
 PAIR_WEIGHT = 0.6
 FOLDS, HELD_OUT = 5, 1
 SEED = 42
-#: No word can be a blank.
-END = xxhash.xxh64_intdigest(b"\n", SEED)
-#: Tokens that a task holds before it sums them up.
-BUFFER = 1 << 21
-
-COUNTS = pa.schema([("pair", pa.bool_()), ("h", pa.int64()), ("c", pa.int64())])
-#: What a row of PARTS stands for: a document; a word without a broadcast count; a pair whose words' counts, before
-#: and own, are known; and for a token with a word that has none: the pair, the word before and the word itself.
-DOCUMENT, WORD, PAIR, OPEN_PAIR, OPEN_BEFORE, OPEN_WORD = range(6)
-#: ``pos`` is the token's number where several rows make up one token, else -1; of rows of pairs ``base`` and
-#: ``score`` are the counts of the word before and the word, -1 where these have rows of their own.
-PARTS = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("kind", pa.int8()), ("pos", pa.int32()), ("h", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
-PARTS_DDL = "rid long, doc_id long, kind byte, pos int, h long, n_tokens long, n_known long, base double, score double"
-
-
-def tokens(text: str | None) -> np.ndarray:
-    """Hashes of the words and of the end."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    h = xxhash.xxh64_intdigest
-    return np.fromiter((*(h(w, SEED) for w in words), END), np.uint64, len(words) + 1)
+#: Number of the row that holds a batch itself among its rows, and of the batch that stands for a segment's sums.
+ITSELF = -1
+
+BATCHES = pa.schema([
+    ("segment", pa.int32()), ("batch", pa.int64()), ("words", pa.binary()), ("word_counts", pa.binary()), ("pairs", pa.binary()), ("pair_counts", pa.binary()),
+    ("doc_ids", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int32())), ("tokens", pa.binary()),
+])
+BATCHES_DDL = "segment int, batch long, words binary, word_counts binary, pairs binary, pair_counts binary, doc_ids array<long>, held_out array<boolean>, sizes array<int>, tokens binary"
+ANSWERS = pa.schema([("segment", pa.int32()), ("batch", pa.int64()), ("counts", pa.binary()), ("word_levels", pa.binary()), ("pair_levels", pa.binary()), ("n", pa.int64()), ("v", pa.int64())])
+ANSWERS_DDL = "segment int, batch long, counts binary, word_levels binary, pair_levels binary, n long, v long"
+SCORES = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+SCORES_DDL = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -68,225 +69,228 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def pairs(h: np.ndarray) -> np.ndarray:
-    """Hashes of each token with the one before; the end stands before the first."""
-    before = np.concatenate([np.array([END], np.uint64), h[:-1]])
-    return mixed(before * np.uint64(3) + np.uint64(0x632BE59BD9B4E019)) + h
+def hashed(words: list[bytes]) -> np.ndarray:
+    h = xxhash.xxh64_intdigest
+    return mixed(np.fromiter((h(w, SEED) for w in words), np.uint64, len(words)))
 
 
-def counts(texts: DataFrame) -> DataFrame:
-    """(pair, h, c): how often each word and each pair occurs; tasks sum up before the shuffle."""
+#: No word can be a blank.
+END = hashed([b"\n"])[0]
+
+
+def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct words in order, the end among them; the number of the word at every token; tokens of each text."""
+    # a copy that begins at its buffers' beginning, as not every function minds a slice's offset
+    texts = pc.take(pc.fill_null(texts.cast(pa.large_string()), ""), pa.array(np.arange(len(texts))))
+    cut = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    bounds = cut.offsets.to_numpy()
+    pieces = cut.values.slice(int(bounds[0]), int(bounds[-1] - bounds[0])).dictionary_encode()
+    words = pieces.dictionary.cast(pa.large_binary()).to_pylist()
+    h, number = np.unique(np.append(hashed(words), END), return_inverse=True)
+    at = pieces.indices.to_numpy()
+    # blanks at a text's ends leave empty pieces
+    is_word = at != words.index(b"") if b"" in words else np.ones(len(at), bool)
+    before = np.concatenate([[0], np.cumsum(is_word)])
+    sizes = np.diff(before[bounds - bounds[0]]) + 1
+    out = np.full(int(sizes.sum()), number[-1], np.uint32)
+    inner = np.ones(len(out), bool)
+    inner[np.cumsum(sizes) - 1] = False
+    out[inner] = number[at[is_word]]
+    if b"" in words:
+        # nothing stands for the empty piece
+        there = np.zeros(len(h), bool)
+        there[out] = True
+        out = (np.cumsum(there) - 1).astype(np.uint32)[out]
+        h = h[there]
+    return h, out, sizes
+
+
+def before(out: np.ndarray, sizes: np.ndarray, end: int) -> np.ndarray:
+    """The number of the word before each token; the end stands before the first."""
+    previous = np.empty_like(out)
+    previous[1:] = out[:-1]
+    previous[np.cumsum(sizes) - sizes] = end
+    return previous
+
+
+def pairs(h: np.ndarray, out: np.ndarray, previous: np.ndarray) -> np.ndarray:
+    """Hashes of each token with the one before."""
+    return mixed(mixed(h * np.uint64(3) + np.uint64(0x632BE59BD9B4E019))[previous] + h[out])
 
-    def summed(pair: bool, parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        h, c = np.unique(np.concatenate(parts), return_counts=True)
-        yield from common.emit(COUNTS, [np.full(len(h), pair), h.view(np.int64), c])
 
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
-        for batch in common.slices(batches):
-            for text in batch.column(0).to_pylist():
-                held.append(tokens(text))
-                n += len(held[-1])
-            if n > BUFFER:
-                yield from summed(False, held)
-                yield from summed(True, [pairs(h) for h in held])
-                held, n = [], 0
-        if held:
-            yield from summed(False, held)
-            yield from summed(True, [pairs(h) for h in held])
+def segment_of(h: np.ndarray, segments: int) -> np.ndarray:
+    """Segments in the order of the hashes; what tells hashes of one segment apart are their low 32 bits."""
+    return ((h >> np.uint64(32)) * np.uint64(segments) >> np.uint64(32)).astype(np.int64)
 
-    return texts.mapInArrow(of, "pair boolean, h long, c long").groupBy("pair", "h").agg(F.sum("c").alias("c"))
 
+def level_of(c: np.ndarray) -> np.ndarray:
+    return 1 + np.floor(np.log(np.maximum(c, 1)) / math.log(BASE) + 1e-9).astype(np.int64)
 
-class Filter:
-    """The filter's bits and how counts are read from them."""
 
-    def __init__(self, bits: np.ndarray, segments: int, floor: int):
-        self.bits, self.segments, self.floor = bits, segments, floor
+def count(levels: np.ndarray) -> np.ndarray:
+    """The middle, on the log scale, of the whole numbers that have a level; zero for none."""
+    least, most = np.ceil(BASE ** (levels - 1.0)), np.ceil(BASE**levels) - 1
+    return np.where(levels > 0, np.sqrt(least * np.maximum(least, most)), 0.0)
+
+
+class Filter:
+    """A segment of the filter: the bits, and how levels are read from them."""
+
+    def __init__(self, h: np.ndarray, c: np.ndarray):
+        """Holds the n-grams with the counts ``c``, all above zero."""
+        levels = level_of(c)
+        self.size = max(64, int(levels.sum()) * BITS)
+        bits = np.zeros(self.size, np.uint8)
+        for level in range(int(levels.max(initial=0))):
+            for at in self.places(h[levels > level], level):
+                bits[at] = 1
+        self.bits = np.packbits(bits, bitorder="little")
+
+    def places(self, h: np.ndarray, level: int) -> Iterator[np.ndarray]:
+        """Positions of the bits that a level of each hash sets."""
+        h = mixed(h + np.uint64(SEED))
+        step = (h << np.uint64(32)) | (h >> np.uint64(32)) | np.uint64(1)
+        for i in range(PROBES):
+            x = h + step * np.uint64(level * PROBES + i + 1)
+            yield ((x >> np.uint64(32)) * np.uint64(self.size) >> np.uint64(32)).astype(np.int64)
 
     def levels(self, h: np.ndarray) -> np.ndarray:
         """The highest level up to which all probes are there, from the first."""
-        h = mixed(h)
-        found = np.zeros(len(h), np.int64)
-        start = segment_of(h, self.segments) << SEGMENT
-        open_ = np.arange(len(h))
+        found = np.zeros(len(h), np.uint8)
+        left = np.arange(len(h))
         level = 0
-        while len(open_):
-            hit = np.ones(len(open_), bool)
-            for at in places(h[open_], level):
-                at = at + start[open_]
+        while len(left):
+            hit = np.ones(len(left), bool)
+            for at in self.places(h[left], level):
                 hit &= (self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
-            open_ = open_[hit]
+            left = left[hit]
             level += 1
-            found[open_] = level
+            found[left] = level
         return found
 
-    def count(self, levels: np.ndarray) -> np.ndarray:
-        """The middle, on the log scale, of the whole numbers that have a level; zero for none."""
-        least, most = np.ceil(self.floor * BASE ** (levels - 1.0)), np.ceil(self.floor * BASE**levels) - 1
-        return np.where(levels > 0, np.sqrt(least * np.maximum(least, most)), 0.0)
-
 
-def segment_of(h: np.ndarray, segments: int) -> np.ndarray:
-    return ((h >> np.uint64(32)) * np.uint64(segments) >> np.uint64(32)).astype(np.int64)
-
-
-def places(h: np.ndarray, level: int) -> Iterator[np.ndarray]:
-    """Bit positions in the segment that a level of the (mixed) hashes sets."""
-    step = (h >> np.uint64(SEGMENT)) | np.uint64(1)
-    for i in range(PROBES):
-        yield ((h + step * np.uint64(level * PROBES + i + 1)) & np.uint64((1 << SEGMENT) - 1)).astype(np.int64)
-
-
-def level_of(c: np.ndarray, floor: int) -> np.ndarray:
-    return 1 + np.floor(np.log(np.maximum(c, 1) / floor) / math.log(BASE) + 1e-9).astype(np.int64)
-
-
-def build(grams: DataFrame, floor: int) -> Filter:
-    """The filter of the n-grams that occur ``floor`` times or more."""
-    spark = grams.sparkSession
-    held = grams.where(F.col("c") >= floor)
-    entered = held.agg(F.sum(1 + F.floor(F.log(F.col("c") / floor) / math.log(BASE) + 1e-9))).first()[0] or 0
-    segments = max(1, math.ceil(entered * BITS / (1 << SEGMENT)))
-
-    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            h = mixed(batch.column(0).to_numpy().view(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(segment_of(h, segments)), pa.array(h.view(np.int64)), pa.array(level_of(batch.column(1).to_numpy(), floor))], names=["segment", "h", "level"])
+def likelihood(both: np.ndarray, previous: np.ndarray, own: np.ndarray, denominator: float) -> np.ndarray:
+    """Estimates from the counts of a pair, the word before and the word itself."""
+    single = (own + 0.5) / denominator
+    joint = np.minimum(1.0, both / np.maximum(previous, 1.0))
+    return np.where(previous > 0, PAIR_WEIGHT * joint + (1 - PAIR_WEIGHT) * single, single)
 
-    def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = pa.schema([("segment", pa.int64()), ("bits", pa.binary())])
-        now, bits = None, None
 
-        def done():
-            return pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], schema=names)
+def planes(x: np.ndarray) -> bytes:
+    """32-bit numbers, byte by byte: the high bytes are mostly zero and go to nothing when compressed."""
+    return x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
 
-        for batch in batches:
-            segment = batch.column(0).to_numpy()
-            h, level = batch.column(1).to_numpy().view(np.uint64), batch.column(2).to_numpy()
-            cuts = [0, *(np.flatnonzero(segment[1:] != segment[:-1]) + 1).tolist(), len(segment)]
-            for a, b in zip(cuts, cuts[1:]):
-                if a == b:
-                    continue
-                if now != segment[a]:
-                    if now is not None:
-                        yield done()
-                    now, bits = int(segment[a]), np.zeros(1 << SEGMENT, np.uint8)
-                for q in range(int(level[a:b].max())):
-                    for at in places(h[a:b][level[a:b] > q], q):
-                        bits[at] = 1
-        if now is not None:
-            yield done()
 
-    dealt = held.select("h", "c").mapInArrow(numbered, "segment long, h long, level long").repartition("segment").sortWithinPartitions("segment")
-    bits = np.zeros(segments << (SEGMENT - 3), np.uint8)
-    for r in dealt.mapInArrow(filled, "segment long, bits binary").toLocalIterator(prefetchPartitions=True):
-        bits[r.segment << (SEGMENT - 3) : (r.segment + 1) << (SEGMENT - 3)] = np.frombuffer(r.bits, np.uint8)
-    return Filter(bits, segments, floor)
+def unplaned(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
-def pairs_of(docs: list[np.ndarray]) -> np.ndarray:
-    return np.concatenate([pairs(d) for d in docs])
+def batched(rows: DataFrame, segments: int) -> DataFrame:
+    """The rows BATCHES of ``rows`` (doc_id, held_out, text)."""
 
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batch = TaskContext.get().partitionId() << 32
+        for rows in common.slices(batches, 20_000, BATCH):
+            h, out, sizes = tokens(rows.column(2))
+            end = int(np.searchsorted(h, END))
+            learns = np.repeat(~rows.column(1).to_numpy(zero_copy_only=False), sizes)
+            word_counts = np.bincount(out[learns], minlength=len(h))
+            p, number = np.unique(pairs(h, out, before(out, sizes, end)), return_inverse=True)
+            pair_counts = np.bincount(number[learns], minlength=len(p))
+            cut = lambda x: np.searchsorted(segment_of(x, segments), np.arange(segments + 1))
+            w_at, p_at = cut(h), cut(p)
+            met = np.flatnonzero((np.diff(w_at) > 0) | (np.diff(p_at) > 0)).tolist()
+            low = (p & np.uint64(0xFFFFFFFF)).astype("<u4")
+            none = [None] * len(met)
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip([
+                [ITSELF, *met], [batch] * (1 + len(met)),
+                [h.tobytes(), *(h[w_at[s] : w_at[s + 1]].tobytes() for s in met)], [None, *(planes(word_counts[w_at[s] : w_at[s + 1]]) for s in met)],
+                [None, *(low[p_at[s] : p_at[s + 1]].tobytes() for s in met)], [None, *(planes(pair_counts[p_at[s] : p_at[s + 1]]) for s in met)],
+                [rows.column(0).to_pylist(), *none], [rows.column(1).to_pylist(), *none], [sizes.tolist(), *none], [planes(out), *none],
+            ], BATCHES)], schema=BATCHES)
+            batch += 1
+
+    return rows.mapInArrow(of, BATCHES_DDL)
+
+
+def answered(asked: DataFrame) -> DataFrame:
+    """The rows ANSWERS: one for each row of a batch in a segment, and one for each segment with its sums."""
 
-def likelihood(lib, both, before, own, denominator: float):
-    """A token's estimate from the counts of its pair, the word before and its own, on arrays (numpy) or columns (functions)."""
-    single = (own + 0.5) / denominator
-    if lib is np:
-        joint = np.minimum(1.0, both / np.maximum(before, 1.0))
-        return np.where(before > 0, PAIR_WEIGHT * joint + (1 - PAIR_WEIGHT) * single, single)
-    joint = F.least(F.lit(1.0), both / F.greatest(before, F.lit(1.0)))
-    return F.when(before > 0, PAIR_WEIGHT * joint + (1 - PAIR_WEIGHT) * single).otherwise(single)
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        segment, held = None, []
+        for rows in batches:
+            for row in zip(*(c.to_pylist() for c in rows.columns)):
+                if row[0] != segment:
+                    if held:
+                        yield answers(segment, held)
+                    segment, held = row[0], []
+                held.append(row[1:])
+        if held:
+            yield answers(segment, held)
+
+    def answers(segment: int, held: list[tuple]) -> pa.RecordBatch:
+        batch, words, word_counts, two, pair_counts = zip(*held)
+        parts = [[np.frombuffer(x, "<u8") for x in words], [np.frombuffer(x, "<u4") for x in two]]
+        w, w_number = np.unique(np.concatenate(parts[0]), return_inverse=True)
+        c = np.bincount(w_number, np.concatenate([unplaned(x) for x in word_counts]), len(w)).astype(np.int64)
+        p, p_number = np.unique(np.concatenate(parts[1]), return_inverse=True)
+        both = np.bincount(p_number, np.concatenate([unplaned(x) for x in pair_counts]), len(p)).astype(np.int64)
+        p = p.astype(np.uint64)
+        bloom = Filter(np.concatenate([w[c > 0], p[both > 0]]), np.concatenate([c[c > 0], both[both > 0]]))
+        w_levels, p_levels = bloom.levels(w)[w_number], bloom.levels(p)[p_number]
+        w_at, p_at = (np.cumsum([0, *map(len, x)]) for x in parts)
+        each = list(zip(w_at, w_at[1:], p_at, p_at[1:]))
+        exact = c.astype("<i8")[w_number]
+        return pa.RecordBatch.from_arrays([pa.array(x, type=f.type) for x, f in zip([
+            [segment] * (1 + len(batch)), [ITSELF, *batch], [None, *(exact[a:b].tobytes() for a, b, _, _ in each)],
+            [None, *(w_levels[a:b].tobytes() for a, b, _, _ in each)], [None, *(p_levels[a:b].tobytes() for _, _, a, b in each)],
+            [int(c.sum()), *([None] * len(batch))], [int((c > 0).sum()), *([None] * len(batch))],
+        ], ANSWERS)], schema=ANSWERS)
+
+    return asked.repartition("segment").sortWithinPartitions("segment", "batch").mapInArrow(of, ANSWERS_DDL)
 
 
 def scored(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row."""
-    spark = docs.sparkSession
-    common.on_workers(spark)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    train = rows.where(common.crc_of_id(F.col("doc_id")) % FOLDS != HELD_OUT).select("text")
-    n = int(train.agg(F.sum(common.n_words(F.col("text")) + 1)).first()[0] or 0)
-    floor = max(1, math.ceil(2 * n / ENTRIES))
-    grams = counts(train)
-    grams = common.saved(grams, "ngrams")
-    words = grams.where(~F.col("pair"))
-    v = words.count()
+    common.on_workers(docs.sparkSession)
+    doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    rows = docs.select(doc_id.alias("doc_id"), (common.crc_of_id(doc_id) % FOLDS == HELD_OUT).alias("held_out"), text.alias("text"))
+    segments = math.ceil((rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / SEGMENT) or 1
+    made = common.saved(batched(rows, segments), "batches", compression="zstd")
+    asked = made.where(F.col("segment") != ITSELF).select("segment", "batch", "words", "word_counts", "pairs", "pair_counts")
+    answers = common.saved(answered(asked), "answers", compression="zstd")
+    sums = answers.where(F.col("batch") == ITSELF).agg(F.sum("n"), F.sum("v")).first()
+    n, v = int(sums[0] or 0), int(sums[1] or 0)
     # with no training tokens every count is zero and so is what they are divided by
     denominator = n + 0.5 * (v + 1)
-    common_from = max(1, math.ceil(n / HEAVY))
-    heavy = words.where(F.col("c") >= common_from).select("h", "c").toPandas()
-    order = np.argsort(heavy["h"].to_numpy(np.int64).view(np.uint64))
-    known = spark.sparkContext.broadcast((heavy["h"].to_numpy(np.int64).view(np.uint64)[order], heavy["c"].to_numpy(np.int64)[order]))
-    model = build(grams, floor)
-    sent = spark.sparkContext.broadcast((model.bits, model.segments, model.floor))
-    zero = math.log10(0.5 / denominator)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sure, sure_counts = known.value
-        bloom = Filter(*sent.value)
-        for batch in common.slices(batches, 200):
-            docs = [tokens(t) for t in batch.column(2).to_pylist()]
-            sizes = np.array([len(d) for d in docs])
-            starts = np.cumsum(sizes) - sizes
-            h = np.concatenate(docs)
-            seen, back = np.unique(h, return_inverse=True)
-            # exact counts of the frequent words
-            at = np.minimum(np.searchsorted(sure, seen), max(0, len(sure) - 1))
-            exact = sure[at] == seen if len(sure) else np.zeros(len(seen), bool)
-            logs = np.zeros(len(seen))
-            if len(sure):
-                logs[exact] = np.log10((sure_counts[at[exact]] + 0.5) / denominator)
-            is_sure = exact[back]
-            base = np.add.reduceat(logs[back], starts)
-            n_known = np.add.reduceat(is_sure.astype(np.int64), starts)
-            # the model
-            single = bloom.count(bloom.levels(seen))
-            # with a floor of one the filter has all there is
-            single[(single == 0) & (bloom.floor > 1)] = -1
-            pair = pairs_of(docs)
-            level = bloom.levels(pair)
-            before = np.empty(len(h))
-            before[1:] = single[back][:-1]
-            before[starts] = single[np.searchsorted(seen, np.uint64(END))]
-            own = single[back]
-            unknown = (level == 0) & (bloom.floor > 1)
-            # a pair that is in the filter by chance can have words that are not
-            some = (before < 0) | (own < 0)
-            both = bloom.count(level)
-            p = likelihood(np, both, before, own, denominator)
-            score = np.add.reduceat(np.where(unknown | some, 0.0, np.log10(np.where(unknown | some, 1.0, p))), starts)
-            rid, ids = batch.column(0).to_numpy(), batch.column(1)
-            # a document's own row meets nothing in the join: its key is only there to spread the rows
-            yield from common.emit(PARTS, [rid, ids, np.full(len(docs), DOCUMENT), np.full(len(docs), -1), mixed(rid.astype(np.uint64)).view(np.int64), sizes, n_known, base, score])
-            of_token = np.repeat(np.arange(len(docs)), sizes)
-            h_before = np.concatenate([np.array([END], np.uint64), h[:-1]])
-            h_before[starts] = END
-            rare = ~is_sure
-            for kind, which, key in ((WORD, rare, h), (PAIR, unknown & ~some, pair), (OPEN_PAIR, some, pair), (OPEN_BEFORE, some & (before < 0), h_before), (OPEN_WORD, some & (own < 0), h)):
-                at = np.flatnonzero(which)
-                if len(at):
-                    none, pos = np.zeros(len(at), np.int64), at - starts[of_token[at]] if kind >= OPEN_PAIR else np.full(len(at), -1)
-                    x, y = (before[at], own[at]) if kind in (PAIR, OPEN_PAIR) else (none, none)
-                    yield from common.emit(PARTS, [rid[of_token[at]], pa.nulls(len(at), pa.int64()), np.full(len(at), kind), pos, key[at].view(np.int64), none, none, x.astype(float), y.astype(float)])
-
-    parts = rows.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text").mapInArrow(of, PARTS_DDL)
-    less = grams.where(F.when(F.col("pair"), F.col("c") < floor).otherwise(F.col("c") < common_from)).select("pair", F.col("h").alias("gram"), "c")
-    kind = F.col("kind")
-    is_pair = kind.isin(PAIR, OPEN_PAIR)
-    met = parts.join(less, (F.col("h") == F.col("gram")) & (is_pair == F.col("pair")), "left").withColumn("c", F.coalesce("c", F.lit(0)))
-    word = F.when(F.col("c") > 0, F.log10((F.col("c") + 0.5) / denominator)).otherwise(zero)
-    counted = lambda k, known: F.max(F.when(kind == k, F.col("c").cast("double")).when((kind == OPEN_PAIR) & (F.col(known) >= 0), F.col(known)))
-    # the tokens: rows without a position sum up, rows with one make up a token
-    tokens_ = met.groupBy("rid", "pos").agg(
-        F.max("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"),
-        F.sum(F.when(kind == WORD, (F.col("c") > 0).cast("long")).otherwise(F.col("n_known"))).alias("n_known"),
-        F.sum(F.when(kind == WORD, word).when(kind == DOCUMENT, F.col("base")).otherwise(0.0)).alias("base"),
-        F.sum(F.when(kind == DOCUMENT, F.col("score")).when(kind == PAIR, F.log10(likelihood(F, F.col("c"), F.col("base"), F.col("score"), denominator))).otherwise(0.0)).alias("score"),
-        F.max(F.when(kind == OPEN_PAIR, F.col("c").cast("double"))).alias("both"), counted(OPEN_BEFORE, "base").alias("before"), counted(OPEN_WORD, "score").alias("own"),
-    )
-    token = F.when(F.col("pos") >= 0, F.log10(likelihood(F, F.col("both"), F.col("before"), F.col("own"), denominator))).otherwise(F.col("score"))
-    found = tokens_.groupBy("rid").agg(F.max("doc_id").alias("doc_id"), *(F.sum(x).alias(x) for x in ("n_tokens", "n_known", "base")), F.sum(token).alias("score"))
-    return found.select(
-        "doc_id", (common.crc_of_id(F.col("doc_id")) % FOLDS == HELD_OUT).alias("held_out"), "n_tokens", "n_known",
-        F.lit(n).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score",
-    )
+        itself, got = None, []
+        for rows in batches:
+            for row in zip(*(c.to_pylist() for c in rows.columns)):
+                if row[1] == ITSELF:
+                    if itself:
+                        yield from scores(itself, got)
+                    itself, got = row, []
+                else:
+                    got.append(row[7:])
+        if itself:
+            yield from scores(itself, got)
+
+    def scores(itself: tuple, got: list[tuple]) -> Iterator[pa.RecordBatch]:
+        _, _, words, doc_ids, held_out, sizes, numbers = itself[:7]
+        h, out, sizes = np.frombuffer(words, "<u8"), unplaned(numbers), np.array(sizes)
+        c, levels, both = (np.frombuffer(b"".join(x), t) for x, t in zip(zip(*got), ("<i8", np.uint8, np.uint8)))
+        starts = np.cumsum(sizes) - sizes
+        previous = before(out, sizes, int(np.searchsorted(h, END)))
+        _, first, number = np.unique(pairs(h, out, previous), return_index=True, return_inverse=True)
+        single = count(levels.astype(np.int64))
+        logs = np.log10(likelihood(count(both.astype(np.int64)), single[previous[first]], single[out[first]], denominator))
+        base, known = np.log10((c + 0.5) / denominator), c > 0
+        sums = [np.add.reduceat(x, starts) for x in (known[out].astype(np.int64), base[out], logs[number])]
+        yield from common.emit(SCORES, [doc_ids, held_out, sizes, sums[0], np.full(len(sizes), n), sums[1], sums[2]])
+
+    itself = made.where(F.col("segment") == ITSELF).select("batch", "segment", "words", "doc_ids", "held_out", "sizes", "tokens")
+    told = answers.where(F.col("batch") != ITSELF).select("batch", "segment", "counts", "word_levels", "pair_levels")
+    met = itself.unionByName(told, allowMissingColumns=True).select("batch", "segment", "words", "doc_ids", "held_out", "sizes", "tokens", "counts", "word_levels", "pair_levels")
+    return met.repartition("batch").sortWithinPartitions("batch", "segment").mapInArrow(of, SCORES_DDL)

@@ -41,25 +41,22 @@ def test_base_scores(spark):
     check(spark)
 
 
-def test_base_scores_with_rare_words_joined(spark, monkeypatch):
-    monkeypatch.setattr(lm, "HEAVY", 40)
-    monkeypatch.setattr(lm, "ENTRIES", 500)
+def test_base_scores_over_many_batches_and_segments(spark, monkeypatch):
+    monkeypatch.setattr(lm, "BATCH", 900)
+    monkeypatch.setattr(lm, "SEGMENT", 2000)
     check(spark)
 
 
-def test_filter_holds_what_was_put_in(spark):
+def test_filter_holds_what_was_put_in():
     rng = np.random.default_rng(1)
-    h = rng.integers(-(2**62), 2**62, size=30000)
+    h = rng.integers(0, 2**62, size=30000).astype(np.uint64)
     c = rng.zipf(1.7, size=30000).clip(1, 10**6)
-    df = spark.createDataFrame([(int(a), int(b)) for a, b in zip(h, c)], "h long, c long")
-    for floor in (1, 4):
-        bloom = lm.build(df, floor)
-        put = c >= floor
-        levels = bloom.levels(h.view(np.uint64))
-        assert (levels[put] >= lm.level_of(c[put], floor)).all()
-        assert (levels[put] > lm.level_of(c[put], floor)).mean() < 0.05
-        absent = bloom.levels(rng.integers(-(2**62), 2**62, size=20000).view(np.uint64))
-        assert (absent > 0).mean() < 0.05
+    bloom = lm.Filter(h, c)
+    levels = bloom.levels(h).astype(int)
+    assert (levels >= lm.level_of(c)).all()
+    assert (levels > lm.level_of(c)).mean() < 0.05
+    assert (bloom.levels(rng.integers(0, 2**62, size=20000).astype(np.uint64)) > 0).mean() < 0.05
+    assert (lm.Filter(h[:0], c[:0]).levels(h) == 0).all()
 
 
 def test_pairs_lift_the_likelihood_of_held_out_text(spark):
@@ -85,20 +82,18 @@ def test_edges(spark):
     assert (r.train_tokens, r.n_known, r.n_tokens) == (0, 0, 4)
 
 
-def test_all_ngrams_count_below_the_floor(spark, monkeypatch):
-    monkeypatch.setattr(lm, "ENTRIES", 3000)
-    monkeypatch.setattr(lm, "HEAVY", 300)
+def test_scores_against_plain_counts(spark, monkeypatch):
+    monkeypatch.setattr(lm, "BATCH", 5000)
+    monkeypatch.setattr(lm, "SEGMENT", 9000)
     rows = corpus(300)
     train = [toks(t) for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1]
     c, two = Counter(w for t in train for w in t), Counter(p for t in train for p in zip(["\n", *t], t))
     n, v = sum(c.values()), len(c)
-    floor = math.ceil(2 * n / lm.ENTRIES)
-    assert floor > 3
 
     def near(x):
-        q = int(lm.level_of(np.array([x]), floor)[0])
-        least, most = math.ceil(floor * lm.BASE ** (q - 1)), math.ceil(floor * lm.BASE**q) - 1
-        return x if x < floor else math.sqrt(least * most)
+        q = int(lm.level_of(np.array([x]))[0])
+        least, most = math.ceil(lm.BASE ** (q - 1)), math.ceil(lm.BASE**q) - 1
+        return math.sqrt(least * most) if x else 0
 
     def plain(t):
         out = 0
@@ -113,3 +108,16 @@ def test_all_ngrams_count_below_the_floor(spark, monkeypatch):
     small = [(i, toks(t)) for i, t in rows if len(toks(t)) < 95]
     off = [abs(out[i] - plain(t)) / len(t) for i, t in small]
     assert np.mean(np.array(off) < 1e-6) > 0.5 and np.mean(off) < 0.05
+
+
+def test_held_out_copies_are_told_apart(spark):
+    """One training document is enough for the model to know a text."""
+    rng = random.Random(9)
+    text = lambda: " ".join(f"u{rng.randrange(3000)}" for _ in range(80))
+    held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 == 1]
+    rows = [(i, text()) for i in range(400)]
+    twice = [(i, rows[i - 1][1]) for i in held if i - 1 not in held and i]
+    rows = {**dict(rows), **dict(twice)}
+    out = {r.doc_id: r.score - r.base_score for r in lm.scored(spark.createDataFrame(list(rows.items()), DDL)).collect()}
+    again = {i for i, _ in twice}
+    assert again and min(out[i] for i in again) > max(out[i] for i in held if i not in again)
