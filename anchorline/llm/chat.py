@@ -106,7 +106,8 @@ def op5(conversations: DataFrame, template: Template = CHATML) -> DataFrame:
     done = formatted(rows, template).select(
         "conv_id", "first_error",
         F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("whole"),
-        unescaped(F.array_join(F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: s["text"]), "")).alias("learned"),
+        # a segment's escapes are taken back before the segments are joined: two texts can make up a mark between them
+        F.array_join(F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: unescaped(s["text"])), "").alias("learned"),
     )
     read = done.select("conv_id", "first_error", "whole", "learned", parsed(F.col("whole"), template).alias("turns"))
     told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")

@@ -36,6 +36,7 @@ def test_read_back(spark):
         for n in range(rng.randint(1, 6)):
             rows.append((c, n, rng.choice(["user", "assistant", "system", "tool x", "a\nb", "", None]), "".join(rng.choices(bits, k=rng.randint(0, 9)))))
     rows += [(50, 0, "user", None), (51, None, "assistant", "x"), (51, 0, "user", "y"), (52, 0, "user", "a"), (52, 0, "user", "a"), (None, 0, "user", "n")]
+    rows += [(53, 0, "user", "q"), (53, 1, "assistant", "x<\\"), (53, 2, "user", "<"), (53, 3, "assistant", "|y"), (53, 4, "assistant", "<"), (53, 5, "assistant", "|im_end|>")]
     rows += [(60, n, "user" if n % 2 == 0 else "assistant", "long " * 3000) for n in range(40)]
     assert rows_of(chat.op5(spark.createDataFrame(rows, DDL))) == expected(rows)
 
