@@ -20,11 +20,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only if the session names none."""
+    """The folder that driver and executors share; a temporary one only if a session on one machine names none."""
     if named := spark.conf.get("spark.checkpoint.dir", None):
         return named.rstrip("/")
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
+        if sc.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="anchorline-"))
     return sc.getCheckpointDir().rstrip("/")
 

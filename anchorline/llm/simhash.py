@@ -12,9 +12,10 @@ spanning forest, never all pairs.  A key with more than ``block`` members is cut
 into blocks and every pair of blocks becomes a group of its own, so no task holds
 an unbounded group and no link is lost.
 
-``survivors`` does not use the fingerprints: it takes candidates from min-hashes of
-the sets of five-word shingles and keeps a link only if the sets themselves have a
-Jaccard similarity of ``SIMILAR`` or more.
+``survivors`` keeps a link only if the sets of five-word shingles themselves have a
+Jaccard similarity of ``SIMILAR`` or more.  Its candidates are the links of the
+fingerprints of these shingles, and, as two texts at that similarity differ in about
+ten bits and most have no link within three, those that share a band of min-hashes.
 
 Defined results: null or blank text has fingerprint zero and links like any
 other; for ``survivors`` all null and blank texts are copies of each other; rows with the same id or text each get a row; an empty table gives an
@@ -37,6 +38,8 @@ from . import common
 SEED = 42
 FINGERPRINTS = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+#: Tasks over which the links of one node are dealt.
+SALTS = 8
 
 
 def shingle_hashes(text: str | None, width: int) -> np.ndarray:
@@ -162,16 +165,21 @@ def components(edges: DataFrame) -> DataFrame:
         """Tells two sets of links apart."""
         return tuple(state.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
 
+    def joined(rows: DataFrame, small: DataFrame, by: str, other: str) -> DataFrame:
+        """rows.join(small, by), where a node with many links is dealt over SALTS tasks."""
+        dealt = small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        return rows.withColumn("salt", F.pmod(F.xxhash64(other), F.lit(SALTS)).cast("int")).join(dealt, [by, "salt"]).drop("salt")
+
     edges = common.saved(edges.select("a", "b").where("a <> b"), "links")
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("x"), F.col("m").alias("y"))
+        large = joined(both, least, "a", "b").where(F.col("b") > F.col("a")).select(F.col("b").alias("x"), F.col("m").alias("y"))
         large = large.where("x <> y").distinct()
         # now x > y: hang y and each x with the same larger end under their least
         down = large.groupBy("x").agg(F.min("y").alias("m"))
-        small = large.join(down, "x").select(F.explode(F.array(F.struct("x", "m"), F.struct(F.col("y").alias("x"), "m"))).alias("e")).select(F.col("e.x").alias("a"), F.col("e.m").alias("b"))
+        small = joined(large, down, "x", "y").select(F.explode(F.array(F.struct("x", "m"), F.struct(F.col("y").alias("x"), "m"))).alias("e")).select(F.col("e.x").alias("a"), F.col("e.m").alias("b"))
         after = common.saved(small.where("a <> b").distinct(), "links")
         if (now := told(after)) == before:
             break
@@ -208,7 +216,9 @@ WIDTH, SIMILAR = 5, (4, 5)
 #: A band is equal if so many min-hashes are; a pair with a similarity of 0.8 has no equal band once in 150,000.
 BANDS, BAND_ROWS = 30, 5
 FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-PRINTS = pa.schema([("_none", pa.bool_()), ("_id", pa.int64()), ("_th", pa.int64()), ("node", pa.int64()), ("bands", pa.list_(pa.int64()))])
+PRINTS = pa.schema([("_none", pa.bool_()), ("_id", pa.int64()), ("_th", pa.int64()), ("node", pa.int64()), ("fp", pa.int64()), ("bands", pa.list_(pa.int64()))])
+#: Bits in which the fingerprints of a candidate differ at most.
+DISTANCE = 3
 SETS = pa.schema([("node", pa.int64()), ("shingles", pa.binary())])
 
 
@@ -231,15 +241,15 @@ def bands(hashes: np.ndarray) -> np.ndarray:
 
 
 def banded(docs: DataFrame) -> DataFrame:
-    """(_none, _id, _th, node, bands) for each row; rows with the same set of shingles have the same node."""
+    """(_none, _id, _th, node, fp, bands) for each row; rows with the same set of shingles have the same node."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches):
             sets = [shingle_set(t.as_py()) for t in batch.column(3)]
             nodes = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
-            yield from common.emit(PRINTS, [*batch.columns[:3], nodes, [bands(s) for s in sets]])
+            yield from common.emit(PRINTS, [*batch.columns[:3], nodes, [fingerprint(s) for s in sets], [bands(s) for s in sets]])
 
-    return keys(docs).select("_none", "_id", "_th", "text").mapInArrow(of, "_none boolean, _id long, _th long, node long, bands array<long>")
+    return keys(docs).select("_none", "_id", "_th", "text").mapInArrow(of, "_none boolean, _id long, _th long, node long, fp long, bands array<long>")
 
 
 def sets_of(docs: DataFrame, chosen: DataFrame) -> DataFrame:
@@ -273,18 +283,30 @@ def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return met.select("a", "b", "sa", "sb").mapInArrow(of, "a long, b long")
 
 
+def near_prints(nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes with near fingerprints: all of a fingerprint with its least node, and the least nodes of linked ones."""
+    least = common.saved(nodes.groupBy("fp").agg(F.min("node").alias("least")), "distinct")
+    same = nodes.select("fp", "node").join(least, "fp").where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    linked = links(least.select("fp"), DISTANCE)
+    for end in "ab":
+        linked = linked.join(least.withColumnsRenamed({"fp": end, "least": f"least_{end}"}), end)
+    return same.unionByName(linked.select(F.least("least_a", "least_b").alias("a"), F.greatest("least_a", "least_b").alias("b")))
+
+
 def copies(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, root) for the nodes (node, first, bands) that have links of SIMILAR or more to others.
+    """(node, root) for the nodes (node, first, fp, bands) that have links of SIMILAR or more to others.
 
-    In each band all nodes meet the least one; of the rest only those pairs that
-    are not joined by then.  So a large group of copies needs few comparisons, and
+    Nodes with near fingerprints meet, and in each band all nodes meet the least
+    one; of the rest only those pairs that are not joined by then.  So a large group of copies needs few comparisons, and
     every pair with an equal band is either joined or has been compared.
     """
     each = nodes.select("node", F.explode("bands").alias("band"))
     shared = each.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("least")).where("n > 1").drop("n")
     held = common.saved(each.join(shared, "band"), "bands")
-    sets = common.saved(sets_of(docs, nodes.join(held.select("node").distinct(), "node", "left_semi").select("node", "first.*")), "sets")
-    stars = common.saved(held.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(), "stars")
+    stars = held.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    stars = common.saved(stars.unionByName(near_prints(nodes)).distinct(), "stars")
+    met = stars.select(F.explode(F.array("a", "b")).alias("node")).unionByName(held.select("node")).distinct()
+    sets = common.saved(sets_of(docs, nodes.join(met, "node", "left_semi").select("node", "first.*")), "sets")
     links = common.saved(similar(stars, sets), "links")
     rooted = components(links)
     at = common.saved(held.select("band", "node").join(rooted, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root")), "rooted")
@@ -299,7 +321,7 @@ def survivors(docs: DataFrame) -> DataFrame:
     """One row of each group of copies and near copies, that of the least doc_id, with all its columns."""
     common.on_workers(docs.sparkSession)
     light = common.saved(banded(docs), "prints")
-    nodes = common.saved(light.groupBy("node").agg(F.min(F.struct("_none", "_id", "_th")).alias("first"), F.first("bands").alias("bands")), "nodes")
+    nodes = common.saved(light.groupBy("node").agg(F.min(F.struct("_none", "_id", "_th")).alias("first"), F.first("fp").alias("fp"), F.first("bands").alias("bands")), "nodes")
     rooted = nodes.select("node", "first").join(copies(docs, nodes), "node", "left")
     first = rooted.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
     return rows_of(docs, first.select("first.*")).select("_row.*")
