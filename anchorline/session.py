@@ -21,8 +21,11 @@ def session(master: str | None = None, **conf: str) -> SparkSession:
 
 
 def with_checkpoints(spark: SparkSession) -> SparkSession:
-    """The session with a checkpoint folder: the one it names, a temporary one only if it names none."""
+    """The session with a checkpoint folder: the one it names, a temporary one only if a session on one machine names none."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="anchorline-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and sc.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="anchorline-"))
     return spark
