@@ -155,6 +155,12 @@ def links(fps: DataFrame, distance: int = 3, block: int = 256) -> DataFrame:
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def joined(rows: DataFrame, small: DataFrame, by: str, other: str) -> DataFrame:
+    """rows.join(small, by), where the rows of one value are dealt over SALTS tasks by ``other``."""
+    dealt = small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", F.pmod(F.xxhash64(other), F.lit(SALTS)).cast("int")).join(dealt, [by, "salt"]).drop("salt")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node of each node's component, for the nodes that have links.
 
@@ -165,11 +171,6 @@ def components(edges: DataFrame) -> DataFrame:
         """Tells two sets of links apart."""
         return tuple(state.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
 
-    def joined(rows: DataFrame, small: DataFrame, by: str, other: str) -> DataFrame:
-        """rows.join(small, by), where a node with many links is dealt over SALTS tasks."""
-        dealt = small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        return rows.withColumn("salt", F.pmod(F.xxhash64(other), F.lit(SALTS)).cast("int")).join(dealt, [by, "salt"]).drop("salt")
-
     edges = common.saved(edges.select("a", "b").where("a <> b"), "links")
     before = None
     while True:
@@ -217,6 +218,8 @@ WIDTH, SIMILAR = 5, (4, 5)
 BANDS, BAND_ROWS = 30, 5
 FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 PRINTS = pa.schema([("_none", pa.bool_()), ("_id", pa.int64()), ("_th", pa.int64()), ("node", pa.int64()), ("fp", pa.int64()), ("bands", pa.list_(pa.int64()))])
+#: Nodes of a band that are compared with each other at once.
+BLOCK = 256
 #: Bits in which the fingerprints of a candidate differ at most.
 DISTANCE = 3
 SETS = pa.schema([("node", pa.int64()), ("shingles", pa.binary())])
@@ -296,25 +299,87 @@ def near_prints(nodes: DataFrame) -> DataFrame:
 def copies(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, root) for the nodes (node, first, fp, bands) that have links of SIMILAR or more to others.
 
-    Nodes with near fingerprints meet, and in each band all nodes meet the least
-    one; of the rest only those pairs that are not joined by then.  So a large group of copies needs few comparisons, and
-    every pair with an equal band is either joined or has been compared.
+    Nodes with near fingerprints meet, and in each band all nodes meet the one with
+    the most company in all its bands, which of a text and its edited copies is the
+    text.  In bands whose nodes are not all joined by then, blocks of nodes meet, and
+    every pair is compared inside the tasks.  So every pair with an equal band is
+    either joined or has been compared.
     """
     each = nodes.select("node", F.explode("bands").alias("band"))
-    shared = each.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("least")).where("n > 1").drop("n")
-    held = common.saved(each.join(shared, "band"), "bands")
-    stars = held.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    shared = each.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    held = common.saved(joined(each, shared, "band", "node"), "bands")
+    company = held.groupBy("node").agg(F.sum("n").alias("company"))
+    held = common.saved(held.join(company, "node").select("band", "node", "company"), "bands")
+    middle = held.groupBy("band").agg(F.max(F.struct("company", "node"))["node"].alias("middle"))
+    stars = joined(held, middle, "band", "node").where("node <> middle").select(F.least("middle", "node").alias("a"), F.greatest("middle", "node").alias("b"))
     stars = common.saved(stars.unionByName(near_prints(nodes)).distinct(), "stars")
-    met = stars.select(F.explode(F.array("a", "b")).alias("node")).unionByName(held.select("node")).distinct()
+    met = stars.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     sets = common.saved(sets_of(docs, nodes.join(met, "node", "left_semi").select("node", "first.*")), "sets")
-    links = common.saved(similar(stars, sets), "links")
-    rooted = components(links)
+    found = common.saved(similar(stars, sets), "links")
+    rooted = components(found)
     at = common.saved(held.select("band", "node").join(rooted, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root")), "rooted")
-    apart = at.join(at.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("band"), "band")
-    left, right = (apart.select("band", F.col("node").alias(n), F.col("root").alias(f"root_{n}")) for n in "xy")
-    pairs = left.join(right, "band").where("root_x < root_y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    more = common.saved(similar(pairs.join(stars, ["a", "b"], "left_anti"), sets), "links")
-    return rooted if more.isEmpty() else components(links.unionByName(more))
+    apart = at.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low < high").select("band", "n")
+    more = common.saved(compared(joined(at, apart, "band", "node"), sets), "links")
+    return rooted if more.isEmpty() else components(found.unionByName(more))
+
+
+def compared(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): links of SIMILAR or more between nodes of a band, rows (band, node, root, n), that join what all of them join."""
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    mine = F.pmod(F.xxhash64("node", "band"), blocks).cast("int")
+    dealt = rows.join(sets, "node").select("band", "node", "root", "shingles", mine.alias("mine"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    i, j = F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j")
+    columns = ("band", "i", "j", "node", "root", "shingles")
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in common.slices(batches):
+            for *key, node, root, shingles in zip(*(c.to_pylist() for c in batch.columns)):
+                if key != now:
+                    yield from common.emit(LINKS, list(zip(*forest(held))) or [[], []])
+                    now, held = key, []
+                held.append((node, root, np.frombuffer(shingles, np.uint64)))
+        yield from common.emit(LINKS, list(zip(*forest(held))) or [[], []])
+
+    dealt = dealt.select("band", i, j, "node", "root", "shingles")
+    return dealt.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").select(*columns).mapInArrow(of, "a long, b long").distinct()
+
+
+def forest(held: list[tuple[int, int, np.ndarray]]) -> list[tuple[int, int]]:
+    """Links of SIMILAR or more among (node, root, set) that join the roots as all such links do."""
+    if len(held) < 2:
+        return []
+    nodes, roots, sets = zip(*held)
+    sizes = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    # a shingle of one set only is common to none
+    several = times > 1
+    column, owner = (np.cumsum(several) - 1)[column[several[column]]], owner[several[column]]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    width = 4096
+    for low in range(0, int(several.sum()), width):
+        a, b = np.searchsorted(column, [low, low + width])
+        has = np.zeros((len(sets), width), np.float32)
+        has[owner[a:b], column[a:b] - low] = 1
+        both += has @ has.T
+    up, down = SIMILAR
+    near = (both > 0) & (down * both >= up * (sizes[:, None] + sizes[None, :] - both))
+    parent = {r: r for r in roots}
+
+    def top(r: int) -> int:
+        while parent[r] != r:
+            parent[r] = r = parent[parent[r]]
+        return r
+
+    out = []
+    for x, y in zip(*(k.tolist() for k in np.nonzero(np.triu(near, 1)))):
+        if (a := top(roots[x])) != (b := top(roots[y])):
+            parent[max(a, b)] = min(a, b)
+            out.append((min(nodes[x], nodes[y]), max(nodes[x], nodes[y])))
+    return out
 
 
 def survivors(docs: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import xxhash
 
 from anchorline.llm import simhash
@@ -139,3 +140,33 @@ def test_links_at_four_fifths_of_the_shingles_and_not_below(spark):
     rows += [(500, " ".join(words[:104])), (501, " ".join(words[10:114])), (502, " ".join(words[20:124]))]
     out = simhash.survivors(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
     assert {r.doc_id for r in out.collect()} == {i for i, _ in rows} - gone - {501, 502}
+
+
+def test_groups_without_a_middle_are_compared_in_blocks(spark, monkeypatch):
+    """Chains of edits: each text is near its neighbours only; and many texts of one family that are just not near."""
+    monkeypatch.setattr(simhash, "BLOCK", 16)
+    rng = random.Random(21)
+    base = [f"b{i}" for i in range(200)]
+    rows, chain = [], list(base)
+    for i in range(60):
+        rows.append((i, " ".join(chain)))
+        chain = list(chain)
+        for _ in range(3):
+            chain[rng.randrange(200)] = f"c{i}x{rng.randrange(999)}"
+    far = [f"d{i}" for i in range(200)]
+    for i in range(60):
+        other = list(far)
+        for _ in range(9):
+            other[rng.randrange(200)] = f"e{i}x{rng.randrange(999)}"
+        rows.append((100 + i, " ".join(other)))
+    sets = {i: set(simhash.shingle_set(t).tolist()) for i, t in rows}
+    near = {(i, j) for i in sets for j in sets if i < j and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])}
+    root = {i: i for i in sets}
+    for _ in sets:
+        for i, j in near:
+            root[i] = root[j] = min(root[i], root[j])
+    kept = {r.doc_id for r in simhash.survivors(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == set(root.values())
+    held = [(i, i, np.array(sorted(s), np.uint64)) for i, s in sets.items()]
+    found = simhash.forest(held)
+    assert set(found) <= near and len(found) == len(sets) - len(set(root.values()))
