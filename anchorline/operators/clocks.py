@@ -31,7 +31,9 @@ def clock_fits(pulses: DataFrame, reference: str, threshold: float, max_residual
     """Per (session, stream): reference time = a t + b by least squares over pulses paired in order after gap repair.
 
     ``status`` tells what is wrong instead of an exception, so that one session
-    does not end a batch; with ``strict`` a row that is not ok raises.
+    does not end a batch; with ``strict`` a row that is not ok raises.  ``a`` and ``b``
+    are null where the counts differ, as the pairs are shifted then.  ``n_repaired``
+    counts the pulses added to the stream and to the reference.
     """
     whole = repaired(pulses, threshold)
     counts = whole.groupBy("session", "stream").agg(F.count("*").alias("n"), F.count_if("added").alias("n_repaired"))
@@ -42,14 +44,15 @@ def clock_fits(pulses: DataFrame, reference: str, threshold: float, max_residual
     fit = paired.groupBy("session", "stream").agg(F.count("*").alias("pairs"), F.when(F.var_pop("x") > 0, F.regr_slope("y", "x")).alias("a"), F.when(F.var_pop("x") > 0, F.regr_intercept("y", "x")).alias("b"))
     off = F.col("y") - (F.col("a") * F.col("x") + F.col("b"))
     residual = paired.join(fit, ["session", "stream"]).groupBy("session", "stream").agg((F.sqrt(F.avg(off * off)) * 1000).alias("residual_ms"))
-    sizes = counts.where(F.col("stream") == reference).select("session", F.col("n").alias("n_reference"))
+    sizes = counts.where(F.col("stream") == reference).select("session", F.col("n").alias("n_reference"), F.col("n_repaired").alias("_added"))
     found = fit.join(residual, ["session", "stream"]).join(counts, ["session", "stream"]).join(sizes, "session")
     status = F.when(F.col("pairs") < 2, "too_few_pulses").when(F.col("n") != F.col("n_reference"), "counts_differ").when(F.col("residual_ms") > max_residual_ms, "residual_too_large").otherwise("ok")
-    found = found.select("session", "stream", "a", "b", "residual_ms", "n_repaired", status.alias("status"))
+    found = found.withColumn("status", status).withColumn("n_repaired", F.col("n_repaired") + F.col("_added"))
+    found = found.select("session", "stream", *(F.when(F.col("status") != "counts_differ", F.col(c)).alias(c) for c in "ab"), "residual_ms", "n_repaired", "status")
     return found.withColumn("status", F.when(F.col("status") == "ok", F.col("status")).otherwise(F.raise_error(F.col("status")))) if strict else found
 
 
 def transformed(times: DataFrame, fits: DataFrame, time: str = "t", inverse: bool = False) -> DataFrame:
-    """``times`` in the reference clock, or from it into each stream's clock; fits are a row per stream."""
+    """``times`` in the reference clock, or from it into each stream's clock; fits are a row per stream, and null where one has no usable line."""
     t = (F.col(time) - F.col("b")) / F.col("a") if inverse else F.col("a") * F.col(time) + F.col("b")
-    return times.join(F.broadcast(fits.select("session", "stream", "a", "b")), "session").withColumn("t_out", t).drop("a", "b")
+    return times.join(fits.select("session", "stream", "a", "b"), "session").withColumn("t_out", t).drop("a", "b")

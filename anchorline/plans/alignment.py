@@ -177,8 +177,8 @@ matched AS (SELECT gn.session, gn.trial_id, stim, gn.j, CASE WHEN abs(ng - coale
 SQL = {
     "pulse_intervals": f"WITH {_PULSES} SELECT session, stream, count(*) AS n, round(max(gap), 6) AS longest, round(median(gap), 6) AS typical, count(*) FILTER (gap <= 0) AS not_rising FROM gaps GROUP BY ALL",
     "gap_repair": f"WITH {_PULSES} SELECT session, stream, count(*) AS n, count(*) FILTER (added) AS added, round(sum(t), 3) AS sum_t FROM whole GROUP BY ALL",
-    "clock_fit": f"WITH {_PULSES}, {_FITS} SELECT session, stream, round(a, 7) AS a, round(b, 4) AS b, round(r, 3) AS residual_ms, (SELECT count(*) FILTER (added) FROM whole w WHERE w.session = fit.session AND w.stream = fit.stream) AS n_repaired, CASE WHEN pairs < 2 THEN 'too_few_pulses' WHEN n <> nr THEN 'counts_differ' WHEN r > 5 THEN 'residual_too_large' ELSE 'ok' END AS status FROM fit JOIN residuals USING (session, stream)",
-    "clock_transform": f"WITH {_PULSES}, {_FITS} SELECT p.session, fit.stream, count(*) AS n, round(avg((t - b) / a), 4) AS mean_t FROM pulses p JOIN fit ON fit.session = p.session WHERE p.stream = 'nidq' GROUP BY ALL",
+    "clock_fit": f"WITH {_PULSES}, {_FITS} SELECT session, stream, round(CASE WHEN n = nr THEN a END, 7) AS a, round(CASE WHEN n = nr THEN b END, 4) AS b, round(r, 3) AS residual_ms, (SELECT count(*) FILTER (added) FROM whole w WHERE w.session = fit.session AND w.stream IN (fit.stream, 'nidq')) AS n_repaired, CASE WHEN pairs < 2 THEN 'too_few_pulses' WHEN n <> nr THEN 'counts_differ' WHEN r > 5 THEN 'residual_too_large' ELSE 'ok' END AS status FROM fit JOIN residuals USING (session, stream)",
+    "clock_transform": f"WITH {_PULSES}, {_FITS} SELECT p.session, fit.stream, count(*) AS n, round(avg(CASE WHEN fit.n = nr THEN (t - b) / a END), 4) AS mean_t FROM pulses p JOIN fit ON fit.session = p.session WHERE p.stream = 'nidq' GROUP BY ALL",
     "bit_repack": f"SELECT event_id, {_BITS('k', (6, 0, 3))} AS code FROM (SELECT event_id, CAST(json_extract(props, '$.k') AS INT) AS k FROM events)",
     "rising_edges": f"WITH {_SAMPLES} SELECT session, sample FROM (SELECT *, (w >> 3) & 1 AS b, lag((w >> 3) & 1) OVER (PARTITION BY session ORDER BY sample) AS p FROM samples) WHERE b = 1 AND p = 0",
     "code_changes": f"WITH {_SAMPLES} SELECT session, sample, c AS code FROM (SELECT *, lag(c) OVER (PARTITION BY session ORDER BY sample) AS p FROM (SELECT *, {_BITS('w', (6, 5, 3))} AS c FROM samples)) WHERE c <> p",

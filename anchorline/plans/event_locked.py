@@ -39,20 +39,12 @@ def export_raster(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def psth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AG-5, OP-6."""
-    n = f.onsets(spark, sf_dir).count()
-    return r.psth(_cells(spark, sf_dir), n, BIN_S).withColumn("rate_hz", F.round("rate_hz", 9))
+    return r.psth(_cells(spark, sf_dir), r.trial_counts(f.onsets(spark, sf_dir)), BIN_S).withColumn("rate_hz", F.round("rate_hz", 9))
 
 
 def psth_preferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AG-6: each unit's rate course for its preferred stimulus and the mean course over stimuli."""
-    onsets = f.onsets(spark, sf_dir)
-    trials = onsets.groupBy("session", "stim_index").agg(F.count("*").alias("trials"))
-    n_stims = trials.count()
-    by = _cells(spark, sf_dir).join(onsets.select("session", "trial_id", "stim_index"), ["session", "trial_id"]).groupBy(*r.UNIT, "stim_index", "bin").agg(F.sum("n").alias("n"))
-    by = by.join(F.broadcast(trials), ["session", "stim_index"]).withColumn("rate", F.col("n") / (F.col("trials") * BIN_S))
-    window = by.where(f"bin >= {FIRST} AND bin < {LAST}").groupBy(*r.UNIT, "stim_index").agg(F.round(F.sum("rate"), 9).alias("rate"))
-    best = window.groupBy(*r.UNIT).agg(F.max_by("stim_index", F.struct("rate", -F.col("stim_index"))).alias("preferred"))
-    found = by.join(best, list(r.UNIT)).groupBy(*r.UNIT, "preferred", "bin").agg(F.coalesce(F.sum(F.when(F.col("stim_index") == F.col("preferred"), F.col("rate"))), F.lit(0.0)).alias("preferred_hz"), (F.sum("rate") / n_stims).alias("mean_hz"))
+    found = r.preferred_courses(_cells(spark, sf_dir), f.onsets(spark, sf_dir), FIRST, LAST, BIN_S)
     return found.withColumns({c: F.round(c, 8) for c in ("preferred_hz", "mean_hz")})
 
 
@@ -69,32 +61,32 @@ def window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stim_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AG-8."""
     counts = r.window_counts(_cells(spark, sf_dir, None), FIRST, LAST)
-    return r.stim_rates(counts, f.onsets(spark, sf_dir), WINDOW_S).withColumn("rate_hz", F.round("rate_hz", 9))
+    return r.stim_rates(counts, f.onsets(spark, sf_dir), WINDOW_S, f.spikes(spark, sf_dir)).withColumn("rate_hz", F.round("rate_hz", 9))
 
 
 def unit_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AG-11, AG-42."""
     counts = r.window_counts(_cells(spark, sf_dir, None), FIRST, LAST)
-    found = r.unit_stats(counts, f.onsets(spark, sf_dir).count())
+    found = r.unit_stats(counts, r.trial_counts(f.onsets(spark, sf_dir)), f.spikes(spark, sf_dir))
     return found.withColumns({c: F.round(c, 8) for c in ("mean_count", "snr")})
 
 
 def selectivity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AG-12."""
     counts = r.window_counts(_cells(spark, sf_dir, None), FIRST, LAST)
-    rates = r.stim_rates(counts, f.onsets(spark, sf_dir), WINDOW_S)
+    rates = r.stim_rates(counts, f.onsets(spark, sf_dir), WINDOW_S, f.spikes(spark, sf_dir))
     return r.selectivity(rates).withColumn("selectivity", F.round("selectivity", 8))
 
 
 def consistency_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AG-16."""
-    found = r.consistency(_cells(spark, sf_dir, None), f.onsets(spark, sf_dir).count(), BINS, PRE_BINS)
+    found = r.consistency(_cells(spark, sf_dir, None), r.trial_counts(f.onsets(spark, sf_dir)), BINS, PRE_BINS)
     return found.withColumn("score", F.round("score", 9))
 
 
 def responsiveness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AG-17."""
-    found = r.responsiveness(_cells(spark, sf_dir, None), f.onsets(spark, sf_dir).count(), PRE_BINS)
+    found = r.responsiveness(_cells(spark, sf_dir, None), r.trial_counts(f.onsets(spark, sf_dir)), PRE_BINS)
     return found.withColumns({c: F.round(c, 7) for c in ("mean_base", "mean_response", "z")})
 
 
@@ -106,15 +98,12 @@ def top_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stim_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AG-19: valid trials per stimulus; missing validity counts as valid here."""
-    return f.onsets(spark, sf_dir).where(F.coalesce("valid", F.lit(True))).groupBy("stim_index").agg(F.count("*").alias("n_trials")).orderBy("stim_index")
+    return r.stim_coverage(f.onsets(spark, sf_dir))
 
 
 def raster_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AG-4: share of empty cells of each probe's raster and the layout it asks for."""
-    cells = _cells(spark, sf_dir).groupBy("session", "probe").agg(F.count("*").alias("filled"), F.countDistinct("unit_id").alias("units"))
-    n = f.onsets(spark, sf_dir).count()
-    share = 1 - F.col("filled") / (F.col("units") * n * BINS)
-    return cells.select("session", "probe", "filled", "units", F.round(share, 9).alias("zero_share"), F.when(share >= 0.5, "coo").otherwise("dense").alias("layout"))
+    return r.raster_stats(_cells(spark, sf_dir), r.trial_counts(f.onsets(spark, sf_dir)), BINS).withColumn("zero_share", F.round("zero_share", 9))
 
 
 def valid_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,9 +116,10 @@ QUERIES = {q.__name__: q for q in (range_join, event_raster, export_raster, psth
 
 _COUNTS = f"counts AS (SELECT {UNIT}, trial_id, sum(n) AS n FROM cells WHERE bin >= {FIRST} AND bin < {LAST} GROUP BY ALL)"
 _RATES = f"""rates AS (SELECT u.session, u.probe, u.unit_id, p.stim_index, p.trials, coalesce(h.n, 0) / (p.trials * {WINDOW_S}) AS rate_hz
-  FROM (SELECT DISTINCT {UNIT} FROM counts) u JOIN (SELECT session, stim_index, count(*) AS trials FROM onsets GROUP BY ALL) p USING (session)
+  FROM (SELECT DISTINCT {UNIT} FROM spikes) u JOIN (SELECT session, stim_index, count(*) AS trials FROM onsets GROUP BY ALL) p USING (session)
   LEFT JOIN (SELECT c.session, probe, unit_id, stim_index, sum(n) AS n FROM counts c JOIN onsets USING (session, trial_id) GROUP BY ALL) h USING (session, probe, unit_id, stim_index))"""
-_SCORE = f"""grid AS (SELECT t.*, coalesce(c.n, 0) AS n, b.bin FROM (SELECT DISTINCT {UNIT}, trial_id FROM cells) t CROSS JOIN (SELECT CAST(range AS INT) AS bin FROM range({BINS})) b
+_TRIALS = "per_session AS (SELECT session, count(*) AS n_trials FROM onsets GROUP BY ALL)"
+_SCORE = f"""{_TRIALS}, grid AS (SELECT t.*, coalesce(c.n, 0) AS n, b.bin FROM (SELECT DISTINCT {UNIT}, trial_id FROM cells) t CROSS JOIN (SELECT CAST(range AS INT) AS bin FROM range({BINS})) b
     LEFT JOIN cells c ON c.unit_id = t.unit_id AND c.probe = t.probe AND c.trial_id = t.trial_id AND c.bin = b.bin),
   ranked AS (SELECT *, rank() OVER (PARTITION BY unit_id, trial_id ORDER BY n) + (count(*) OVER (PARTITION BY unit_id, trial_id, n) - 1) / 2.0 - {(BINS + 1) / 2} AS d FROM grid),
   lengths AS (SELECT unit_id, trial_id, sqrt(sum(d * d)) AS norm FROM ranked GROUP BY ALL HAVING sum(d * d) > 1e-9),
@@ -137,8 +127,8 @@ _SCORE = f"""grid AS (SELECT t.*, coalesce(c.n, 0) AS n, b.bin FROM (SELECT DIST
   scored AS (SELECT unit_id, sum(s * s) AS q FROM sums GROUP BY ALL),
   varied AS (SELECT unit_id, count(*) AS m FROM lengths GROUP BY ALL),
   gate AS (SELECT {UNIT}, sum(CASE WHEN bin < {PRE_BINS} THEN n ELSE 0 END) / {PRE_BINS}.0 AS b, sum(CASE WHEN bin >= {PRE_BINS} THEN n ELSE 0 END) / {BINS - PRE_BINS}.0 AS r FROM cells GROUP BY ALL),
-  consistent AS (SELECT {UNIT}, round(CASE WHEN (SELECT count(*) FROM onsets) >= 5 AND r > b AND m >= 2 THEN (q - m) / (m * (m - 1.0)) END, 9) AS score
-    FROM gate LEFT JOIN scored USING (unit_id) LEFT JOIN varied USING (unit_id))"""
+  consistent AS (SELECT {UNIT}, round(CASE WHEN n_trials >= 5 AND r > b AND m >= 2 THEN (q - m) / (m * (m - 1.0)) END, 9) AS score
+    FROM gate JOIN per_session USING (session) LEFT JOIN scored USING (unit_id) LEFT JOIN varied USING (unit_id))"""
 _TEST = f"""sides AS (SELECT {UNIT}, trial_id, sum(CASE WHEN bin < {PRE_BINS} THEN n ELSE 0 END) AS b, sum(CASE WHEN bin >= {PRE_BINS} THEN n ELSE 0 END) AS r FROM cells GROUP BY ALL),
   units AS (SELECT DISTINCT {UNIT} FROM cells),
   trials AS (SELECT u.*, o.trial_id, coalesce(b, 0) AS b, coalesce(r, 0) AS r FROM units u JOIN onsets o USING (session) LEFT JOIN sides s USING (session, probe, unit_id, trial_id)),
@@ -154,23 +144,25 @@ SQL = {
     "range_join": f"WITH {f.SPIKES_SQL}, {f.ONSETS_SQL} SELECT s.session, probe, unit_id, count(*) AS n, CAST(sum(s.t_us - (o.t_us - {PRE})) AS BIGINT) AS sum_dt_us FROM spikes s JOIN onsets o ON s.session = o.session AND s.t_us >= o.t_us - {PRE} AND s.t_us < o.t_us + {POST} GROUP BY ALL",
     "event_raster": f"{WITH_CELLS} SELECT {UNIT}, trial_id, bin, least(n, 255) AS n FROM cells",
     "export_raster": f"{WITH_CELLS} SELECT {UNIT}, trial_id, bin, least(n, 255) AS n FROM cells WHERE trial_id IN (SELECT trial_id FROM onsets WHERE valid)",
-    "psth": f"{WITH_CELLS} SELECT {UNIT}, bin, CAST(sum(least(n, 255)) AS BIGINT) AS n_spikes, round(sum(least(n, 255)) / ((SELECT count(*) FROM onsets) * {BIN_S}), 9) AS rate_hz FROM cells GROUP BY ALL",
-    "psth_preferred": f"""{WITH_CELLS}, per AS (SELECT stim_index, count(*) AS trials FROM onsets GROUP BY ALL),
-      by_stim AS (SELECT c.session, probe, unit_id, stim_index, bin, sum(least(n, 255)) / (any_value(trials) * {BIN_S}) AS rate FROM cells c JOIN onsets o USING (session, trial_id) JOIN per USING (stim_index) GROUP BY ALL),
+    "psth": f"{WITH_CELLS}, {_TRIALS} SELECT {UNIT}, bin, CAST(sum(least(n, 255)) AS BIGINT) AS n_spikes, round(sum(least(n, 255)) / (any_value(n_trials) * {BIN_S}), 9) AS rate_hz FROM cells JOIN per_session USING (session) GROUP BY ALL",
+    "psth_preferred": f"""{WITH_CELLS}, per AS (SELECT session, stim_index, count(*) AS trials FROM onsets GROUP BY ALL), stims AS (SELECT session, count(*) AS n_stims FROM per GROUP BY ALL),
+      by_stim AS (SELECT c.session, probe, unit_id, stim_index, bin, sum(least(n, 255)) / (any_value(trials) * {BIN_S}) AS rate FROM cells c JOIN onsets o USING (session, trial_id) JOIN per USING (session, stim_index) GROUP BY ALL),
       windowed AS (SELECT {UNIT}, stim_index, round(sum(rate), 9) AS rate FROM by_stim WHERE bin >= {FIRST} AND bin < {LAST} GROUP BY ALL),
       best AS (SELECT {UNIT}, stim_index AS preferred FROM windowed QUALIFY row_number() OVER (PARTITION BY {UNIT} ORDER BY rate DESC, stim_index) = 1)
-      SELECT session, probe, unit_id, preferred, bin, round(coalesce(sum(CASE WHEN stim_index = preferred THEN rate END), 0), 8) AS preferred_hz, round(sum(rate) / (SELECT count(*) FROM per), 8) AS mean_hz
-      FROM by_stim JOIN best USING (session, probe, unit_id) GROUP BY ALL""",
+      SELECT session, probe, unit_id, preferred, bin, round(coalesce(sum(CASE WHEN stim_index = preferred THEN rate END), 0), 8) AS preferred_hz, round(sum(rate) / any_value(n_stims), 8) AS mean_hz
+      FROM by_stim JOIN stims USING (session) JOIN best USING (session, probe, unit_id) GROUP BY ALL""",
     "rebinned": f"{WITH_CELLS} SELECT {UNIT}, trial_id, CAST(bin // 4 AS INT) AS bin, CAST(sum(n) AS BIGINT) AS n FROM cells WHERE bin < {BINS // 4 * 4} GROUP BY {UNIT}, trial_id, bin // 4",
     "window_counts": f"{WITH_CELLS}, {_COUNTS} SELECT {UNIT}, trial_id, CAST(n AS BIGINT) AS n, round(n / {WINDOW_S}, 9) AS rate_hz FROM counts",
     "stim_rates": f"{WITH_CELLS}, {_COUNTS}, {_RATES} SELECT session, probe, unit_id, stim_index, trials, round(rate_hz, 9) AS rate_hz FROM rates",
-    "unit_stats": f"""{WITH_CELLS}, {_COUNTS}, m AS (SELECT {UNIT}, sum(n) AS n_spikes, count(*) AS n_active, sum(n) / CAST((SELECT count(*) FROM onsets) AS DOUBLE) AS mean, sum(n * n) / CAST((SELECT count(*) FROM onsets) AS DOUBLE) AS sq FROM counts GROUP BY ALL)
+    "unit_stats": f"""{WITH_CELLS}, {_COUNTS}, {_TRIALS}, units AS (SELECT DISTINCT {UNIT} FROM spikes),
+      m AS (SELECT u.session, u.probe, u.unit_id, coalesce(sum(n), 0) AS n_spikes, count(n) AS n_active, coalesce(sum(n), 0) / CAST(any_value(n_trials) AS DOUBLE) AS mean, coalesce(sum(n * n), 0) / CAST(any_value(n_trials) AS DOUBLE) AS sq
+        FROM units u JOIN per_session USING (session) LEFT JOIN counts c ON c.unit_id = u.unit_id AND c.probe = u.probe AND c.session = u.session GROUP BY ALL)
       SELECT {UNIT}, CAST(n_spikes AS BIGINT) AS n_spikes, n_active, round(mean, 8) AS mean_count, round(CASE WHEN sq - mean * mean > 1e-12 THEN mean / sqrt(sq - mean * mean) END, 8) AS snr FROM m""",
     "selectivity": f"{WITH_CELLS}, {_COUNTS}, {_RATES} SELECT {UNIT}, round(CASE WHEN max(rate_hz) + avg(rate_hz) > 1e-9 THEN (max(rate_hz) - avg(rate_hz)) / (max(rate_hz) + avg(rate_hz)) ELSE 0 END, 8) AS selectivity FROM rates GROUP BY ALL",
     "consistency_score": f"{WITH_CELLS}, {_SCORE} SELECT session, probe, unit_id, score FROM consistent",
     "responsiveness": f"{WITH_CELLS}, {_TEST} SELECT session, probe, unit_id, mean_base, mean_response, u, z, responsive FROM judged",
-    "top_units": f"{WITH_CELLS}, {_SCORE}, {_TEST} SELECT session, probe, unit_id, responsive, score, row_number() OVER (PARTITION BY session, probe ORDER BY responsive DESC, score DESC NULLS LAST, unit_id) AS rank FROM consistent JOIN judged USING (session, probe, unit_id) QUALIFY rank <= 5",
+    "top_units": f"{WITH_CELLS}, {_SCORE}, {_TEST} SELECT session, probe, unit_id, coalesce(responsive, false) AS responsive, score, row_number() OVER (PARTITION BY session, probe ORDER BY coalesce(responsive, false) DESC, score DESC NULLS LAST, unit_id) AS rank FROM (SELECT DISTINCT {UNIT} FROM spikes) LEFT JOIN consistent USING (session, probe, unit_id) LEFT JOIN judged USING (session, probe, unit_id) QUALIFY rank <= 5",
     "stim_coverage": f"WITH {f.ONSETS_SQL} SELECT stim_index, count(*) AS n_trials FROM onsets WHERE coalesce(valid, true) GROUP BY ALL",
-    "raster_stats": f"{WITH_CELLS}, p AS (SELECT session, probe, count(*) AS filled, count(DISTINCT unit_id) AS units FROM cells GROUP BY ALL), q AS (SELECT *, 1 - filled / CAST(units * (SELECT count(*) FROM onsets) * {BINS} AS DOUBLE) AS share FROM p) SELECT session, probe, filled, units, round(share, 9) AS zero_share, CASE WHEN share >= 0.5 THEN 'coo' ELSE 'dense' END AS layout FROM q",
+    "raster_stats": f"{WITH_CELLS}, {_TRIALS}, p AS (SELECT session, probe, count(*) AS filled, count(DISTINCT unit_id) AS units FROM cells GROUP BY ALL), q AS (SELECT *, 1 - filled / CAST(units * n_trials * {BINS} AS DOUBLE) AS share FROM p JOIN per_session USING (session)) SELECT session, probe, filled, units, round(share, 9) AS zero_share, CASE WHEN share >= 0.5 THEN 'coo' ELSE 'dense' END AS layout FROM q",
     "valid_filters": f"WITH {f.ONSETS_SQL} SELECT count(*) FILTER (valid) AS strict, count(*) FILTER (coalesce(valid, true)) AS missing_is_valid, count(*) FILTER (valid IS NULL) AS missing FROM onsets",
 }

@@ -22,19 +22,24 @@ def k_of(props: str = "props") -> Column:
     return F.get_json_object(props, "$.k").cast("int")
 
 
+def session() -> Column:
+    """Users are dealt over three sessions."""
+    return F.concat(F.lit("s"), (F.col("user_id") % 3).cast("string"))
+
+
 def spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").where("event_type <> 'signup'")
-    return rows.select(F.lit("s0").alias("session"), F.concat(F.lit("imec"), (F.col("user_id") % 2).cast("string")).alias("probe"), F.col("user_id").alias("unit_id"), micros("ts").alias("t_us"), F.col("value").alias("amplitude"))
+    return rows.select(session().alias("session"), F.concat(F.lit("imec"), (F.col("user_id") % 2).cast("string")).alias("probe"), F.col("user_id").alias("unit_id"), micros("ts").alias("t_us"), F.col("value").alias("amplitude"))
 
 
 def onsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").where("event_type = 'signup'")
     k = k_of()
-    return rows.select(F.lit("s0").alias("session"), F.col("event_id").alias("trial_id"), micros("ts").alias("t_us"), (k % 10).alias("stim_index"), F.when(k != 50, k >= 10).alias("valid"))
+    return rows.select(session().alias("session"), F.col("event_id").alias("trial_id"), micros("ts").alias("t_us"), (k % 10).alias("stim_index"), F.when(k != 50, k >= 10).alias("valid"))
 
 
-SPIKES_SQL = "spikes AS (SELECT 's0' AS session, 'imec' || (user_id % 2) AS probe, user_id AS unit_id, epoch_us(ts) AS t_us, value AS amplitude FROM events WHERE event_type <> 'signup')"
-ONSETS_SQL = """onsets AS (SELECT 's0' AS session, event_id AS trial_id, epoch_us(ts) AS t_us, k % 10 AS stim_index, CASE WHEN k <> 50 THEN k >= 10 END AS valid
+SPIKES_SQL = "spikes AS (SELECT 's' || (user_id % 3) AS session, 'imec' || (user_id % 2) AS probe, user_id AS unit_id, epoch_us(ts) AS t_us, value AS amplitude FROM events WHERE event_type <> 'signup')"
+ONSETS_SQL = """onsets AS (SELECT 's' || (user_id % 3) AS session, event_id AS trial_id, epoch_us(ts) AS t_us, k % 10 AS stim_index, CASE WHEN k <> 50 THEN k >= 10 END AS valid
   FROM (SELECT *, CAST(json_extract(props, '$.k') AS INT) AS k FROM events WHERE event_type = 'signup'))"""
 CELLS_SQL = f"""cells AS (SELECT s.session, probe, unit_id, trial_id, CAST((s.t_us - (o.t_us - {PRE})) // {BIN} AS INT) AS bin, count(*) AS n
   FROM spikes s JOIN onsets o ON s.session = o.session AND s.t_us >= o.t_us - {PRE} AND s.t_us < o.t_us + {POST} GROUP BY ALL)"""

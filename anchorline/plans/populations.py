@@ -72,8 +72,9 @@ def ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns({c: F.round(c, 6) for c in ("mean", "sd")})
 
 
-def _units(spark: SparkSession, sf_dir: str, odd: int) -> DataFrame:
-    rows = f.table(spark, sf_dir, "embeddings").where(F.col("vec_id") % 2 == odd)
+def _units(spark: SparkSession, sf_dir: str, odd: int | None = None) -> DataFrame:
+    rows = f.table(spark, sf_dir, "embeddings")
+    rows = rows if odd is None else rows.where(F.col("vec_id") % 2 == odd)
     return rows.select(F.col("label").alias("probe"), F.col("vec_id").alias("unit_id"), F.col("embedding").alias("template"), F.col("embedding")[0].cast("double").alias("x"), F.col("embedding")[1].cast("double").alias("y"))
 
 
@@ -99,7 +100,7 @@ def pairing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nearest_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JN-14."""
-    rows = _units(spark, sf_dir, 0).select("probe", F.col("unit_id").alias("channel"), "x", "y")
+    rows = _units(spark, sf_dir).select("probe", F.col("unit_id").alias("channel"), "x", "y")
     return p.nearest(rows, ["probe"], 3).withColumn("d", F.round("d", 6))
 
 
@@ -116,7 +117,7 @@ def similarity_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def merge_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AG-44, OP-13, JN-13."""
-    every = f.table(spark, sf_dir, "embeddings").select(F.col("label").alias("probe"), F.col("vec_id").alias("unit_id"), F.col("embedding").alias("template"), F.col("embedding")[0].cast("double").alias("x"), F.col("embedding")[1].cast("double").alias("y"))
+    every = _units(spark, sf_dir)
     edges = p.similarities(every, every, ["probe"]).where((F.col("unit_a") < F.col("unit_b")) & (F.round("cos", 6) >= CLOSE)).select(F.col("unit_a").alias("a"), F.col("unit_b").alias("b"))
     return p.merged_units(every.select("unit_id"), edges)
 
@@ -153,7 +154,7 @@ SQL = {
       e AS (SELECT * EXCLUDE (run) FROM kept WHERE run = 0), o AS (SELECT * EXCLUDE (run) FROM kept WHERE run = 1), {_rsm_sql('e', 'seed, fraction, units')}, {_rsm_sql('o', 'seed, fraction, units')},
       m AS (SELECT seed, fraction, units, corr(a.r, b.r) AS x FROM r_e a JOIN r_o b USING (seed, fraction, units, stim_a, stim_b) GROUP BY ALL) SELECT fraction, units, round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS sd, count(x) AS n FROM m GROUP BY ALL""",
     "unit_similarity": f"WITH {_SIMS} SELECT probe, unit_a, unit_b, round(c, 6) AS cos, round(d, 6) AS d_xy, round(0.7 * c + 0.3 * exp(-d / 100), 6) AS sim FROM sims",
-    "nearest_channels": "WITH u AS (SELECT label AS probe, vec_id AS channel, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings WHERE vec_id % 2 = 0), d AS (SELECT a.probe, a.channel, b.channel AS near, sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2) AS d FROM u a JOIN u b ON a.probe = b.probe AND a.channel <> b.channel) SELECT probe, channel, near, round(d, 6) AS d, row_number() OVER (PARTITION BY probe, channel ORDER BY d, near) AS rank FROM d QUALIFY rank <= 3",
+    "nearest_channels": "WITH u AS (SELECT label AS probe, vec_id AS channel, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings), d AS (SELECT a.probe, a.channel, b.channel AS near, sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2) AS d FROM u a JOIN u b ON a.probe = b.probe AND a.channel <> b.channel) SELECT probe, channel, near, round(d, 6) AS d, row_number() OVER (PARTITION BY probe, channel ORDER BY d, near) AS rank FROM d QUALIFY rank <= 3",
     "similarity_bands": f"WITH {_SIMS}, b AS (SELECT *, CASE WHEN round(c, 6) >= 0.3 THEN 'high' WHEN round(c, 6) >= 0.1 THEN 'middle' WHEN round(c, 6) >= 0 THEN 'low' ELSE 'none' END AS band FROM sims) SELECT band, unit_a, unit_b, row_number() OVER (PARTITION BY band ORDER BY md5('0:' || unit_a || ':' || unit_b)) AS rank FROM b QUALIFY rank <= 3",
     "merge_units": f"""WITH RECURSIVE e AS (SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id AND round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) >= {CLOSE}),
       reach(node, root) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT e.b, reach.root FROM reach JOIN e ON reach.node = e.a WHERE reach.root < e.b), least AS (SELECT node, min(root) AS root FROM reach GROUP BY ALL)

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import alignment, curations, event_locked, exports, populations
+from . import alignment, curations, event_locked, exports, populations, sessions
 
-MODULES = (event_locked, alignment, populations, curations, exports)
+MODULES = (event_locked, alignment, populations, curations, exports, sessions)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -22,6 +22,13 @@ def catalog(spark: SparkSession, root: str) -> DataFrame:
     return kinds[0].join(kinds[1], "probe", "full_outer").orderBy("probe")
 
 
+def pairs_of(found: DataFrame) -> DataFrame:
+    """(stem, bin_path, meta_path, status) of the .nidq files among ``found`` (path, length): a row for each stem, ``ok`` if both are there."""
+    named = found.where(F.col("path").rlike(r"\.nidq\.(bin|meta)$")).select("path", F.regexp_replace("path", r"\.(bin|meta)$", "").alias("stem"))
+    both = named.groupBy("stem").agg(*(F.max(F.when(F.col("path").endswith(f".{kind}"), F.col("path"))).alias(f"{kind}_path") for kind in ("bin", "meta")))
+    return both.withColumn("status", F.when(F.col("bin_path").isNull(), "bin_missing").when(F.col("meta_path").isNull(), "meta_missing").otherwise("ok"))
+
+
 def headers(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """(path, key, value) of ``key=value`` headers: blank lines, # lines and lines without = are skipped, the first = parts."""
     lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), F.trim("value").alias("line"))
@@ -114,15 +121,15 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
 def resolved(wanted: DataFrame, found: DataFrame, vaults: Sequence[str]) -> DataFrame:
     """(name, path, source): each dataset name by its own path, else by its file name in the first vault that has it.
 
-    ``source`` is direct, vault:<root>, vault:<root>(multi), vault_miss or no_dataset_name.
+    ``source`` is direct, vault:<root>, vault:<root>(multi) where the vaults hold several, vault_miss or no_dataset_name.
     """
     clean = F.regexp_replace("name", r"\\", "/")
     names = wanted.select("name", clean.alias("_direct"), F.element_at(F.split(clean, "/"), -1).alias("_file"))
     have = found.select(F.regexp_replace("path", "^file:/*", "/").alias("path")).withColumn("_file", F.element_at(F.split("path", "/"), -1))
-    rank = F.coalesce(*(F.when(F.col("path").startswith(v), i) for i, v in enumerate(vaults)), F.lit(None).cast("int"))
+    rank = F.coalesce(*(F.when(F.col("path").startswith(v.rstrip("/") + "/"), i) for i, v in enumerate(vaults)), F.lit(None).cast("int"))
     in_vault = have.withColumn("_v", rank).where("_v IS NOT NULL")
     order = Window.partitionBy("_file").orderBy("_v", "path")
-    best = in_vault.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("_file", "_v"))).withColumn("_k", F.row_number().over(order)).where("_k = 1").select("_file", F.col("path").alias("_vault"), "_v", "_n")
+    best = in_vault.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("_file"))).withColumn("_k", F.row_number().over(order)).where("_k = 1").select("_file", F.col("path").alias("_vault"), "_v", "_n")
     joined = names.join(have.select(F.col("path").alias("_direct"), F.lit(True).alias("_is")).distinct(), "_direct", "left").join(best, "_file", "left")
     root = F.element_at(F.array(*(F.lit(v) for v in vaults)), F.col("_v") + 1)
     source = F.when(F.coalesce(F.trim("name"), F.lit("")) == "", "no_dataset_name").when(F.col("_is"), "direct").when(F.col("_n") > 1, F.concat(F.lit("vault:"), root, F.lit("(multi)"))).when(F.col("_n") == 1, F.concat(F.lit("vault:"), root)).otherwise("vault_miss")
@@ -132,7 +139,7 @@ def resolved(wanted: DataFrame, found: DataFrame, vaults: Sequence[str]) -> Data
 def spike_samples(units: DataFrame, rates: DataFrame, default_rate: float | None = None) -> DataFrame:
     """(probe_id, unit_id, sample): spike times in seconds to samples, rounded half to even; a probe without a rate raises."""
     rate = F.coalesce(F.lit(default_rate), "rate", F.raise_error(F.concat(F.lit("no sampling rate for "), F.col("probe_id"))).cast("double"))
-    times = units.select("probe_id", "unit_id", F.explode("spike_times").alias("t")).join(F.broadcast(rates), "probe_id", "left")
+    times = units.select("probe_id", "unit_id", F.explode("spike_times").alias("t")).join(rates, "probe_id", "left")
     return times.select("probe_id", "unit_id", F.rint(F.col("t") * rate).cast("long").alias("sample"))
 
 

@@ -47,7 +47,7 @@ def test_range_join_shifts_and_negative_times(spark):
 
 def score(spark, times, starts):
     cells = raster.raster(spikes(spark, times), onsets(spark, starts), 50 * MS, 300 * MS, 10 * MS, most=None)
-    rows = raster.consistency(cells, len(starts), 35, 5).collect()
+    rows = raster.consistency(cells, raster.trial_counts(onsets(spark, starts)), 35, 5).collect()
     return rows[0].score if rows else None
 
 

@@ -53,7 +53,7 @@ def test_manifest_and_resolution(spark, tmp_path):
     names = [str(tmp_path / "v1/a/set.tsv"), "C:\\d\\set.tsv", "only.tsv", "none.tsv", ""]
     out = r.resolved(spark.createDataFrame([(n,) for n in names], "name string"), r.files(spark, str(tmp_path), "*.tsv"), [str(tmp_path / "v1"), str(tmp_path / "v2")])
     got = {x.name: x.source for x in out.collect()}
-    assert got == {names[0]: "direct", names[1]: f"vault:{tmp_path}/v1", "only.tsv": f"vault:{tmp_path}/v2(multi)", "none.tsv": "vault_miss", "": "no_dataset_name"}
+    assert got == {names[0]: "direct", names[1]: f"vault:{tmp_path}/v1(multi)", "only.tsv": f"vault:{tmp_path}/v2(multi)", "none.tsv": "vault_miss", "": "no_dataset_name"}
 
 
 def test_spike_samples_round_half_to_even(spark):
