@@ -67,7 +67,10 @@ def n_words(text: Column) -> Column:
 
 
 def slices(batches: Iterable[pa.RecordBatch], rows: int = 500, size: int = 32 << 20) -> Iterator[pa.RecordBatch]:
-    """The batches cut to at most ``rows`` rows and, above one row, ``size`` bytes: few long texts are in memory at once."""
+    """The batches cut to at most ``rows`` rows and, above one row, ``size`` bytes: few long texts are in memory at once.
+
+    What Arrow keeps for later goes back to the system at the end, as workers live on.
+    """
     for batch in batches:
         at = 0
         while at < batch.num_rows:
@@ -76,6 +79,7 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = 500, size: int = 32 <<
                 n //= 2
             yield batch.slice(at, n)
             at += n
+    pa.default_memory_pool().release_unused()
 
 
 def emit(schema: pa.Schema, columns: list, rows: int = 50_000) -> Iterator[pa.RecordBatch]:

@@ -45,7 +45,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> N
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, shard, first = encoder(tokenizer), TaskContext.get().partitionId(), 0
-        for batch in common.slices(batches, 5000):
+        for batch in common.slices(batches, 2000):
             ids, at = codes.encode(batch.column(1))
             ends = at[1:] + np.arange(1, len(at))  # with an end id after each text
             ids = np.insert(ids.astype(np.int32), at[1:], end_id)
