@@ -12,7 +12,8 @@ bounded size by a hash of their ids; a group leaves at most one fractional
 document; those meet in groups of the next level, until one is left for each
 source, which is rounded at random.  All draws come from hashes, so reruns agree.
 
-Rows with the same id and source are one unit and get the same copies.  Defined
+Rows with the same id and source are one unit and get the same copies; rows without
+an id are told apart by a hash of their texts, so the rounding can split them.  Defined
 results: null text has no words and is never taken, a null source is a source of
 its own, last in order; an empty table gives no rows; other columns are not read
 but pass through ``mixed``.
@@ -36,8 +37,8 @@ WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2.0
 GROUP, FAN_IN = 20_000, 256
 #: Sources up to this number are broadcast, more are joined.
 FEW = 10_000
-ROUNDED = pa.schema([("s", pa.int32()), ("doc_id", pa.int64()), ("known", pa.bool_()), ("size", pa.int64()), ("part", pa.float64()), ("node", pa.int64())])
-ROUNDED_DDL = "s int, doc_id long, known boolean, size long, part double, node long"
+ROUNDED = pa.schema([("s", pa.int32()), ("key", pa.int64()), ("known", pa.bool_()), ("size", pa.int64()), ("part", pa.float64()), ("node", pa.int64())])
+ROUNDED_DDL = "s int, key long, known boolean, size long, part double, node long"
 
 
 def targets(sizes: DataFrame) -> DataFrame:
@@ -118,7 +119,7 @@ def _level(units: DataFrame, last: bool) -> DataFrame:
             parts = [float(draw(s[0], i, 7) < p) if 0.0 < p < 1.0 else p for i, p in zip(ids, parts)]
         yield from common.emit(ROUNDED, [s, ids, known, sizes, parts, np.array(nodes) // FAN_IN])
 
-    return units.repartition("s", "node").sortWithinPartitions("s", "node", F.xxhash64("doc_id"), "known", "doc_id").mapInArrow(of, ROUNDED_DDL)
+    return units.repartition("s", "node").sortWithinPartitions("s", "node", F.xxhash64("key"), "known", "key").mapInArrow(of, ROUNDED_DDL)
 
 
 def _beside(df: DataFrame, sources: DataFrame, on: Column) -> DataFrame:
@@ -127,11 +128,11 @@ def _beside(df: DataFrame, sources: DataFrame, on: Column) -> DataFrame:
 
 
 def copies(sizes: DataFrame) -> DataFrame:
-    """(s, source, doc_id, known, source_size, target, copies): a row for each id of a source; ``sizes``: doc_id, source, size."""
+    """(s, source, key, known, source_size, target, copies): a row for each key of a source; ``sizes``: key, known, source, size."""
     spark = sizes.sparkSession
     common.on_workers(spark)
     sources = common.saved(targets(sizes), "targets").withColumnRenamed("source", "of")
-    units = sizes.groupBy("source", F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNotNull().alias("known")).agg(F.sum("size").alias("size"))
+    units = sizes.groupBy("source", "key", "known").agg(F.sum("size").alias("size"))
     units = _beside(units, sources, F.col("source").eqNullSafe(F.col("of"))).drop("of")
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     units = units.withColumn("whole", F.floor(expected + F.lit(1e-12)).cast("int"))
@@ -143,34 +144,39 @@ def copies(sizes: DataFrame) -> DataFrame:
         groups, levels = groups * FAN_IN, levels + 1
     # as many groups on the first level as there are documents for; fewer on each level above
     used = max(1, -(-n // GROUP))
-    node = F.pmod(F.xxhash64("doc_id", "s"), F.lit(used))
-    left = units.where("part > 0").select("s", "doc_id", "known", "size", "part", node.alias("node"))
+    node = F.pmod(F.xxhash64("key", "s"), F.lit(used))
+    left = units.where("part > 0").select("s", "key", "known", "size", "part", node.alias("node"))
     settled = None
     for level in range(levels):
         out = common.saved(_level(left, last=level == levels - 1), "rounded")
-        here = out.where("part = 0 OR part = 1").select("s", "doc_id", "known", F.col("part").cast("int").alias("more"))
+        here = out.where("part = 0 OR part = 1").select("s", "key", "known", F.col("part").cast("int").alias("more"))
         settled = here if settled is None else settled.unionByName(here)
         left = out.where("part > 0 AND part < 1")
-    found = units.join(settled, ["s", "doc_id", "known"], "left")
-    return found.select("s", "source", "doc_id", "known", "source_size", "target", (F.col("whole") + F.coalesce("more", F.lit(0))).alias("copies"))
+    found = units.join(settled, ["s", "key", "known"], "left")
+    return found.select("s", "source", "key", "known", "source_size", "target", (F.col("whole") + F.coalesce("more", F.lit(0))).alias("copies"))
+
+
+def key() -> Column:
+    """What tells the units of a source apart: the id, or the hash of a text without one."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")))
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), common.n_words(F.col("text").cast("string")).alias("size"))
+    doc_id = F.col("doc_id").cast("long")
+    return docs.select(doc_id.alias("doc_id"), key().alias("key"), doc_id.isNotNull().alias("known"), F.col("source").cast("string").alias("source"), common.n_words(F.col("text").cast("string")).alias("size"))
 
 
 def op9(docs: DataFrame) -> DataFrame:
     sizes = common.saved(sized(docs), "sizes")
-    found = copies(sizes).withColumnsRenamed({"source": "of", "doc_id": "id"})
-    own = sizes.withColumn("id", F.coalesce("doc_id", F.lit(0))).withColumn("has", F.col("doc_id").isNotNull())
-    joined = own.join(found, (own["id"] == found["id"]) & (own["has"] == found["known"]) & own["source"].eqNullSafe(found["of"]))
+    found = copies(sizes).withColumnsRenamed({"source": "of", "key": "id", "known": "has"})
+    joined = sizes.join(found, (F.col("key") == F.col("id")) & (F.col("known") == F.col("has")) & F.col("source").eqNullSafe(F.col("of")))
     return joined.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def mixed(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it."""
     sizes = common.saved(sized(docs), "sizes")
-    found = copies(sizes).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("known").alias("_known"), F.col("source").alias("_of"), "copies")
-    rows = docs.select(F.struct("*").alias("_row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("_key"), F.col("doc_id").isNotNull().alias("_has"), F.col("source").cast("string").alias("_source"))
+    found = copies(sizes).where("copies > 0").select(F.col("key").alias("_id"), F.col("known").alias("_known"), F.col("source").alias("_of"), "copies")
+    rows = docs.select(F.struct("*").alias("_row"), key().alias("_key"), F.col("doc_id").cast("long").isNotNull().alias("_has"), F.col("source").cast("string").alias("_source"))
     joined = rows.join(found, (F.col("_key") == F.col("_id")) & (F.col("_has") == F.col("_known")) & F.col("_source").eqNullSafe(F.col("_of")))
     return joined.select("_row", F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("_copy")).select("_row.*")

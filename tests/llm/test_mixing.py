@@ -107,6 +107,25 @@ def test_mixed_rows(spark, small_groups):
     assert abs(taken - 1.5 * sum(len(r[2].split()) for r in rows)) <= 30
 
 
+def test_rows_without_ids_are_split(spark):
+    rows = [(None, "s", f"a{i} b c d") for i in range(200)] + [(i, "t", "w " * 9) for i in range(100)]
+    out = mixing.op9(spark.createDataFrame(rows, DDL)).collect()
+    assert len(out) == 300
+    by = defaultdict(int)
+    for r in out:
+        by[r.doc_id is None] += r.taken
+    target = {r.doc_id is None: r.target for r in out}
+    assert all(abs(by[k] - target[k]) <= 9 for k in by)
+    taken = mixing.mixed(spark.createDataFrame(rows, DDL)).where("doc_id IS NULL").count()
+    assert abs(4 * taken - target[True]) <= 4
+
+
+def test_very_long_text(spark):
+    rows = [(1, "s", "w " * 300_000), (2, "s", "w"), (3, "t", "w " * 50)]
+    out = {r.doc_id: r for r in mixing.op9(spark.createDataFrame(rows, DDL)).collect()}
+    assert out[1].size == 300_000 and out[1].taken <= 600_000
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], DDL)
     assert mixing.op9(df).count() == 0 and mixing.mixed(df).count() == 0
