@@ -6,9 +6,11 @@ delays and the disposal of frames, and yields the composed canvas of every frame
 ``frames`` is the DataFrame operator over a binary column; ``encode`` writes bytes
 as grey frames, which ``op2`` uses to store texts.
 
-Defined results: null media gives no frames; media that is no GIF or breaks off
-gives its whole frames
-and one row with ``error`` set; an empty table gives no rows.
+Defined results: null media gives no frames; media that is no GIF, breaks off or has
+a canvas of more than ``PIXELS`` gives its whole frames and one row with ``error``
+set; an empty table gives no rows.  A repeated row gives its frames again.  A null or
+empty text is stored as one row of blanks, a very long one as many frames, of which
+one at a time is composed; columns other than the two that are read are not looked at.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ from . import common
 #: Pixels in a row and rows in a frame of what ``encode`` writes.
 WIDTH, ROWS = 192, 256
 TOP = 4096  # codes of twelve bits
+#: Most pixels of a canvas or frame that is decoded, four bytes each.
+PIXELS = 1 << 26
 #: A palette in which every value is its own grey.
 GREYS = bytes(v for i in range(256) for v in (i, i, i))
 
@@ -189,8 +193,8 @@ class Frame:
         self.delay_ms, self.disposal, self.box, self.canvas, self.comments = delay_ms, disposal, box, canvas, comments
 
 
-def decode(media: bytes) -> Iterator[Frame]:
-    """The frames in their order; ValueError for what is no whole GIF."""
+def decode(media: bytes, most_pixels: int = PIXELS) -> Iterator[Frame]:
+    """The frames in their order; ValueError for what is no whole GIF, or has a canvas or frame of more than ``most_pixels``."""
     if media[:6] not in (b"GIF87a", b"GIF89a") or len(media) < 13:
         raise ValueError("no GIF signature")
     width, height, flags, _, _ = struct.unpack_from("<HHBBB", media, 6)
@@ -216,6 +220,8 @@ def decode(media: bytes) -> Iterator[Frame]:
 
     try:
         shared = palette(flags) if flags & 0x80 else None
+        if width * height > most_pixels:
+            raise ValueError("a canvas above the limit")
         canvas = np.zeros((height, width), dtype=np.uint32)
         control, comments = (0, 0, None), []  # disposal, delay in 1/100 s, transparent index
         while (kind := media[at]) != 0x3B:
@@ -235,8 +241,10 @@ def decode(media: bytes) -> Iterator[Frame]:
             colours = palette(local) if local & 0x80 else shared
             code_size = media[at]
             at += 1
-            if colours is None or not 1 <= code_size <= 11:
+            if colours is None or not 1 <= code_size <= 8:
                 raise ValueError("a frame without colours")
+            if w * h > most_pixels:
+                raise ValueError("a frame above the limit")
             pixels = np.frombuffer(lzw_expand(sub_blocks(), code_size, w * h), dtype=np.uint8)
             if len(pixels) < w * h:
                 raise ValueError("a frame breaks off")
@@ -268,8 +276,12 @@ def histogram(canvas: np.ndarray) -> np.ndarray:
     return np.bincount(np.where(canvas >> 24 == 0, 64, bins).ravel(), minlength=65)
 
 
-def frames(media: DataFrame) -> DataFrame:
-    """A row for each frame of ``media`` (media_id, media), with times and the canvas's colour histogram."""
+def frames(media: DataFrame, most_pixels: int = PIXELS) -> DataFrame:
+    """A row for each frame of ``media`` (media_id, media), with times and the canvas's colour histogram.
+
+    A file that breaks off has its whole frames and then a row with ``error``, as has
+    one with a canvas or frame of more than ``most_pixels``, which bounds a task's memory.
+    """
     common.on_workers(media.sparkSession)
     names = [f.split()[0] for f in FRAMES.split(", ")]
     schema = pa.schema([("media_id", pa.int64()), *((n, pa.int32()) for n in names[1:6]), ("histogram", pa.list_(pa.int32())), ("error", pa.string())])
@@ -281,7 +293,7 @@ def frames(media: DataFrame) -> DataFrame:
                 if data is None:
                     continue
                 try:
-                    for k, f in enumerate(decode(data)):
+                    for k, f in enumerate(decode(data, most_pixels)):
                         rows.append((i, k, f.delay_ms, f.disposal, f.box[2], f.box[3], histogram(f.canvas), None))
                 except ValueError as error:
                     rows.append((i, None, None, None, None, None, None, str(error)))

@@ -100,6 +100,18 @@ def test_frames_operator(spark):
     assert gif.frames(spark.createDataFrame([], "media_id long, media binary")).count() == 0
 
 
+def test_oversize_is_an_error_row(spark):
+    huge = b"GIF89a" + struct.pack("<HHBBB", 65535, 65535, 0, 0, 0) + b"\x3b"
+    wide = file(2, 1, image([1, 2], 2, 1), image([1], 40000, 40000))
+    deep = file(2, 1, image([1, 2], 2, 1).replace(b"\x00\x02", b"\x00\x09", 1))
+    fine = file(2, 1, image([1, 2], 2, 1))
+    rows = [(1, huge), (2, wide), (3, deep), (4, fine), (4, fine)]
+    got = sorted((r.media_id, -1 if r.frame is None else r.frame, r.error is not None) for r in gif.frames(spark.createDataFrame(rows, "media_id long, media binary")).collect())
+    assert got == [(1, -1, True), (2, -1, True), (2, 0, False), (3, -1, True), (4, 0, False), (4, 0, False)]
+    with pytest.raises(ValueError):
+        next(gif.decode(fine, most_pixels=1))
+
+
 def test_texts_as_media(spark):
     texts = ["", "a", "x" * 192, "é" * 100, "long text \n" * 30000, None, "a"]
     rows = [(i, t, "x") for i, t in enumerate(texts)] + [(0, None, "y"), (None, "n", "z")]
