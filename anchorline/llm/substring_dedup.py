@@ -1,8 +1,9 @@
 """Substring deduplication over sliding spans of sentences.
 
 A text is cut into sentences: after a word that ends in ``.``, ``!`` or ``?``, at
-a line's end, and inside sentences after words whose hash says so (one of
-``BREAK`` on average), so that a passage is cut alike wherever it stands.  A span
+a line's end, and, unless ``every`` is 0, inside sentences after words whose hash says
+so (one of ``every`` on average), so that a passage is cut alike wherever it stands,
+in texts without punctuation too.  A span
 is a run of at least ``RUN`` consecutive sentences with at least ``WORDS`` words.
 The least span from each sentence on and the least span up to each sentence are
 hashed; together they cover every sentence of every span.  Equal spans meet by a
@@ -42,7 +43,7 @@ NO_ID = -(1 << 63)
 WORD = re.compile(rb"[^\x20\x09-\x0d]+")
 
 
-def sentences(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+def sentences(data: bytes, every: int = BREAK) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words, and the number of the first word of every sentence and of the end."""
     words, line_ends = [], []
     for line in data.lower().split(b"\n"):
@@ -53,7 +54,9 @@ def sentences(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     h = xxhash.xxh64_intdigest
     hashes = np.fromiter(map(h, words), np.uint64, len(words))
     stops = np.fromiter((w[-1] for w in words), np.uint8, len(words))
-    ends = (hashes % np.uint64(BREAK) == 0) | (stops == 46) | (stops == 33) | (stops == 63)
+    ends = (stops == 46) | (stops == 33) | (stops == 63)
+    if every:
+        ends |= hashes % np.uint64(every) == 0
     ends[np.array(line_ends) - 1] = True
     return hashes, np.concatenate([[0], np.flatnonzero(ends) + 1]).astype(np.int64)
 
@@ -93,23 +96,23 @@ def keys(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn("_tie", F.hash("text"))
 
 
-def all_spans(docs: DataFrame) -> DataFrame:
+def all_spans(docs: DataFrame, every: int = BREAK) -> DataFrame:
     common.on_workers(docs.sparkSession)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, 300):
             parts = []
             for i, tie, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                h1, h2, pos, n = spans(*sentences((text or "").encode("utf-8", "surrogatepass")))
+                h1, h2, pos, n = spans(*sentences((text or "").encode("utf-8", "surrogatepass"), every))
                 parts.append((h1, h2, np.full(len(h1), i, np.int64), np.full(len(h1), tie, np.int32), pos.astype(np.int32), n.astype(np.int16)))
             yield from common.emit(SPANS, [np.concatenate(c) for c in zip(*parts)])
 
     return docs.select("_id", "_tie", "text").mapInArrow(of, SPANS_DDL)
 
 
-def repeated(docs: DataFrame) -> DataFrame:
+def repeated(docs: DataFrame, every: int = BREAK) -> DataFrame:
     """(_id, _tie, covered, firsts) for documents with later copies: (pos, n) of their spans, ids of the documents that come first."""
-    each = all_spans(keys(docs.select("doc_id", "text")))
+    each = all_spans(keys(docs.select("doc_id", "text")), every)
     twice = common.saved(each.groupBy("h1").agg(F.count("*").alias("c")).where("c > 1").select("h1"), "repeated")
     held = common.saved(each.join(twice, "h1"), "spans")
     first = common.saved(held.groupBy("h1", "h2").agg(F.min(F.struct("id", "tie", "pos")).alias("first"), F.count("*").alias("c")).where("c > 1").drop("c"), "firsts")
@@ -117,10 +120,10 @@ def repeated(docs: DataFrame) -> DataFrame:
     return later.groupBy(F.col("id").alias("_id"), F.col("tie").alias("_tie")).agg(F.collect_set(F.struct("pos", "n")).alias("covered"), F.array_sort(F.collect_set("first.id")).alias("firsts"))
 
 
-def without(text: str, covered: list) -> tuple[str, int, int]:
+def without(text: str, covered: list, every: int = BREAK) -> tuple[str, int, int]:
     """The text without the covered sentences; how many sentences and words those are."""
     data = text.encode("utf-8", "surrogatepass")
-    _, starts = sentences(data)
+    _, starts = sentences(data, every)
     gone = np.zeros(len(starts), dtype=np.int64)
     for span in covered:
         gone[span["pos"]] += 1
@@ -132,23 +135,23 @@ def without(text: str, covered: list) -> tuple[str, int, int]:
     return b"".join(kept).decode("utf-8", "surrogatepass"), int(gone.sum()), int(np.diff(starts)[gone].sum())
 
 
-def cleaned(docs: DataFrame) -> DataFrame:
+def cleaned(docs: DataFrame, every: int = BREAK) -> DataFrame:
     """(_row, _new, firsts): the rows of ``docs`` and what is left of them, null where nothing is removed."""
     common.on_workers(docs.sparkSession)
 
     def rewrite(texts: pd.Series, covered: pd.Series) -> pd.DataFrame:
-        rows = [(None, 0, 0) if t is None or c is None else without(t, c) for t, c in zip(texts, covered)]
+        rows = [(None, 0, 0) if t is None or c is None else without(t, c, every) for t, c in zip(texts, covered)]
         return pd.DataFrame(rows, columns=["text", "sentences", "words"])
 
     new = F.pandas_udf(rewrite, "text string, sentences long, words long")
     rows = keys(docs.select(F.struct("*").alias("_row"), "doc_id", "text")).drop("doc_id", "text")
-    joined = rows.join(repeated(docs), ["_id", "_tie"], "left")
+    joined = rows.join(repeated(docs, every), ["_id", "_tie"], "left")
     touched = F.when(F.col("covered").isNotNull(), F.col("_row.text"))
     return joined.select("_row", "firsts", new(touched, F.col("covered")).alias("_new"))
 
 
-def op3(docs: DataFrame) -> DataFrame:
-    found = cleaned(docs.select("doc_id", "text"))
+def op3(docs: DataFrame, every: int = BREAK) -> DataFrame:
+    found = cleaned(docs.select("doc_id", "text"), every)
     return found.select(
         F.col("_row.doc_id").alias("doc_id"), F.coalesce("_new.text", "_row.text").alias("text"),
         F.coalesce("_new.sentences", F.lit(0)).alias("removed_sentences"), F.coalesce("_new.words", F.lit(0)).alias("removed_words"),
@@ -156,8 +159,8 @@ def op3(docs: DataFrame) -> DataFrame:
     )
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
+def deduplicated(docs: DataFrame, every: int = BREAK) -> DataFrame:
     """The rows of ``docs`` with ``text`` cleaned; rows of which nothing is left are dropped."""
     at = docs.columns.index("text")
     columns = [F.col("_row")[c].alias(c) if i != at else F.coalesce("_new.text", "_row.text").alias(c) for i, c in enumerate(docs.columns)]
-    return cleaned(docs).where(F.col("_new.text").isNull() | F.col("_new.text").rlike(f"[^{common.BLANKS[1:-1]}]")).select(*columns)
+    return cleaned(docs, every).where(F.col("_new.text").isNull() | F.col("_new.text").rlike(f"[^{common.BLANKS[1:-1]}]")).select(*columns)

@@ -54,6 +54,13 @@ def corpus():
     return rows
 
 
+def test_true_sentences_only(spark):
+    said = "The first one of these sentences has a good many words in it. And the second one does not stop short either."
+    rows = [(1, "Alpha beta gamma. " + said), (2, said + " Delta."), (3, "loose words " + said[20:90])]
+    out = {r.doc_id: (r.text, r.removed_sentences) for r in sd.op3(spark.createDataFrame(rows, DDL), every=0).collect()}
+    assert out == {1: (rows[0][1], 0), 2: ("Delta.", 2), 3: (rows[2][1], 0)}
+
+
 def test_against_brute_force(spark):
     rows = corpus()
     kept, gone = brute(rows)
