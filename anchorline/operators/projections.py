@@ -47,8 +47,23 @@ def trial_record(trials: DataFrame) -> DataFrame:
 
 
 def new_ids(units: DataFrame, probe: str, unit: str) -> DataFrame:
-    """Ids from 1 over all probes of the (small) units table, in order of probe and unit; nothing is scored yet."""
-    return units.select(probe, unit, F.dense_rank().over(Window.orderBy(probe, unit)).alias("new_id"), F.lit("UNCLASSIFIED").alias("unittype"), F.lit(None).cast("double").alias("score"))
+    """Ids from 1 over all probes, in order of probe and unit; nothing is scored yet.
+
+    A unit's id is its rank in its probe and the number of units of the probes before;
+    only the table of probes passes through one task.
+    """
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = units.groupBy(F.col(probe).alias("_p")).agg((F.countDistinct(unit) + F.max(F.col(unit).isNull().cast("int"))).alias("_n"))
+    offsets = sizes.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    ranked = units.select(probe, unit, F.dense_rank().over(Window.partitionBy(probe).orderBy(unit)).alias("_k"))
+    joined = ranked.join(offsets, F.col(probe).eqNullSafe(F.col("_p")))
+    return joined.select(probe, unit, (F.col("_before") + F.col("_k")).cast("int").alias("new_id"), F.lit("UNCLASSIFIED").alias("unittype"), F.lit(None).cast("double").alias("score"))
+
+
+def moved_in_time(spikes: DataFrame, offset_s: float, rate: float) -> DataFrame:
+    """Spikes of a sliced run (column ``sample``) with their times in the whole recording; a run without spikes raises when it is read."""
+    some = spikes.agg(F.count("*").alias("_all")).select(F.assert_true(F.col("_all") > 0, "no units were found").alias("_some"))
+    return spikes.withColumn("t", F.col("sample") / rate + offset_s).join(F.broadcast(some)).drop("_some")
 
 
 def peak(template: Column) -> Column:

@@ -88,14 +88,14 @@ def unit_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unit_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JN-9, OP-11: one to one by iterated mutual best (no SQL: a loop)."""
+    """JN-9, OP-11: one to one by iterated mutual best; the SQL takes the rounds by recursion."""
     return p.pair_units(_units(spark, sf_dir, 0), _units(spark, sf_dir, 1), ["probe"]).select("probe", "unit_a", "unit_b", F.round("sim", 6).alias("sim"), "matched")
 
 
 def pairing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AG-37 (no SQL: over the pairs of a loop)."""
+    """AG-37."""
     a, b = _units(spark, sf_dir, 0), _units(spark, sf_dir, 1)
-    return p.pairing_summary(p.pair_units(a, b, ["probe"]), a, b, ["probe"])
+    return p.pairing_summary(p.pair_units(a, b, ["probe"]), a, b, ["probe"]).withColumns({c: F.round(c, 8) for c in ("median_sim", "median_d")})
 
 
 def nearest_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,12 +123,17 @@ def merge_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spike_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JN-10, AG-36: clicks against views of each user, half an hour apart at most (no SQL: greedy)."""
+    """JN-10, AG-36: clicks against views of each user, half an hour apart at most; the SQL takes the clicks one by one."""
     rows = f.table(spark, sf_dir, "events").select(F.col("user_id").alias("unit_id"), f.micros("ts").alias("t"), "event_type")
     a, b = (rows.where(F.col("event_type") == x).select("unit_id", "t") for x in ("click", "view"))
     return p.agreement(a, b, ["unit_id"], HALF_HOUR).withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")})
 
 
+_BEST = "row_number() OVER (PARTITION BY probe, unit_a ORDER BY sim DESC, unit_b) = 1 AND row_number() OVER (PARTITION BY probe, unit_b ORDER BY sim DESC, unit_a) = 1 AS taken"
+_PAIRS = f"""WITH RECURSIVE {_SIMS}, s AS (SELECT probe, unit_a, unit_b, 0.7 * c + 0.3 * exp(-d / 100) AS sim, d FROM sims),
+rounds AS (SELECT *, {_BEST} FROM s UNION ALL SELECT *, {_BEST} FROM (SELECT probe, unit_a, unit_b, sim, d FROM (SELECT *, bool_or(taken) OVER (PARTITION BY probe, unit_a) AS ta, bool_or(taken) OVER (PARTITION BY probe, unit_b) AS tb FROM rounds) WHERE NOT ta AND NOT tb)),
+pairs AS (SELECT probe, unit_a, unit_b, sim, d, sim >= 0.6 AS matched FROM rounds WHERE taken)"""
+
 QUERIES = {q.__name__: q for q in (mean_rates, varying_units, rsm, compare_rsm, unit_reliability, rsm_reliability, ablation, unit_similarity, unit_pairs, pairing_summary, nearest_channels, similarity_bands, merge_units, spike_agreement)}
 
 _SEEDS = "seeds AS (SELECT CAST(range AS INT) AS seed FROM range(3))"
@@ -154,6 +159,18 @@ SQL = {
       e AS (SELECT * EXCLUDE (run) FROM kept WHERE run = 0), o AS (SELECT * EXCLUDE (run) FROM kept WHERE run = 1), {_rsm_sql('e', 'seed, fraction, units')}, {_rsm_sql('o', 'seed, fraction, units')},
       m AS (SELECT seed, fraction, units, corr(a.r, b.r) AS x FROM r_e a JOIN r_o b USING (seed, fraction, units, stim_a, stim_b) GROUP BY ALL) SELECT fraction, units, round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS sd, count(x) AS n FROM m GROUP BY ALL""",
     "unit_similarity": f"WITH {_SIMS} SELECT probe, unit_a, unit_b, round(c, 6) AS cos, round(d, 6) AS d_xy, round(0.7 * c + 0.3 * exp(-d / 100), 6) AS sim FROM sims",
+    "unit_pairs": f"{_PAIRS} SELECT probe, unit_a, unit_b, round(sim, 6) AS sim, matched FROM pairs",
+    "pairing_summary": f"""{_PAIRS}, n AS (SELECT probe, count(*) FILTER (unit_id % 2 = 0) AS na, count(*) FILTER (unit_id % 2 = 1) AS nb FROM units GROUP BY ALL),
+      m AS (SELECT probe, count(*) AS k, median(sim) AS sim, median(d) AS d FROM pairs WHERE matched GROUP BY ALL)
+      SELECT n.probe, coalesce(k, 0) AS matched, na - coalesce(k, 0) AS a_only, nb - coalesce(k, 0) AS b_only, round(sim, 8) AS median_sim, round(m.d, 8) AS median_d FROM n LEFT JOIN m ON n.probe = m.probe""",
+    "spike_agreement": f"""WITH RECURSIVE e AS (SELECT user_id AS unit_id, epoch_us(ts) AS t, event_type FROM events),
+      a AS (SELECT unit_id, t, row_number() OVER (PARTITION BY unit_id ORDER BY t) AS k FROM e WHERE event_type = 'click'), na AS (SELECT unit_id, count(*) AS n_a FROM a GROUP BY ALL),
+      b AS (SELECT unit_id, list({{'t': t, 'i': i}}) AS rest, count(*) AS n_b FROM (SELECT unit_id, t, row_number() OVER (PARTITION BY unit_id ORDER BY t) AS i FROM e WHERE event_type = 'view') GROUP BY ALL),
+      r AS (SELECT unit_id, CAST(0 AS BIGINT) AS k, rest, CAST(0 AS BIGINT) AS tp FROM b UNION ALL
+        SELECT unit_id, k, CASE WHEN best IS NULL THEN rest ELSE list_filter(rest, lambda x: x.i <> best.i) END, tp + CASE WHEN best IS NULL THEN 0 ELSE 1 END
+        FROM (SELECT r.unit_id, a.k, r.rest, r.tp, list_min(list_transform(list_filter(r.rest, lambda x: abs(x.t - a.t) <= {HALF_HOUR}), lambda x: {{'d': abs(x.t - a.t), 'i': x.i}})) AS best FROM r JOIN a ON a.unit_id = r.unit_id AND a.k = r.k + 1)),
+      h AS (SELECT unit_id, max(tp) AS tp FROM r GROUP BY ALL)
+      SELECT unit_id, n_a, n_b, tp, round(tp / n_a, 6) AS precision, round(tp / n_b, 6) AS recall, round(2 * tp / (n_a + n_b), 6) AS f1 FROM na JOIN b USING (unit_id) JOIN h USING (unit_id)""",
     "nearest_channels": "WITH u AS (SELECT label AS probe, vec_id AS channel, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings), d AS (SELECT a.probe, a.channel, b.channel AS near, sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2) AS d FROM u a JOIN u b ON a.probe = b.probe AND a.channel <> b.channel) SELECT probe, channel, near, round(d, 6) AS d, row_number() OVER (PARTITION BY probe, channel ORDER BY d, near) AS rank FROM d QUALIFY rank <= 3",
     "similarity_bands": f"WITH {_SIMS}, b AS (SELECT *, CASE WHEN round(c, 6) >= 0.3 THEN 'high' WHEN round(c, 6) >= 0.1 THEN 'middle' WHEN round(c, 6) >= 0 THEN 'low' ELSE 'none' END AS band FROM sims) SELECT band, unit_a, unit_b, row_number() OVER (PARTITION BY band ORDER BY md5('0:' || unit_a || ':' || unit_b)) AS rank FROM b QUALIFY rank <= 3",
     "merge_units": f"""WITH RECURSIVE e AS (SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id AND round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) >= {CLOSE}),

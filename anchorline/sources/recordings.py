@@ -51,6 +51,11 @@ def duration_s(seconds: Column, size: Column, channels: Column, rate: Column) ->
     return F.coalesce(seconds.try_cast("double"), size / (channels * 2) / rate)
 
 
+def session_durations(probes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The longest duration among the probes of a session; null where no probe has one."""
+    return probes.groupBy(*keys).agg(F.max("duration_s").alias("duration_s"), F.count("*").alias("n_probes"))
+
+
 def checks(found: DataFrame) -> DataFrame:
     """(probe, check, status, detail) for a catalog joined with its headers (columns fileSizeBytes, imSampRate)."""
     def row(check: str, ok: Column, detail: Column) -> Column:
@@ -114,8 +119,12 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.option("sep", "\t").option("header", "true").option("inferSchema", "false").option("nullValue", "\0").csv(path)
     if "FileName" not in rows.columns:
         raise ValueError("the manifest has no column FileName")
-    numbered = rows.select("FileName").rdd.zipWithIndex().map(lambda r: (r[1] + 1, r[0][0]))
-    return spark.createDataFrame(numbered, "stim_index long, stim_name string")
+    # partitions of one file are in its order: a row's number is its place in its partition and the rows before that one
+    place = F.monotonically_increasing_id()
+    placed = rows.select(F.shiftright(place, 33).alias("_part"), (place.bitwiseAND((1 << 33) - 1)).alias("_at"), F.col("FileName").alias("stim_name"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = placed.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return placed.join(parts, "_part").select((F.col("_before") + F.col("_at") + 1).alias("stim_index"), "stim_name")
 
 
 def resolved(wanted: DataFrame, found: DataFrame, vaults: Sequence[str]) -> DataFrame:
@@ -151,6 +160,12 @@ def summary(units: DataFrame, trials: DataFrame) -> DataFrame:
     return both.withColumn("can_score", (F.col("n_units") > 0) & (F.col("n_trials") > 0))
 
 
+def require_mode(found: DataFrame, mode: str) -> DataFrame:
+    """``found``, a summary, raising at a session that lacks what a mode (units, trials) needs."""
+    needs = {"units": "n_units > 0", "trials": "n_units > 0 AND n_trials > 0"}[mode]
+    return found.where(F.when(F.expr(needs), True).otherwise(F.raise_error(F.concat(F.lit(f"no {mode} in session "), F.col("session"))).cast("boolean")))
+
+
 def unit_updates(spark: SparkSession, path: str) -> DataFrame:
     """Updates by unit_id from a CSV file; a repeated id or a column of spike times raises."""
     rows = spark.read.option("header", "true").csv(path)

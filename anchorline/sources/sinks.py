@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import unknown_updates, update_join
+from .recordings import files
+
 
 def trials_table(events: DataFrame, onsets: DataFrame, probes: Sequence[str], reference: str, default_ms: float = 150.0) -> DataFrame:
     """Trials with start and stop in the reference probe's clock and one onset column for each probe.
@@ -31,14 +35,14 @@ def padded(values, width: int):
     return F.concat(values, F.array_repeat(F.lit(None).cast("double"), F.greatest(F.lit(0), F.lit(width) - F.size(values))))
 
 
-def eye_series(eye: DataFrame) -> DataFrame:
-    """Per-trial blocks one after another in trial order: ``index`` is the sample's place in the whole series."""
+def eye_series(eye: DataFrame, interval_ms: float | None = None) -> DataFrame:
+    """Per-trial blocks one after another in trial order: ``index`` is the sample's place in the whole series, ``rate`` in Hz follows the interval."""
     from pyspark.sql import Window
 
     sizes = eye.groupBy("session", "trial_id").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("session").orderBy("trial_id").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("session", "trial_id", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_at"))
-    return eye.join(offsets, ["session", "trial_id"]).withColumn("index", F.col("_at") + F.col("i")).drop("_at")
+    return eye.join(offsets, ["session", "trial_id"]).withColumns({"index": F.col("_at") + F.col("i"), "rate": F.lit(1000.0 / interval_ms if interval_ms else None).cast("double")}).drop("_at")
 
 
 def write_version(df: DataFrame, root: str, name: str, overwrite: bool = False) -> str:
@@ -48,6 +52,29 @@ def write_version(df: DataFrame, root: str, name: str, overwrite: bool = False)
     return path
 
 
+def next_version(spark: SparkSession, root: str) -> str:
+    """v001 in an empty folder, else one more than the greatest there."""
+    try:
+        found = files(spark, root, "*.parquet").agg(F.max(F.regexp_extract("path", r"version=v(\d+)", 1).try_cast("int"))).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        found = None
+    return f"v{(found or 0) + 1:03}"
+
+
+def write_update(original: DataFrame, updates: DataFrame, key: str, root: str) -> DataFrame:
+    """Writes the updated rows as the next version and reports it in a row: version, rows before and after, updates of unknown keys.
+
+    The original is left as it is.
+    """
+    spark = original.sparkSession
+    version = next_version(spark, root)
+    written = spark.read.parquet(write_version(update_join(original, updates, key), root, version))
+    one = lambda df, name: df.agg(F.count("*").alias(name))
+    return one(original, "rows_before").join(one(written, "rows_after")).join(one(unknown_updates(original, updates, key), "unknown")).select(F.lit(version).alias("version"), "*")
+
+
 def write_sessions(df: DataFrame, path: str, keys: Sequence[str] = ("session", "probe")) -> None:
     """One folder for each session and probe; empty ones do not come about."""
     df.repartition(*keys).write.partitionBy(*keys).mode("overwrite").parquet(path)
