@@ -47,12 +47,17 @@ def behavior_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("session", "trial_id", "trial_valid", "onset_s", "latency_ms", F.col("flag").cast("long").alias("flag"), "dataset_name", clock("imec0"), clock("imec1"))
 
 
-def _written(df: DataFrame, name: str, form: str = "parquet") -> str:
-    """Writes a table to a new folder of the shared one."""
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new folder's path in the shared one."""
     import uuid
 
-    spark = with_checkpoints(df.sparkSession)
-    path = f"{(spark.conf.get('spark.checkpoint.dir', None) or spark.sparkContext.getCheckpointDir()).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    with_checkpoints(spark)
+    return f"{(spark.conf.get('spark.checkpoint.dir', None) or spark.sparkContext.getCheckpointDir()).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _written(df: DataFrame, name: str, form: str = "parquet") -> str:
+    """Writes a table to a new folder of the shared one."""
+    path = shared_path(df.sparkSession, name)
     writer = df.write.option("header", "true") if form == "csv" else df.write
     getattr(writer, form)(path)
     return path
