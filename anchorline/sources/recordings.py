@@ -124,7 +124,7 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
     placed = rows.select(F.shiftright(place, 33).alias("_part"), (place.bitwiseAND((1 << 33) - 1)).alias("_at"), F.col("FileName").alias("stim_name"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     parts = placed.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return placed.join(parts, "_part").select((F.col("_before") + F.col("_at") + 1).alias("stim_index"), "stim_name")
+    return placed.join(parts, "_part").select((F.col("_before") + F.col("_at") + 1).alias("stim_index"), "stim_name").orderBy("stim_index")
 
 
 def resolved(wanted: DataFrame, found: DataFrame, vaults: Sequence[str]) -> DataFrame:

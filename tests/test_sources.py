@@ -85,3 +85,31 @@ def test_sinks(spark, tmp_path):
     with pytest.raises(Exception):
         sinks.write_version(events, str(tmp_path / "o"), "v001")
     assert sinks.expected_rows(spark.read.parquet(path), 2).first().status == "pass"
+
+
+def test_next_versions_and_reports(spark, tmp_path):
+    root = str(tmp_path / "out")
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "unit_id long, note string")
+    new = spark.createDataFrame([(2, "B", True), (3, "C", False), (9, "x", True)], "unit_id long, note string, keep boolean")
+    assert sinks.next_version(spark, root) == "v001"
+    assert [tuple(r) for r in sinks.write_update(rows, new, "unit_id", root).collect()] == [("v001", 3, 2, 1)]
+    assert sinks.next_version(spark, root) == "v002"
+    assert sorted(tuple(r) for r in spark.read.parquet(f"{root}/version=v001").collect()) == [(1, "a"), (2, "B")]
+
+
+def test_a_mode_needs_its_rows(spark):
+    found = spark.createDataFrame([("s0", 3, 4), ("s1", 2, 0)], "session string, n_units long, n_trials long")
+    assert r.require_mode(found, "units").count() == 2
+    with pytest.raises(Exception, match="no trials in session s1"):
+        r.require_mode(found, "trials").collect()
+
+
+def test_a_manifest_in_many_partitions_keeps_its_order(spark, tmp_path):
+    path = tmp_path / "many.tsv"
+    path.write_text("FileName\tx\n" + "".join(f"img{i:05}.png\t{i}\n" for i in range(5000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        got = r.manifest(spark, str(path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [(x.stim_index, x.stim_name) for x in got] == [(i + 1, f"img{i:05}.png") for i in range(5000)]
