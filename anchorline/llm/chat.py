@@ -9,7 +9,9 @@ encoded, which leaves plain names as they are.
 Defined results: null text is empty, null roles are an empty name; turns with the
 same number are ordered by role and text, null numbers come first; turns out of
 order are formatted all the same and reported; a null conversation id is a
-conversation; an empty table gives no rows; other columns are not read.
+conversation; repeated rows are turns of their own; a very long text stays whole in its
+conversation's row, as all its turns do; an empty table gives no rows; other columns are
+not read.
 """
 
 from __future__ import annotations

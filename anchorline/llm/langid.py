@@ -14,8 +14,8 @@ each language, and there are as many languages as labels.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0, as
 is every text if there is nothing to learn from; a null id counts as empty text
-in the split; repeated rows each get a row; an empty table gives no rows; other
-columns are not read.
+in the split; repeated rows each get a row; a very long text is read whole, its vector is
+no longer than another's; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations

@@ -1,8 +1,6 @@
 import re
-import zlib
 from collections import Counter
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,10 +90,38 @@ def test_packing_holds_every_row_whole(kept):
 
 
 def test_run_gives_what_the_stages_give(spark, kept):
-    def digest(df):
-        r = df.agg(F.sum("length"), F.sum(F.col("ids_crc32") * 1), F.count("*")).first()
-        return tuple(r)
-    ran = cp.run(spark, SF)
+    def pieces(df):
+        return Counter((r.doc_id, r.doc_tokens) for r in df.where("start = 0").collect()), df.agg(F.sum("length")).first()[0]
+
+    ran = common.saved(cp.run(spark, SF), "ran")
     assert ran.columns == kept["packing"].columns
-    assert digest(ran)[0] == digest(kept["packing"])[0]
-    assert zlib.crc32(np.array([1], "<u4").tobytes()) > 0
+    assert pieces(ran) == pieces(kept["packing"])
+
+
+def stored(spark, tmp_path, rows):
+    ddl = "doc_id long, source string, lang string, text string, _row int, words int"
+    spark.createDataFrame(rows, ddl).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    return str(tmp_path)
+
+
+def test_empty_table(spark, tmp_path):
+    assert cp.run(spark, stored(spark, tmp_path, [])).count() == 0
+
+
+def test_nulls_repeated_rows_and_clashing_names(spark, tmp_path):
+    text = lambda i: " ".join(f"w{i}x{k}" for k in range(60 + i)) + "."
+    rows = [(None, None, None, text(i), None, i) for i in range(4)] + [(i, "s", "en", text(i), i, None) for i in range(4, 8)]
+    rows += [(5, "s", "en", text(5), 5, None), (9, "s", None, None, None, None), (None, None, None, None, None, None), (10, None, "en", "", 1, 1), (11, "t", "en", "long words here. " + " ".join(f"v{k}" for k in range(60_000)), 1, 1)]
+    sf = stored(spark, tmp_path, rows)
+    docs = common.table(spark, sf, "documents")
+    names = docs.columns
+    seen = {}
+    for name, stage in cp.STAGES[:-1]:
+        docs = common.saved(stage(spark, docs, sf), name)
+        assert docs.columns == names
+        seen[name] = docs.collect()
+    # the rules drop the texts without words; of the repeated row one is left; nothing else is alike
+    assert len(seen["quality_rules"]) == 10 and len(seen["simhash_near_dedup"]) == len(seen["substring_dedup"]) == 9
+    assert {r.text for r in seen["substring_dedup"]} == {r[3] for r in rows if r[3]}
+    assert cp.run(spark, sf).count() > 0
