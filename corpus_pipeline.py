@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; its result is
 written as Parquet and read again as the next stage's documents.
+
+All stages: an empty table gives an empty one, with the same columns up to the last
+stage; columns other than doc_id, source and text may hold nulls, have any name and
+pass through; very long texts are taken whole.  What nulls and repeated rows get is
+said at each stage.
 """
 
 from __future__ import annotations
@@ -13,27 +18,27 @@ from anchorline.llm import common, mixing, packing, quality, simhash, substring_
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the plain rules or the log-likelihood ratio reject."""
+    """Drops the documents that the plain rules or the log-likelihood ratio reject; null texts go, repeated rows stay or go together."""
     return quality.filtered(docs, common.table(spark, sf_dir, "labels"))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of copies and near copies."""
+    """Keeps one document of each group of copies and near copies; repeated rows are copies, null and blank texts one group, null ids come first."""
     return simhash.survivors(docs)
 
 
 def sentence_span_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes sentences under repeated spans, and documents of which nothing is left."""
+    """Removes sentences under repeated spans, and documents of which nothing is left; null texts stay, repeated rows are one document."""
     return substring_dedup.deduplicated(docs)
 
 
 def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats and drops documents so that the sources meet their targets."""
+    """Repeats and drops documents so that the sources meet their targets; null texts have no words and go, a null source is one of its own, repeated rows are taken equally often."""
     return mixing.mixed(docs)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of at most 2048 tokens; the workers, which serve all stages, remember fewer pieces."""
+    """Pieces of documents in sequences of at most 2048 tokens; null texts have their end id, repeated rows are packed each for itself; the workers, which serve all stages, remember fewer pieces."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), cached=150_000)
 
 
