@@ -23,7 +23,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of copies and near copies; repeated rows are copies, null and blank texts one group, null ids come first."""
+    """Keeps one document of each group of copies and near copies; repeated rows are copies, null and blank texts one group, of ids the least stays and a null one only beside no other."""
     return simhash.survivors(docs)
 
 
