@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, gif, langid, lm_bloom, mixing, packing, quality, simhash, substring_dedup, token_files
+from . import chat, gif, hard_negatives, langid, lm_bloom, mixing, packing, quality, simhash, substring_dedup, token_files, toxicity, whitening
 from .common import table
 
 
@@ -51,9 +51,27 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.op10(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.op11(table(spark, sf_dir, "embeddings"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.op12(table(spark, sf_dir, "embeddings"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.op13(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = (
+    op1_packing, op2_gif_columns, op3_substring_dedup, op4_language_id, op5_chat_formatting, op6_token_files, op7_lm_scoring,
+    op8_quality_rules, op9_mixing_sources, op10_simhash_near_dedup, op11_hard_negatives, op12_whitening, op13_toxicity,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_gif_columns, op3_substring_dedup, op4_language_id, op5_chat_formatting, op6_token_files, op7_lm_scoring, op8_quality_rules, op9_mixing_sources, op10_simhash_near_dedup)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_chat_formatting": chat.SQL}
+    return {"op5_chat_formatting": chat.SQL, "op11_hard_negatives": hard_negatives.SQL}
