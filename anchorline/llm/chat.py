@@ -2,9 +2,10 @@
 
 A template declares the roles, which role may follow which, the marks around a
 turn and the roles whose text counts for the loss.  Texts are escaped so that no
-mark can occur in them: in ``<``, any number of backslashes, ``|`` one backslash
-is put in after ``<``, which the reader takes out again.  Role names are URL
-encoded, which leaves plain names as they are.
+mark can occur in them: between the first two characters of a mark, with any number of
+backslashes in between, one backslash is put in, which the reader takes out again.  Role
+names are URL encoded, which leaves plain names as they are.  Marks for which this would
+not do are refused when a template is made.
 
 Defined results: null text is empty, null roles are an empty name; turns with the
 same number are ordered by role and text, null numbers come first; turns out of
@@ -37,17 +38,42 @@ class Template:
     #: States in which a conversation may end.
     ends: tuple[str, ...] = ("assistant",)
 
-
+    def __post_init__(self) -> None:
+        for mark in (self.opens, self.closes):
+            if len(mark) < 2 or mark[0] == mark[1] or "\\" in mark:
+                raise ValueError(f"a mark begins with two different characters and has no backslash: {mark!r}")
+            if mark[0].isalnum() or mark[0] in ENCODED:
+                raise ValueError(f"a mark begins with a character that no role's name can have: {mark!r}")
+        if self.closes in self.opens or any(self.closes.startswith(self.opens[i:]) for i in range(len(self.opens))):
+            raise ValueError("the mark at a turn's end cannot begin inside the one before it")
+
+    def pairs(self) -> dict[str, str]:
+        """By a mark's first character, those that may not follow it in a text."""
+        out: dict[str, str] = {}
+        for mark in (self.opens, self.closes):
+            out[mark[0]] = "".join(sorted({*out.get(mark[0], ""), mark[1]}))
+        return out
+
+
+#: Besides letters and digits, what an encoded role can hold.
+ENCODED = ".-*_%+\n"
 CHATML = Template()
-MARK, MARKED = r"<(\\*)\|", r"<\\(\\*)\|"
 
 
-def escaped(text: Column) -> Column:
-    return F.regexp_replace(text, MARK, r"<\\$1|")
+def quoted(characters: str) -> str:
+    return "".join(f"\\x{{{ord(c):x}}}" for c in characters)
+
+
+def escaped(text: Column, template: Template = CHATML) -> Column:
+    for first, second in template.pairs().items():
+        text = F.regexp_replace(text, rf"({quoted(first)})(\\*)(?=[{quoted(second)}])", r"$1\\$2")
+    return text
 
 
-def unescaped(text: Column) -> Column:
-    return F.regexp_replace(text, MARKED, r"<$1|")
+def unescaped(text: Column, template: Template = CHATML) -> Column:
+    for first, second in reversed(template.pairs().items()):
+        text = F.regexp_replace(text, rf"({quoted(first)})\\(\\*)(?=[{quoted(second)}])", "$1$2")
+    return text
 
 
 def turns(conversations: DataFrame) -> DataFrame:
@@ -78,7 +104,7 @@ def formatted(conversations: DataFrame, template: Template = CHATML) -> DataFram
     def segments(turn: Column) -> Column:
         parts = (
             (F.concat(F.lit(template.opens), F.url_encode(turn["role"]), F.lit("\n")), F.lit(False)),
-            (escaped(turn["text"]), turn["role"].isin(list(template.learned))),
+            (escaped(turn["text"], template), turn["role"].isin(list(template.learned))),
             (F.lit(template.closes), F.lit(False)),
         )
         return F.array(*(F.struct(text.alias("text"), loss.alias("loss")) for text, loss in parts))
@@ -88,11 +114,11 @@ def formatted(conversations: DataFrame, template: Template = CHATML) -> DataFram
 
 def parsed(text: Column, template: Template = CHATML) -> Column:
     """The turns (role, text) of a formatted conversation."""
-    body = F.filter(F.split(text, template.closes.replace("|", r"\|"), -1), lambda x: x != "")
+    body = F.filter(F.split(text, quoted(template.closes), -1), lambda x: x != "")
     bare = F.transform(body, lambda x: F.substr(x, F.lit(len(template.opens) + 1)))
     return F.transform(bare, lambda x: F.struct(
         F.url_decode(F.substring_index(x, "\n", 1)).alias("role"),
-        unescaped(F.substr(x, F.length(F.substring_index(x, "\n", 1)) + 2)).alias("text"),
+        unescaped(F.substr(x, F.length(F.substring_index(x, "\n", 1)) + 2), template).alias("text"),
     ))
 
 
@@ -109,7 +135,7 @@ def op5(conversations: DataFrame, template: Template = CHATML) -> DataFrame:
         "conv_id", "first_error",
         F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("whole"),
         # a segment's escapes are taken back before the segments are joined: two texts can make up a mark between them
-        F.array_join(F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: unescaped(s["text"])), "").alias("learned"),
+        F.array_join(F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: unescaped(s["text"], template)), "").alias("learned"),
     )
     read = done.select("conv_id", "first_error", "whole", "learned", parsed(F.col("whole"), template).alias("turns"))
     told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")

@@ -3,22 +3,32 @@
 Counts of the training documents are quantised on a log scale; an n-gram of level
 q enters the filter with each of the levels 1 to q, so that a count is read back
 by probing level after level until one is missing.  All n-grams enter, at every
-size of the corpus, so the filter grows with it and is not broadcast whole: it is
-cut into segments by the n-grams' hashes, every segment is built where its counts
-meet, and the probes are sent there.
+size of the corpus, so the filter grows with it: it is cut into segments by the
+n-grams' hashes, and these are rows of a stored table.
 
 1. Documents are read in batches of bounded size.  A batch is written as one row
    (its words, and the number of the word at every token) and one row for each
    segment: the batch's distinct words and pairs that fall in it, with their counts
    in the batch's training documents.  However often an n-gram occurs, a batch sends
    it once.
-2. A segment's rows meet in one task, which adds up the counts, builds the segment of
-   the filter, and answers every row in its order: exact counts of the words (for the
-   base score) and the levels that the probes of words and pairs find.
+2. A segment's rows meet in one task, which adds up the counts, builds and stores the
+   segment of the filter, and answers every row in its order: exact counts of the words
+   (for the base score) and the levels that the probes of words and pairs find.
 3. A batch's row meets the answers to it, and its documents are scored.
 
+``rescored`` scores other documents with the stored filter, without counting again: a
+filter of at most ``BROADCAST`` bytes is broadcast to the workers, a larger one
+answers by its segments.
+
+The probability of a word w after h is ``PAIR_WEIGHT`` c(hw) / c(h) + the rest of
+(c(w) + 0.5) / (N + 0.5 (V + 1)), of w alone where h is unknown.  Above the line stands the
+least count of a level, below it the greatest one, and no n-gram is taken to be commoner
+than its parts or than all tokens, so both terms are at most 1, and over all words they
+sum to at most 1 but for n-grams that the filter holds by chance.
+
 A segment holds the n-grams of about ``SEGMENT`` bytes of text, a batch ``BATCH``
-bytes or one longer text; nothing is collected on the driver but two sums.
+bytes or one longer text; nothing is collected on the driver but sums and a filter of
+bounded size.
 
 Defined results: null text has no words and one end; a very long text is a batch of
 its own; an id that is null counts as empty text in the split; repeated rows each get
@@ -30,6 +40,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +54,8 @@ from . import common
 
 #: Bytes of text in a batch, and for which one segment is made.
 BATCH, SEGMENT = 12 << 20, 16 << 20
+#: Bytes up to which a stored filter is broadcast.
+BROADCAST = 64 << 20
 #: Ratio of two levels' counts; bits of the filter for each n-gram and level; places that one of these sets.
 BASE, BITS, PROBES = 1.5, 10, 4
 #: Weight of the pair's estimate against the single word's.
@@ -57,8 +70,8 @@ BATCHES = pa.schema([
     ("doc_ids", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int32())), ("tokens", pa.binary()),
 ])
 BATCHES_DDL = "segment int, batch long, words binary, word_counts binary, pairs binary, pair_counts binary, doc_ids array<long>, held_out array<boolean>, sizes array<int>, tokens binary"
-ANSWERS = pa.schema([("segment", pa.int32()), ("batch", pa.int64()), ("counts", pa.binary()), ("word_levels", pa.binary()), ("pair_levels", pa.binary()), ("n", pa.int64()), ("v", pa.int64())])
-ANSWERS_DDL = "segment int, batch long, counts binary, word_levels binary, pair_levels binary, n long, v long"
+ANSWERS = pa.schema([("segment", pa.int32()), ("batch", pa.int64()), ("counts", pa.binary()), ("word_levels", pa.binary()), ("pair_levels", pa.binary()), ("n", pa.int64()), ("v", pa.int64()), ("size", pa.int64()), ("bits", pa.binary())])
+ANSWERS_DDL = "segment int, batch long, counts binary, word_levels binary, pair_levels binary, n long, v long, size long, bits binary"
 SCORES = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 SCORES_DDL = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
@@ -127,10 +140,14 @@ def level_of(c: np.ndarray) -> np.ndarray:
     return 1 + np.floor(np.log(np.maximum(c, 1)) / math.log(BASE) + 1e-9).astype(np.int64)
 
 
-def count(levels: np.ndarray) -> np.ndarray:
-    """The middle, on the log scale, of the whole numbers that have a level; zero for none."""
-    least, most = np.ceil(BASE ** (levels - 1.0)), np.ceil(BASE**levels) - 1
-    return np.where(levels > 0, np.sqrt(least * np.maximum(least, most)), 0.0)
+def least(levels: np.ndarray) -> np.ndarray:
+    """The smallest count of a level; zero for none."""
+    return np.where(levels > 0, np.ceil(BASE ** (levels - 1.0)), 0.0)
+
+
+def most(levels: np.ndarray) -> np.ndarray:
+    """The greatest count of a level; zero for none."""
+    return np.where(levels > 0, np.maximum(np.ceil(BASE ** (levels * 1.0)) - 1, least(levels)), 0.0)
 
 
 class Filter:
@@ -146,6 +163,12 @@ class Filter:
                 bits[at] = 1
         self.bits = np.packbits(bits, bitorder="little")
 
+    @classmethod
+    def stored(cls, size: int, bits: bytes) -> Filter:
+        found = cls.__new__(cls)
+        found.size, found.bits = size, np.frombuffer(bits, np.uint8)
+        return found
+
     def places(self, h: np.ndarray, level: int) -> Iterator[np.ndarray]:
         """Positions of the bits that a level of each hash sets."""
         h = mixed(h + np.uint64(SEED))
@@ -169,13 +192,24 @@ class Filter:
         return found
 
 
-def likelihood(both: np.ndarray, previous: np.ndarray, own: np.ndarray, denominator: float) -> np.ndarray:
-    """Estimates from the counts of a pair, the word before and the word itself."""
-    single = (own + 0.5) / denominator
-    joint = np.minimum(1.0, both / np.maximum(previous, 1.0))
+def likelihood(both: np.ndarray, previous: np.ndarray, own: np.ndarray, n: int, v: int) -> np.ndarray:
+    """Probabilities from the levels of a pair, the word before and the word itself, of ``n`` tokens with ``v`` words."""
+    highest = level_of(np.array([n]))[0] if n else 0
+    previous, own = np.minimum(previous, highest), np.minimum(own, highest)
+    both = np.minimum(both, np.minimum(previous, own))
+    single = (least(own) + 0.5) / (n + 0.5 * (v + 1))
+    joint = least(both) / np.maximum(most(previous), 1.0)
     return np.where(previous > 0, PAIR_WEIGHT * joint + (1 - PAIR_WEIGHT) * single, single)
 
 
+def logs_of(h: np.ndarray, out: np.ndarray, sizes: np.ndarray, ask, n: int, v: int) -> np.ndarray:
+    """log10 of the probability of each token; ``ask(words, pairs)`` gives the levels of ascending hashes."""
+    previous = before(out, sizes, int(np.searchsorted(h, END)))
+    p, first, number = np.unique(pairs(h, out, previous), return_index=True, return_inverse=True)
+    levels, both = (x.astype(np.int64) for x in ask(h, p))
+    return np.log10(likelihood(both, levels[previous[first]], levels[out[first]], n, v))[number]
+
+
 def planes(x: np.ndarray) -> bytes:
     """32-bit numbers, byte by byte: the high bytes are mostly zero and go to nothing when compressed."""
     return x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
@@ -245,25 +279,63 @@ def answered(asked: DataFrame) -> DataFrame:
             [segment] * (1 + len(batch)), [ITSELF, *batch], [None, *(exact[a:b].tobytes() for a, b, _, _ in each)],
             [None, *(w_levels[a:b].tobytes() for a, b, _, _ in each)], [None, *(p_levels[a:b].tobytes() for _, _, a, b in each)],
             [int(c.sum()), *([None] * len(batch))], [int((c > 0).sum()), *([None] * len(batch))],
+            [bloom.size, *([None] * len(batch))], [bloom.bits.tobytes(), *([None] * len(batch))],
         ], ANSWERS)], schema=ANSWERS)
 
     return asked.repartition("segment").sortWithinPartitions("segment", "batch").mapInArrow(of, ANSWERS_DDL)
 
 
-def scored(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row."""
-    common.on_workers(docs.sparkSession)
+@dataclass(frozen=True)
+class Model:
+    """A stored filter: rows (segment, size, bits), one of each of ``segments`` that holds something; tokens and words it has seen."""
+
+    rows: DataFrame
+    segments: int
+    n: int
+    v: int
+
+
+def told(docs: DataFrame) -> DataFrame:
     doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
-    rows = docs.select(doc_id.alias("doc_id"), (common.crc_of_id(doc_id) % FOLDS == HELD_OUT).alias("held_out"), text.alias("text"))
+    return docs.select(doc_id.alias("doc_id"), (common.crc_of_id(doc_id) % FOLDS == HELD_OUT).alias("held_out"), text.alias("text"))
+
+
+def learnt(docs: DataFrame) -> tuple[Model, DataFrame, DataFrame]:
+    """The filter of the documents that are not held out, the batches of all, and the answers to these."""
+    common.on_workers(docs.sparkSession)
+    rows = told(docs)
     segments = math.ceil((rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / SEGMENT) or 1
     made = common.saved(batched(rows, segments), "batches", compression="zstd")
     asked = made.where(F.col("segment") != ITSELF).select("segment", "batch", "words", "word_counts", "pairs", "pair_counts")
     answers = common.saved(answered(asked), "answers", compression="zstd")
-    sums = answers.where(F.col("batch") == ITSELF).agg(F.sum("n"), F.sum("v")).first()
-    n, v = int(sums[0] or 0), int(sums[1] or 0)
+    stored = answers.where(F.col("batch") == ITSELF)
+    sums = stored.agg(F.sum("n"), F.sum("v")).first()
+    return Model(stored.select("segment", "size", "bits"), segments, int(sums[0] or 0), int(sums[1] or 0)), made, answers
+
+
+def scored(docs: DataFrame) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row."""
+    model, made, answers = learnt(docs)
+    n, v = model.n, model.v
     # with no training tokens every count is zero and so is what they are divided by
     denominator = n + 0.5 * (v + 1)
 
+    def scores(itself: tuple, got: list[tuple]) -> Iterator[pa.RecordBatch]:
+        _, _, words, doc_ids, held_out, sizes, numbers = itself[:7]
+        h, out, sizes = np.frombuffer(words, "<u8"), unplaned(numbers), np.array(sizes)
+        c, levels, both = (np.frombuffer(b"".join(x), t) for x, t in zip(zip(*got), ("<i8", np.uint8, np.uint8)))
+        logs = logs_of(h, out, sizes, lambda *_: (levels, both), n, v)
+        base, known = np.log10((c + 0.5) / denominator), c > 0
+        starts = np.cumsum(sizes) - sizes
+        sums = [np.add.reduceat(x, starts) for x in (known[out].astype(np.int64), base[out], logs)]
+        yield from common.emit(SCORES, [doc_ids, held_out, sizes, sums[0], np.full(len(sizes), n), sums[1], sums[2]])
+
+    return gathered(made, answers.where(F.col("batch") != ITSELF), scores, SCORES_DDL)
+
+
+def gathered(made: DataFrame, answers: DataFrame, scores, ddl: str) -> DataFrame:
+    """What ``scores`` gives for each batch's row and the answers to it, in the order of the segments."""
+
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         itself, got = None, []
         for rows in batches:
@@ -277,20 +349,71 @@ def scored(docs: DataFrame) -> DataFrame:
         if itself:
             yield from scores(itself, got)
 
+    itself = made.where(F.col("segment") == ITSELF).select("batch", "segment", "words", "doc_ids", "held_out", "sizes", "tokens")
+    given = answers.select("batch", "segment", "counts", "word_levels", "pair_levels")
+    met = itself.unionByName(given, allowMissingColumns=True).select("batch", "segment", "words", "doc_ids", "held_out", "sizes", "tokens", "counts", "word_levels", "pair_levels")
+    return met.repartition("batch").sortWithinPartitions("batch", "segment").mapInArrow(of, ddl)
+
+
+RESCORES = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("score", pa.float64())])
+RESCORES_DDL = "doc_id long, n_tokens long, n_known long, score double"
+
+
+def sums_of(h: np.ndarray, out: np.ndarray, sizes: np.ndarray, doc_ids: list, levels: np.ndarray, both: np.ndarray, n: int, v: int) -> Iterator[pa.RecordBatch]:
+    logs, starts = logs_of(h, out, sizes, lambda *_: (levels, both), n, v), np.cumsum(sizes) - sizes
+    yield from common.emit(RESCORES, [doc_ids, sizes, np.add.reduceat((levels > 0)[out].astype(np.int64), starts), np.add.reduceat(logs, starts)])
+
+
+def rescored(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, n_tokens, n_known, score of documents under a stored filter; n_known are tokens that the filter holds."""
+    spark = docs.sparkSession
+    common.on_workers(spark)
+    n, v, segments = model.n, model.v, model.segments
+    rows = told(docs).withColumn("held_out", F.lit(True))
+    if (model.rows.agg(F.sum(F.octet_length("bits"))).first()[0] or 0) <= BROADCAST:
+        sent = spark.sparkContext.broadcast({r.segment: (r["size"], bytes(r.bits)) for r in model.rows.collect()})
+
+        def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            filters = {k: Filter.stored(*x) for k, x in sent.value.items()}
+
+            def probed(x: np.ndarray, low: bool) -> np.ndarray:
+                cuts = np.searchsorted(segment_of(x, segments), np.arange(segments + 1))
+                found = np.zeros(len(x), np.uint8)
+                for k, bloom in filters.items():
+                    part = x[cuts[k] : cuts[k + 1]]
+                    found[cuts[k] : cuts[k + 1]] = bloom.levels(part & np.uint64(0xFFFFFFFF) if low else part)
+                return found
+
+            for batch in common.slices(batches, 20_000, BATCH):
+                h, out, sizes = tokens(batch.column(2))
+                p = np.unique(pairs(h, out, before(out, sizes, int(np.searchsorted(h, END)))))
+                yield from sums_of(h, out, sizes, batch.column(0).to_pylist(), probed(h, False), probed(p, True), n, v)
+
+        return rows.mapInArrow(of, RESCORES_DDL)
+
+    made = common.saved(batched(rows, segments), "batches", compression="zstd")
+    asked = made.where(F.col("segment") != ITSELF).select("segment", "batch", "words", "pairs")
+    both = model.rows.withColumn("batch", F.lit(ITSELF).cast("long")).unionByName(asked, allowMissingColumns=True)
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        segment, bloom = None, None
+        for rows in batches:
+            for s, batch, size, bits, words, two in zip(*(c.to_pylist() for c in rows.columns)):
+                if s != segment:
+                    segment, bloom = s, None
+                if batch == ITSELF:
+                    bloom = Filter.stored(size, bits)
+                    continue
+                h, p = np.frombuffer(words, "<u8"), np.frombuffer(two, "<u4").astype(np.uint64)
+                # a segment that nothing fell into holds nothing
+                levels = [bloom.levels(x) if bloom else np.zeros(len(x), np.uint8) for x in (h, p)]
+                yield pa.RecordBatch.from_arrays([pa.array([x], type=f.type) for x, f in zip([s, batch, None, *(x.tobytes() for x in levels), None, None, None, None], ANSWERS)], schema=ANSWERS)
+
+    answers = both.select("segment", "batch", "size", "bits", "words", "pairs").repartition("segment").sortWithinPartitions("segment", "batch").mapInArrow(answer, ANSWERS_DDL)
+
     def scores(itself: tuple, got: list[tuple]) -> Iterator[pa.RecordBatch]:
-        _, _, words, doc_ids, held_out, sizes, numbers = itself[:7]
-        h, out, sizes = np.frombuffer(words, "<u8"), unplaned(numbers), np.array(sizes)
-        c, levels, both = (np.frombuffer(b"".join(x), t) for x, t in zip(zip(*got), ("<i8", np.uint8, np.uint8)))
-        starts = np.cumsum(sizes) - sizes
-        previous = before(out, sizes, int(np.searchsorted(h, END)))
-        _, first, number = np.unique(pairs(h, out, previous), return_index=True, return_inverse=True)
-        single = count(levels.astype(np.int64))
-        logs = np.log10(likelihood(count(both.astype(np.int64)), single[previous[first]], single[out[first]], denominator))
-        base, known = np.log10((c + 0.5) / denominator), c > 0
-        sums = [np.add.reduceat(x, starts) for x in (known[out].astype(np.int64), base[out], logs[number])]
-        yield from common.emit(SCORES, [doc_ids, held_out, sizes, sums[0], np.full(len(sizes), n), sums[1], sums[2]])
+        _, _, words, doc_ids, _, sizes, numbers = itself[:7]
+        levels, two = (np.frombuffer(b"".join(x), np.uint8) for x in list(zip(*got))[1:])
+        yield from sums_of(np.frombuffer(words, "<u8"), unplaned(numbers), np.array(sizes), doc_ids, levels, two, n, v)
 
-    itself = made.where(F.col("segment") == ITSELF).select("batch", "segment", "words", "doc_ids", "held_out", "sizes", "tokens")
-    told = answers.where(F.col("batch") != ITSELF).select("batch", "segment", "counts", "word_levels", "pair_levels")
-    met = itself.unionByName(told, allowMissingColumns=True).select("batch", "segment", "words", "doc_ids", "held_out", "sizes", "tokens", "counts", "word_levels", "pair_levels")
-    return met.repartition("batch").sortWithinPartitions("batch", "segment").mapInArrow(of, SCORES_DDL)
+    return gathered(made, answers, scores, RESCORES_DDL)

@@ -70,3 +70,33 @@ def test_against_sql(spark, tmp_path):
     want = duckdb.sql(chat.SQL).df().sort_values("conv_id").reset_index(drop=True)
     got = chat.op5(given).toPandas().sort_values("conv_id").reset_index(drop=True)[list(want.columns)]
     assert got.astype(str).equals(want.astype(str)) or (got.fillna(-9) == want.fillna(-9)).all().all()
+
+
+TEMPLATES = [chat.CHATML, chat.Template(opens="[TURN]", closes="[/TURN]\n"), chat.Template(opens="<start_of_turn>", closes="<end_of_turn>\n"), chat.Template(opens="[x", closes="{y}.*$", learned=("user", "assistant"))]
+
+
+@pytest.mark.parametrize("template", TEMPLATES)
+def test_every_template_reads_back(spark, template):
+    rng = random.Random(3)
+    marks = [template.opens, template.closes, template.closes.strip()]
+    bits = [*marks, *(m[:k] for m in marks for k in (1, 2, 3)), *(m[1:] for m in marks), "\\", "\n", "$1", "é", "user", "\\\\", "[\\T", ".*"]
+    rows = [(c, n, rng.choice(["user", "assistant", "", "a\nb", template.closes]), "".join(rng.choices(bits, k=rng.randint(0, 9)))) for c in range(60) for n in range(rng.randint(1, 5))]
+    df = spark.createDataFrame(rows, DDL)
+    made = chat.formatted(df, template).select("conv_id", F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("whole"), F.filter("segments", lambda s: s["loss"]).alias("loss"))
+    read = {r.conv_id: r for r in made.select("conv_id", "whole", "loss", chat.parsed(F.col("whole"), template).alias("turns")).collect()}
+    for c in range(60):
+        given = [(r, t) for i, _, r, t in rows if i == c]
+        assert [tuple(t) for t in read[c].turns] == given
+        assert read[c].whole.count(template.closes) == read[c].whole.count(template.opens) == len(given)
+        assert len(read[c].loss) == sum(r in template.learned for r, _ in given)
+    out = {r.conv_id: r for r in chat.op5(df, template).collect()}
+    assert out[-1].n_turns == 2
+    for c in range(60):
+        learned = "".join(t for i, _, r, t in rows if i == c and r in template.learned)
+        assert out[c].loss_sha256 == hashlib.sha256(learned.encode()).hexdigest() and out[c].n_turns == sum(i == c for i, *_ in rows)
+
+
+@pytest.mark.parametrize("opens,closes", [("#", "<|e|>"), ("<|s|>", "##"), ("<|s|>", "END"), ("<|s|>", "<\\e>"), ("a<", "<b"), ("<|s|>[", "[e]")])
+def test_marks_that_cannot_be_guarded_are_refused(opens, closes):
+    with pytest.raises(ValueError):
+        chat.Template(opens=opens, closes=closes)

@@ -82,32 +82,88 @@ def test_edges(spark):
     assert (r.train_tokens, r.n_known, r.n_tokens) == (0, 0, 4)
 
 
-def test_scores_against_plain_counts(spark, monkeypatch):
-    monkeypatch.setattr(lm, "BATCH", 5000)
-    monkeypatch.setattr(lm, "SEGMENT", 9000)
-    rows = corpus(300)
+def counts_of(rows):
     train = [toks(t) for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1]
-    c, two = Counter(w for t in train for w in t), Counter(p for t in train for p in zip(["\n", *t], t))
-    n, v = sum(c.values()), len(c)
-
-    def near(x):
-        q = int(lm.level_of(np.array([x]))[0])
-        least, most = math.ceil(lm.BASE ** (q - 1)), math.ceil(lm.BASE**q) - 1
-        return math.sqrt(least * most) if x else 0
-
-    def plain(t):
-        out = 0
-        for a, b in zip(["\n", *t], t):
-            single = (near(c[b]) + 0.5) / (n + 0.5 * (v + 1))
-            joint = min(1, near(two[a, b]) / max(near(c[a]), 1))
-            out += math.log10(0.6 * joint + 0.4 * single if c[a] else single)
-        return out
-
-    out = {r.doc_id: r.score for r in lm.scored(spark.createDataFrame(rows, DDL).repartition(4)).collect()}
-    # a filter can hold an n-gram by chance, in few of the short texts
-    small = [(i, toks(t)) for i, t in rows if len(toks(t)) < 95]
-    off = [abs(out[i] - plain(t)) / len(t) for i, t in small]
-    assert np.mean(np.array(off) < 1e-6) > 0.5 and np.mean(off) < 0.05
+    return Counter(w for t in train for w in t), Counter(p for t in train for p in zip(["\n", *t], t))
+
+
+def pair_hash(a, b):
+    h = lm.hashed([a.encode(), b.encode()])
+    return int(lm.pairs(h, np.array([1]), np.array([0]))[0])
+
+
+class Plain:
+    """The model in plain Python, with levels read from a filter built here of the same n-grams."""
+
+    def __init__(self, rows):
+        self.c, self.two = counts_of(rows)
+        self.n, self.v = sum(self.c.values()), len(self.c)
+        hashes = [int(lm.hashed([w.encode()])[0]) for w in self.c] + [pair_hash(*p) & 0xFFFFFFFF for p in self.two]
+        # pairs with the same low bits are one
+        total = Counter()
+        for h, x in zip(hashes, [*self.c.values(), *self.two.values()]):
+            total[h] += x
+        self.filter = lm.Filter(np.array(list(total), np.uint64), np.array(list(total.values())))
+
+    def level(self, h):
+        return int(self.filter.levels(np.array([h], np.uint64))[0])
+
+    def probability(self, a, b):
+        low = lambda q: math.ceil(lm.BASE ** (q - 1)) if q else 0
+        high = lambda q: max(low(q), math.ceil(lm.BASE**q) - 1)
+        cap = int(lm.level_of(np.array([self.n]))[0]) if self.n else 0
+        of = lambda w: min(cap, self.level(int(lm.hashed([w.encode()])[0])))
+        first, second = of(a), of(b)
+        both = min(self.level(pair_hash(a, b) & 0xFFFFFFFF), first, second)
+        single = (low(second) + 0.5) / (self.n + 0.5 * (self.v + 1))
+        return lm.PAIR_WEIGHT * low(both) / high(first) + (1 - lm.PAIR_WEIGHT) * single if first else single
+
+    def score(self, text):
+        t = toks(text)
+        return sum(math.log10(self.probability(a, b)) for a, b in zip(["\n", *t], t))
+
+
+def test_scores_are_those_of_the_filters_levels(spark):
+    rows = corpus(120)
+    plain = Plain(rows)
+    for r in lm.scored(spark.createDataFrame(rows, DDL).repartition(4)).collect():
+        assert abs(r.score - plain.score(dict(rows)[r.doc_id])) < 1e-6
+
+
+def test_scores_are_log_probabilities_for_poor_corpora(spark):
+    for texts in ([None] * 8, [""] * 12, [""] * 18, [""] * 27, ["a"] * 40, ["a a a a a"] * 9, ["a b"] * 3 + [""] * 30):
+        for r in lm.scored(spark.createDataFrame(list(enumerate(texts)), DDL)).collect():
+            assert r.score < 0
+
+
+def test_probabilities_after_a_history_sum_to_at_most_one():
+    plain = Plain(corpus(200))
+    # what the filter holds by chance is not the model's: probabilities from levels of the true counts
+    words = list(plain.c)
+    q = lambda x: lm.level_of(np.array(x)) * (np.array(x) > 0)
+    own = q([plain.c[w] for w in words])
+    for a in [*words[:40], "\n", "unseen"]:
+        both = q([plain.two[a, w] for w in words])
+        got = lm.likelihood(both, np.full(len(words), q([plain.c[a]])[0]), own, plain.n, plain.v)
+        unseen = lm.likelihood(np.zeros(1, int), q([plain.c[a]]), np.zeros(1, int), plain.n, plain.v)
+        assert 0.3 < got.sum() + unseen.sum() <= 1 + 1e-12
+
+
+def test_a_stored_filter_scores_other_documents(spark, monkeypatch):
+    rows = corpus(200)
+    docs = spark.createDataFrame(rows, DDL)
+    for segment, broadcast in ((lm.SEGMENT, lm.BROADCAST), (2000, lm.BROADCAST), (2000, -1)):
+        monkeypatch.setattr(lm, "SEGMENT", segment)
+        monkeypatch.setattr(lm, "BROADCAST", broadcast)
+        model, _, _ = lm.learnt(docs)
+        own = {r.doc_id: r for r in lm.scored(docs).collect()}
+        again = lm.rescored(docs, model).collect()
+        assert len(again) == len(rows)
+        for r in again:
+            assert abs(r.score - own[r.doc_id].score) < 1e-9 and r.n_tokens == own[r.doc_id].n_tokens and r.n_known >= own[r.doc_id].n_known
+        other = lm.rescored(spark.createDataFrame([(1, "w1 w2"), (2, None), (None, "unheard of")], DDL), model).collect()
+        assert len(other) == 3 and all(r.score < 0 for r in other)
+        assert lm.rescored(spark.createDataFrame([], DDL), model).count() == 0
 
 
 def test_held_out_copies_are_told_apart(spark):
