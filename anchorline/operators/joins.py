@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from ..session import with_checkpoints
 
+#: Length of a bucket of time, an hour in microseconds.
+BUCKET = 3_600_000_000
+
 
 def bucketed_range_join(points: DataFrame, ranges: DataFrame, keys: Sequence[str], time: str, low: str, high: str, width: int) -> DataFrame:
     """Inner join on ``keys`` where low <= time < high, all integers.
@@ -36,17 +39,30 @@ def ordinal_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_or
     return ordinal(left, keys, left_order).join(ordinal(right, keys, right_order), [*keys, "ord"], how)
 
 
-def anchor_before(points: DataFrame, anchors: DataFrame, keys: Sequence[str], time: str, anchor: str, anchor_time: str) -> DataFrame:
+def anchor_before(points: DataFrame, anchors: DataFrame, keys: Sequence[str], time: str, anchor: str, anchor_time: str, width: int = BUCKET) -> DataFrame:
     """``points`` with the anchor whose interval [own time, next anchor's time) holds the point, null before the first.
 
-    Both sides are read in one order of time, anchors first on equal times; there
-    is no range predicate and each key is one sorted partition.
+    Both sides are read in one order of time, anchors first on equal times, inside
+    buckets of ``width``, so a hot key is spread over its times.  To the points before a
+    bucket's first anchor the last one of the buckets before is carried, over one row for
+    each key and bucket.  Equal times go to the greatest anchor; null anchors are none.
     """
-    both = points.select(*points.columns, F.lit(1).alias("_side"), F.col(time).alias("_t"), F.lit(None).cast(anchors.schema[anchor].dataType).alias("_a")).unionByName(
-        anchors.select(*keys, F.lit(0).alias("_side"), F.col(anchor_time).alias("_t"), F.col(anchor).alias("_a")), allowMissingColumns=True
-    )
-    order = Window.partitionBy(*keys).orderBy("_t", "_side", "_a").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return both.withColumn(anchor, F.last("_a", ignorenulls=True).over(order)).where("_side = 1").select(*points.columns, anchor)
+    kind = anchors.schema[anchor].dataType
+    bucket = lambda t: F.floor(F.col(t) / width).alias("_bucket")
+    mine = points.select(*points.columns, bucket(time), F.lit(1).alias("_side"), F.col(time).alias("_t"), F.lit(None).cast(kind).alias("_a"))
+    theirs = anchors.where(F.col(anchor).isNotNull()).select(*keys, bucket(anchor_time), F.lit(0).alias("_side"), F.col(anchor_time).alias("_t"), F.col(anchor).alias("_a"))
+    both = mine.unionByName(theirs, allowMissingColumns=True)
+    order = Window.partitionBy(*keys, "_bucket").orderBy("_t", "_side", "_a").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = both.withColumn("_in", F.last("_a", ignorenulls=True).over(order)).where("_side = 1")
+    # a null where a bucket has points only
+    ends = both.groupBy(*keys, "_bucket").agg(F.max(F.when(F.col("_side") == 0, F.struct("_t", "_a")))["_a"].alias("_end"))
+    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.withColumn("_carried", F.last("_end", ignorenulls=True).over(earlier)).where(F.col("_carried").isNotNull())
+    rows, told = inside.alias("p"), carried.select(*keys, "_bucket", "_carried").alias("c")
+    on = F.col("p._bucket") == F.col("c._bucket")
+    for k in keys:
+        on &= F.col(f"p.{k}").eqNullSafe(F.col(f"c.{k}"))
+    return rows.join(told, on, "left").select(*(F.col(f"p.{c}") for c in points.columns), F.coalesce("p._in", "c._carried").alias(anchor))
 
 
 def mutual_best(pairs: DataFrame, keys: Sequence[str], left: str, right: str, score: str) -> DataFrame:
@@ -59,6 +75,7 @@ def mutual_best(pairs: DataFrame, keys: Sequence[str], left: str, right: str, sc
     """
     of_left, of_right = Window.partitionBy(*keys, left), Window.partitionBy(*keys, right)
     with_checkpoints(pairs.sparkSession)
+    pairs = pairs.checkpoint()  # the scores are computed once
     rest, found, done = pairs, None, 0
     while True:
         ranked = rest.withColumn("_l", F.row_number().over(of_left.orderBy(F.desc(score), right))).withColumn("_r", F.row_number().over(of_right.orderBy(F.desc(score), left)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import neighbours as near
 from ..operators import pairing as p
 from ..operators import population as pop
 from . import fixtures as f
@@ -89,7 +90,7 @@ def unit_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unit_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JN-9, OP-11: one to one by iterated mutual best; the SQL takes the rounds by recursion."""
-    return p.pair_units(_units(spark, sf_dir, 0), _units(spark, sf_dir, 1), ["probe"]).select("probe", "unit_a", "unit_b", F.round("sim", 6).alias("sim"), "matched")
+    return p.pair_units(_units(spark, sf_dir, 0), _units(spark, sf_dir, 1), ["probe"], rest=True).select("probe", "unit_a", "unit_b", F.round("sim", 6).alias("sim"), "matched")
 
 
 def pairing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +102,7 @@ def pairing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def nearest_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JN-14."""
     rows = _units(spark, sf_dir).select("probe", F.col("unit_id").alias("channel"), "x", "y")
-    return p.nearest(rows, ["probe"], 3).withColumn("d", F.round("d", 6))
+    return near.nearest(rows, ["probe"], "channel", 3).withColumn("d", F.round("d", 6))
 
 
 def similarity_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,10 +116,21 @@ def similarity_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("band", band).withColumn("rank", F.row_number().over(order)).where("rank <= 3").select("band", "unit_a", "unit_b", "rank")
 
 
+def close_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN-8 above a least similarity: the pairs of any two units that reach it, without comparing all."""
+    return near.similar_pairs(_units(spark, sf_dir, 0), _units(spark, sf_dir, 1), ["probe"], p.MATCHED).withColumns({c: F.round(c, 6) for c in ("cos", "d_xy", "sim")})
+
+
+def pair_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WN-10 on the pairs: examples of each band and of the units without a pair."""
+    a, b = _units(spark, sf_dir, 0), _units(spark, sf_dir, 1)
+    return p.pair_bands(p.pair_units(a, b, ["probe"]), a, ["probe"], 3)
+
+
 def merge_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AG-44, OP-13, JN-13."""
     every = _units(spark, sf_dir)
-    edges = p.similarities(every, every, ["probe"]).where((F.col("unit_a") < F.col("unit_b")) & (F.round("cos", 6) >= CLOSE)).select(F.col("unit_a").alias("a"), F.col("unit_b").alias("b"))
+    edges = p.merge_edges(every, ["probe"], CLOSE)
     return p.merged_units(every.select("unit_id"), edges)
 
 
@@ -134,7 +146,7 @@ _PAIRS = f"""WITH RECURSIVE {_SIMS}, s AS (SELECT probe, unit_a, unit_b, 0.7 * c
 rounds AS (SELECT *, {_BEST} FROM s UNION ALL SELECT *, {_BEST} FROM (SELECT probe, unit_a, unit_b, sim, d FROM (SELECT *, bool_or(taken) OVER (PARTITION BY probe, unit_a) AS ta, bool_or(taken) OVER (PARTITION BY probe, unit_b) AS tb FROM rounds) WHERE NOT ta AND NOT tb)),
 pairs AS (SELECT probe, unit_a, unit_b, sim, d, sim >= 0.6 AS matched FROM rounds WHERE taken)"""
 
-QUERIES = {q.__name__: q for q in (mean_rates, varying_units, rsm, compare_rsm, unit_reliability, rsm_reliability, ablation, unit_similarity, unit_pairs, pairing_summary, nearest_channels, similarity_bands, merge_units, spike_agreement)}
+QUERIES = {q.__name__: q for q in (mean_rates, varying_units, rsm, compare_rsm, unit_reliability, rsm_reliability, ablation, unit_similarity, unit_pairs, pairing_summary, nearest_channels, similarity_bands, close_units, pair_bands, merge_units, spike_agreement)}
 
 _SEEDS = "seeds AS (SELECT CAST(range AS INT) AS seed FROM range(3))"
 _CMP = lambda a, b, keys: f"""pairs AS (SELECT {keys}a.stim_a, a.stim_b, a.r AS ra, b.r AS rb FROM {a} a JOIN {b} b USING ({keys}stim_a, stim_b)),
@@ -159,6 +171,10 @@ SQL = {
       e AS (SELECT * EXCLUDE (run) FROM kept WHERE run = 0), o AS (SELECT * EXCLUDE (run) FROM kept WHERE run = 1), {_rsm_sql('e', 'seed, fraction, units')}, {_rsm_sql('o', 'seed, fraction, units')},
       m AS (SELECT seed, fraction, units, corr(a.r, b.r) AS x FROM r_e a JOIN r_o b USING (seed, fraction, units, stim_a, stim_b) GROUP BY ALL) SELECT fraction, units, round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS sd, count(x) AS n FROM m GROUP BY ALL""",
     "unit_similarity": f"WITH {_SIMS} SELECT probe, unit_a, unit_b, round(c, 6) AS cos, round(d, 6) AS d_xy, round(0.7 * c + 0.3 * exp(-d / 100), 6) AS sim FROM sims",
+    "close_units": f"WITH {_SIMS} SELECT probe, unit_a, unit_b, round(c, 6) AS cos, round(d, 6) AS d_xy, round(0.7 * c + 0.3 * exp(-d / 100), 6) AS sim FROM sims WHERE 0.7 * c + 0.3 * exp(-d / 100) >= 0.6",
+    "pair_bands": f"""{_PAIRS}, b AS (SELECT CASE WHEN c >= 0.97 THEN 'same' WHEN c >= 0.85 THEN 'alike' WHEN c >= 0.6 THEN 'like' ELSE 'unlike' END AS band, p.probe, p.unit_a, p.unit_b FROM pairs p JOIN sims USING (probe, unit_a, unit_b) WHERE matched
+      UNION ALL SELECT 'unmatched', probe, unit_id, NULL FROM units u WHERE unit_id % 2 = 0 AND NOT EXISTS (FROM pairs p WHERE p.probe = u.probe AND unit_a = unit_id AND matched))
+      SELECT band, probe, unit_a, unit_b, row_number() OVER (PARTITION BY band ORDER BY md5('0:' || probe || ':' || unit_a), probe, unit_a) AS rank FROM b QUALIFY rank <= 3""",
     "unit_pairs": f"{_PAIRS} SELECT probe, unit_a, unit_b, round(sim, 6) AS sim, matched FROM pairs",
     "pairing_summary": f"""{_PAIRS}, n AS (SELECT probe, count(*) FILTER (unit_id % 2 = 0) AS na, count(*) FILTER (unit_id % 2 = 1) AS nb FROM units GROUP BY ALL),
       m AS (SELECT probe, count(*) AS k, median(sim) AS sim, median(d) AS d FROM pairs WHERE matched GROUP BY ALL)
