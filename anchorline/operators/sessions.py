@@ -58,7 +58,8 @@ def probe_key(units: DataFrame) -> DataFrame:
 
 
 def imported_sorting(spikes: DataFrame, labels: DataFrame, keys: Sequence[str] = ("session", "probe", "unit_id")) -> DataFrame:
-    """Units of a sorting: number of spikes, label and status; units without a label are ``unsorted``, labels without spikes warn."""
+    """Units of a sorting: number of spikes, label and status; units without a label are ``unsorted``, labels without spikes warn, of repeated labels the first in order counts."""
+    labels = labels.groupBy(*keys).agg(F.min("label").alias("label"))
     counts = spikes.groupBy(*keys).agg(F.count("*").alias("n_spikes"))
     both = counts.join(labels, list(keys), "full_outer")
     return both.select(*keys, F.coalesce("n_spikes", F.lit(0)).alias("n_spikes"), F.coalesce("label", F.lit("unsorted")).alias("label"), F.when(F.col("n_spikes").isNull(), "warn").otherwise("pass").alias("status"))
@@ -176,7 +177,7 @@ def copy_chunks(source: DataFrame, copy: DataFrame, full: bool, keys: Sequence[s
 
 def named_stims(onsets: DataFrame, manifest: DataFrame) -> DataFrame:
     """``onsets`` with stim_name: index 0 and unknown ones have none; an index below 0 or above the manifest's last raises."""
-    top = manifest.agg(F.max("stim_index").alias("_top"))
+    top = manifest.agg(F.coalesce(F.max("stim_index"), F.lit(0)).alias("_top"))
     joined = onsets.crossJoin(F.broadcast(top)).join(manifest, "stim_index", "left")  # one row, the last index
     bad = (F.col("stim_index") < 0) | (F.col("stim_index") > F.col("_top"))
     name: Column = F.when(bad, F.raise_error(F.concat(F.lit("stimulus out of range: "), F.col("stim_index"))).cast("string")).otherwise(F.coalesce("stim_name", F.lit("")))

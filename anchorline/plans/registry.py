@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import alignment, curations, event_locked, exports, populations, recordings, sessions
+from . import alignment, audits, curations, event_locked, exports, populations, recordings, sessions
 
-MODULES = (event_locked, alignment, populations, curations, exports, sessions, recordings)
+MODULES = (event_locked, alignment, populations, curations, exports, sessions, recordings, audits)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

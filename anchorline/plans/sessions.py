@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..operators import joins
 from ..operators import sessions as s
 from ..session import with_checkpoints
+from ..sources import sinks
+from ..sources.commits import commit_version
 from . import alignment
 from . import fixtures as f
 
@@ -139,27 +141,27 @@ def unlike_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def metrics_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SK-3: metrics and labels written as CSV with a header and read back."""
     units = _units(spark, sf_dir).select("unit_id", F.size("spike_times").alias("n_spikes"), F.col("c_acctbal").alias("snr"), F.when(F.col("c_acctbal") > 5000, "good").otherwise("mua").alias("label"))
-    return spark.read.option("header", "true").schema("unit_id long, n_spikes int, snr double, label string").csv(_written(units, "quality_metrics", "csv"))
+    return spark.read.option("header", "true").schema("unit_id long, n_spikes int, snr double, label string").csv(sinks.write_metrics(units, shared_path(spark, "quality_metrics"), ["unit_id", "snr"]))
 
 
 def written_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SK-4: scores written as Parquet and read back."""
     units = _units(spark, sf_dir).select("unit_id", F.when(F.col("c_acctbal") > 0, F.col("c_acctbal") / 10000).alias("score"), (F.col("c_acctbal") > 4000).alias("is_visual"))
-    return spark.read.parquet(_written(units, "unit_scores"))
+    return spark.read.parquet(sinks.write_scores(units, shared_path(spark, "unit_scores")))
 
 
 def merge_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SK-9: which units became one, as an append table with the run's settings."""
     rows = f.table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").cast("long").alias("group")).agg(F.array_sort(F.collect_list("c_custkey")).alias("ids")).where(F.size("ids") > 1)
-    log = rows.select(F.element_at("ids", 1).alias("new_id"), F.col("ids").alias("merged_from"), F.to_json(F.struct(F.lit(0.9).alias("least_similarity"), F.size("ids").alias("units"))).alias("config"))
-    return spark.read.parquet(_written(log, "merge_log")).select("new_id", F.array_join("merged_from", ",").alias("merged_from"), F.get_json_object("config", "$.units").cast("long").alias("units"))
+    log = sinks.merge_log(rows.select(F.element_at("ids", 1).alias("unit_id"), F.col("ids").alias("merged_from")), {"least_similarity": 0.9})
+    back = spark.read.parquet(commit_version(log, shared_path(spark, "merge_log")))
+    return back.select("new_id", F.array_join("merged_from", ",").alias("merged_from"), F.size("merged_from").cast("long").alias("units"))
 
 
 def sorter_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SK-11: amplitudes and template ids beside the spikes, a folder for each probe."""
     spikes = f.spikes(spark, sf_dir).withColumn("template_id", F.pmod("unit_id", F.lit(4)))
-    path = _written(spikes.select("probe", "template_id", "unit_id", "amplitude"), "sorter")
-    return spark.read.parquet(path).groupBy("probe", "template_id").agg(F.count("*").alias("n"), F.round(F.sum("amplitude"), 3).alias("sum_amplitude"))
+    return spark.read.parquet(sinks.write_sorter_columns(spikes, shared_path(spark, "sorter"))).groupBy("probe", "template_id").agg(F.count("*").alias("n"), F.round(F.sum("amplitude"), 3).alias("sum_amplitude"))
 
 
 def curated_probes(spark: SparkSession, sf_dir: str) -> DataFrame:

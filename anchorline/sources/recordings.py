@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -67,10 +68,15 @@ def checks(found: DataFrame) -> DataFrame:
 
 
 class SampleSource(DataSource):
-    """Interleaved int16 samples as rows (chunk_id, start_sample, n_samples, data), a partition for each range of chunks.
-
-    Options: path, channels, chunk (samples), chunks (to a partition).  The path
-    must be one that every executor can open.
+    """Interleaved int16 samples as rows (chunk_id, channel, start_sample, n_samples, data), a partition for each range of chunks.
+
+    Options: path, channels, chunk (samples), chunks (to a partition), and, for a slice,
+    first and last (samples: chunks that touch [first, last)) and wanted (numbers of
+    channels, with commas).  ``channel`` is -1 for whole chunks, all channels interleaved.
+    A slice is known when partitions are planned, so only its byte ranges are read and
+    only the wanted channels are built.  These are options and no pushed filters, as Spark
+    4.1 keeps what was pushed into a reader for all later uses of the same DataFrame.
+    The path is one that every executor can open, or a URI of a file system that Arrow knows.
     """
 
     @classmethod
@@ -78,7 +84,7 @@ class SampleSource(DataSource):
         return "samples"
 
     def schema(self) -> str:
-        return "chunk_id long, start_sample long, n_samples long, data array<smallint>"
+        return "chunk_id long, channel int, start_sample long, n_samples long, data array<smallint>"
 
     def reader(self, schema) -> DataSourceReader:
         return SampleReader(self.options)
@@ -88,24 +94,50 @@ class SampleReader(DataSourceReader):
     def __init__(self, options):
         self.path, self.channels = options["path"], int(options["channels"])
         self.chunk, self.per = int(options.get("chunk", "30000")), int(options.get("chunks", "64"))
+        self.first, self.last = int(options.get("first", "0")), int(options["last"]) if "last" in options else None
+        self.wanted = [int(c) for c in options["wanted"].split(",")] if "wanted" in options else [-1]
 
-    def partitions(self) -> list[InputPartition]:
-        import os
+    def file(self):
+        return pafs.FileSystem.from_uri(self.path) if "://" in self.path else (pafs.LocalFileSystem(), self.path)
 
-        samples = os.path.getsize(self.path) // (2 * self.channels)
+    def partitions(self) -> list[InputPartition]:
+        system, path = self.file()
+        samples = system.get_file_info(path).size // (2 * self.channels)
         n = -(-samples // self.chunk)
-        return [InputPartition((first, min(first + self.per, n), samples)) for first in range(0, n, self.per)]
+        low = max(0, self.first) // self.chunk
+        high = n if self.last is None else min(n, -(-self.last // self.chunk))
+        return [InputPartition((first, min(first + self.per, high), samples)) for first in range(low, high, self.per)]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+        if partition.value is None:  # no partition was planned
+            return
         first, last, samples = partition.value
-        names = ["chunk_id", "start_sample", "n_samples", "data"]
-        with open(self.path, "rb") as file:
+        names = ["chunk_id", "channel", "start_sample", "n_samples", "data"]
+        system, path = self.file()
+        with system.open_input_file(path) as file:
             file.seek(2 * self.channels * first * self.chunk)
             for i in range(first, last):
                 n = min(self.chunk, samples - i * self.chunk)
                 data = np.frombuffer(file.read(2 * self.channels * n), dtype="<i2")
-                lists = pa.ListArray.from_arrays(pa.array([0, len(data)], pa.int32()), pa.array(data))
-                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([i * self.chunk], pa.int64()), pa.array([n], pa.int64()), lists], names=names)
+                for c in self.wanted:
+                    if not -1 <= c < self.channels:
+                        continue
+                    values = data if c < 0 else data[c :: self.channels].copy()
+                    lists = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values))
+                    yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([c], pa.int32()), pa.array([i * self.chunk], pa.int64()), pa.array([n], pa.int64()), lists], names=names)
+
+
+def sample_slice(spark: SparkSession, path: str, channels: int, rate: float, start_s: float, end_s: float, wanted: Sequence[int], **options: str) -> DataFrame:
+    """(channel, start_sample, n_samples, data) of some channels in [start_s, end_s), bounds rounded to samples; chunks at the ends are cut."""
+    first, last = round(start_s * rate), round(end_s * rate)
+    if not 0 <= first < last:
+        raise ValueError("a slice begins at 0 or later and ends after it begins")
+    spark.dataSource.register(SampleSource)
+    held = spark.read.format("samples").options(path=path, channels=str(channels), first=str(first), last=str(last), wanted=",".join(map(str, wanted)), **options).load()
+    low = F.greatest("start_sample", F.lit(first))
+    n = F.least(F.col("start_sample") + F.col("n_samples"), F.lit(last)) - low
+    cut = held.select("channel", low.alias("start_sample"), n.alias("n_samples"), F.slice("data", (low - F.col("start_sample") + 1).cast("int"), n.cast("int")).alias("data"))
+    return cut.where("n_samples > 0")
 
 
 def channel(chunks: DataFrame, number: int, channels: int) -> DataFrame:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import unknown_updates, update_join
-from .recordings import files
+from .commits import commit_version
 
 
 def trials_table(events: DataFrame, onsets: DataFrame, probes: Sequence[str], reference: str, default_ms: float = 150.0) -> DataFrame:
@@ -45,34 +45,45 @@ def eye_series(eye: DataFrame, interval_ms: float | None = None) -> DataFrame:
     return eye.join(offsets, ["session", "trial_id"]).withColumns({"index": F.col("_at") + F.col("i"), "rate": F.lit(1000.0 / interval_ms if interval_ms else None).cast("double")}).drop("_at")
 
 
-def write_version(df: DataFrame, root: str, name: str, overwrite: bool = False) -> str:
-    """Writes the next version, or a named one; an existing version stays unless ``overwrite``."""
-    path = f"{root.rstrip('/')}/version={name}"
-    df.write.mode("overwrite" if overwrite else "errorifexists").parquet(path)
-    return path
+def write_update(original: DataFrame, updates: DataFrame, key: str, root: str) -> DataFrame:
+    """Commits the updated rows as the next version and reports it in a row: version, rows before and after, updates of unknown keys.
+
+    The original is left as it is, and so is every version before.
+    """
+    spark = original.sparkSession
+    path = commit_version(update_join(original, updates, key), root)
+    written = spark.read.parquet(path)
+    one = lambda df, name: df.agg(F.count("*").alias(name))
+    return one(original, "rows_before").join(one(written, "rows_after")).join(one(unknown_updates(original, updates, key), "unknown")).select(F.lit(path.rsplit("=", 1)[1]).alias("version"), "*")
 
 
-def next_version(spark: SparkSession, root: str) -> str:
-    """v001 in an empty folder, else one more than the greatest there."""
-    try:
-        found = files(spark, root, "*.parquet").agg(F.max(F.regexp_extract("path", r"version=v(\d+)", 1).try_cast("int"))).first()[0]
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        found = None
-    return f"v{(found or 0) + 1:03}"
+def write_metrics(units: DataFrame, root: str, needed: Sequence[str] = ("unit_id",)) -> str:
+    """Quality metrics and labels as CSV with a header; columns that are needed must be there."""
+    if lacking := [c for c in needed if c not in units.columns]:
+        raise ValueError(f"the metrics lack {', '.join(lacking)}")
+    return commit_version(units, root, "csv", header="true")
 
 
-def write_update(original: DataFrame, updates: DataFrame, key: str, root: str) -> DataFrame:
-    """Writes the updated rows as the next version and reports it in a row: version, rows before and after, updates of unknown keys.
+def write_scores(units: DataFrame, root: str) -> str:
+    """(unit_id, score, is_visual): a missing flag is false."""
+    return commit_version(units.select("unit_id", "score", F.coalesce("is_visual", F.lit(False)).alias("is_visual")), root)
 
-    The original is left as it is.
+
+def merge_log(merged: DataFrame, config: dict, manifest: DataFrame | None = None) -> DataFrame:
+    """(new_id, merged_from, config, manifest): one row for each unit made of several, with the run's settings and resolved manifest.
+
+    merged: (unit_id, merged_from), from ``merged_units``; manifest: (path, source), one row.
     """
-    spark = original.sparkSession
-    version = next_version(spark, root)
-    written = spark.read.parquet(write_version(update_join(original, updates, key), root, version))
-    one = lambda df, name: df.agg(F.count("*").alias(name))
-    return one(original, "rows_before").join(one(written, "rows_after")).join(one(unknown_updates(original, updates, key), "unknown")).select(F.lit(version).alias("version"), "*")
+    rows = merged.where(F.size("merged_from") > 1).select(F.col("unit_id").alias("new_id"), "merged_from", F.lit(json.dumps(config, sort_keys=True)).alias("config"))
+    if manifest is None:
+        return rows.withColumn("manifest", F.lit(None).cast("string"))
+    source = manifest.limit(1).select(F.concat_ws(" ", "source", "path").alias("manifest"))
+    return rows.join(source, how="left")
+
+
+def write_sorter_columns(spikes: DataFrame, root: str) -> str:
+    """(probe, unit_id, template_id, amplitude) beside the spikes, dealt by probe so that a probe's rows lie together."""
+    return commit_version(spikes.select("probe", "unit_id", "template_id", "amplitude").repartition("probe", "unit_id").sortWithinPartitions("probe", "unit_id"), root)
 
 
 def write_sessions(df: DataFrame, path: str, keys: Sequence[str] = ("session", "probe")) -> None:
