@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import audit
+from ..operators import audit, clocks, joins, runs, trials
 from ..operators import pairing as p
-from . import alignment
+from . import alignment, curations
 from . import fixtures as f
 from . import populations as pops
 from .sessions import _written
@@ -82,7 +82,28 @@ def probe_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.probe_times(f.table(spark, sf_dir, "orders").select(k.alias("trial_id"), text.alias("onsets")), "onsets", "imec0").select("trial_id", "t")
 
 
-QUERIES = {q.__name__: q for q in (rewrite_list, audit_fields, agreement_quartiles, matched_subset, overridden_bounds, first_occurrences, probe_times)}
+RUN = runs.RunSettings(trial_code=1, stim_code=4, code_rate=2.0, signal_rate=1.0, chunk_size=curations.CHUNK, pre=5, post=10, high=(2, 5), delay_ms=-5.0)
+
+
+def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OP-2, OP-3, OP-4, OP-1, OP-5 in one run: a user's events as coded samples with zeros between them, a behaviour log that lacks one event in ten, the values as photodiode and the views as pulses."""
+    codes = alignment._codes(spark, sf_dir)
+    numbered = joins.ordinal(codes, ["session"], ["t_us", "event_id"], "s").withColumn("s", (F.col("s") - 1).cast("long"))
+    words = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("s", "code"))), lambda x: F.array(x["code"], F.lit(0))))
+    coded = numbered.groupBy("session", F.expr(f"s div {curations.CHUNK}").alias("chunk_id")).agg((2 * F.min("s")).alias("start_sample"), words.alias("data"))
+    logged = numbered.where("event_id % 10 <> 0")
+    behaviour = logged.where("code = 1").select("session", F.col("event_id").alias("trial_id"), "s")
+    given = joins.anchor_before(logged.where("code = 4").select("session", F.col("event_id").alias("stim"), F.col("s").alias("order_key")), behaviour, ["session"], "order_key", "trial_id", "s", 64).where("trial_id IS NOT NULL")
+    base = numbered.where("code = 8").select("session", F.col("s").cast("double").alias("t"))
+    pulses = base.withColumn("stream", F.lit("nidq")).unionByName(base.select("session", (F.col("t") * 1.0001 + 0.5).alias("t"), F.lit("imec0").alias("stream")))
+    names = behaviour.select("session").distinct().withColumn("dataset_name", F.concat(F.lit("set-"), F.col("session") % 4))
+    out = runs.stimulus_table(trials.code_changes(coded, range(5)), behaviour.select("session", "trial_id"), given, curations._signal(spark, sf_dir), clocks.clock_fits(pulses, "nidq", 1e12, 5.0), names, RUN)
+    back = spark.read.parquet(_written(out, "run_events"))
+    probe = F.get_json_object("onset_by_probe", "$.imec0").cast("double")
+    return back.select("session", "trial_id", "trial", F.col("j").cast("long").alias("j"), F.round("onset_s", 6).alias("onset_s"), F.round("latency_ms", 6).alias("latency_ms"), F.col("flag").cast("long").alias("flag"), "dataset_name", F.round(probe, 4).alias("imec0_s"))
+
+
+QUERIES = {q.__name__: q for q in (rewrite_list, audit_fields, agreement_quartiles, matched_subset, overridden_bounds, first_occurrences, probe_times, run_events)}
 
 _KEYS = "units, trials"
 _TAGGED = """{n} AS (SELECT u.units, t.trials, stim, unit, value FROM (SELECT *, CASE WHEN trial % 7 > 0 THEN trial % 5 > 0 END AS valid FROM long WHERE trial % 2 = {i}) l,
@@ -105,6 +126,21 @@ SQL = {
       FROM (SELECT unnest(['u' || unit_id % 3, 'ALL']) AS unittype, f1 FROM ag) GROUP BY unittype""",
     # unit u of the even run is paired with the odd run's unit u under its other name; full matrices do not depend on names
     "matched_subset": f"WITH {pops._ROWS}, {_TAGGED.format(n='e', i=0, paired='unit % 3 = 0')}, {_TAGGED.format(n='o', i=1, paired='unit % 3 = 0')}, {pops._rsm_sql('e', _KEYS)}, {pops._rsm_sql('o', _KEYS)}, {pops._CMP('r_e', 'r_o', 'units, trials, ')} SELECT units, trials, count(*) AS n, round(corr(ra, rb), 6) AS pearson, round(corr(ka, kb), 6) AS spearman FROM ranks GROUP BY ALL",
+    "run_events": f"""WITH ev AS (SELECT user_id AS session, event_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS s FROM events),
+      bt AS (SELECT session, event_id AS trial_id, s, row_number() OVER (PARTITION BY session ORDER BY event_id) AS k, count(*) OVER (PARTITION BY session) AS n FROM ev WHERE event_type = 'signup' AND event_id % 10 <> 0),
+      ct AS (SELECT session, 2 * s AS t, row_number() OVER (PARTITION BY session ORDER BY s) AS k, count(*) OVER (PARTITION BY session) AS m FROM ev WHERE event_type = 'signup' AND s > 0),
+      pl AS (SELECT bt.session, trial_id, t FROM bt JOIN ct ON bt.session = ct.session AND bt.k = ct.k WHERE abs(n - m) <= 1),
+      gi AS (SELECT c.session, b.trial_id, c.event_id AS stim, c.s AS g FROM (SELECT * FROM ev WHERE event_type = 'click' AND event_id % 10 <> 0) c ASOF JOIN bt b ON c.session = b.session AND c.s >= b.s),
+      ed AS (SELECT c.session, p.trial_id, c.t FROM (SELECT session, 2 * s AS t FROM ev WHERE event_type = 'click' AND s > 0) c ASOF JOIN pl p ON c.session = p.session AND c.t >= p.t),
+      gn AS (SELECT *, row_number() OVER (PARTITION BY session, trial_id ORDER BY g) AS j, count(*) OVER (PARTITION BY session, trial_id) AS ng FROM gi),
+      en AS (SELECT *, row_number() OVER (PARTITION BY session, trial_id ORDER BY t) AS j, count(*) OVER (PARTITION BY session, trial_id) AS ne FROM ed), es AS (SELECT DISTINCT session, trial_id, ne FROM en),
+      ma AS (SELECT gn.session, gn.trial_id AS trial, stim AS trial_id, gn.j, CASE WHEN abs(ng - coalesce(es.ne, 0)) <= 1 THEN en.t END AS t FROM gn LEFT JOIN en USING (session, trial_id, j) LEFT JOIN es ON es.session = gn.session AND es.trial_id = gn.trial_id),
+      {curations._SIG[: curations._SIG.index("ons AS")]} ons AS (SELECT ma.session, dead, n, trial_id, t // 2 AS centre FROM ma JOIN sizes ON sizes.session = ma.session), {curations._SIG[curations._SIG.index("win AS"):]},
+      fl AS (SELECT o.session, o.trial_id, CASE WHEN centre IS NULL OR centre - 5 < 0 OR centre + 10 > n THEN 2 WHEN first IS NULL THEN 3 WHEN early THEN 1 ELSE 0 END AS flag, first FROM ons o LEFT JOIN hit USING (session, trial_id)),
+      la AS (SELECT *, CASE WHEN flag = 0 THEN first * 1000.0 - 5.0 END AS latency FROM fl), vi AS (SELECT session FROM ev WHERE event_type = 'view' GROUP BY session HAVING count(*) > 1)
+      SELECT ma.session, ma.trial_id, trial, j, round(t / 2.0 + coalesce(latency, 0) / 1000, 6) AS onset_s, round(latency, 6) AS latency_ms, CAST(flag AS BIGINT) AS flag, 'set-' || (ma.session % 4) AS dataset_name,
+        CASE WHEN vi.session IS NOT NULL THEN round((t / 2.0 + coalesce(latency, 0) / 1000) * 1.0001 + 0.5, 4) END AS imec0_s
+      FROM ma JOIN la USING (session, trial_id) LEFT JOIN vi ON vi.session = ma.session""",
     "overridden_bounds": """WITH d AS (SELECT CASE WHEN s_suppkey % 2 = 0 THEN 'mua' ELSE 'noise' END AS layer, 'm' || s_nationkey AS metric, CASE WHEN s_suppkey % 3 = 0 THEN 'less' ELSE 'greater' END AS op, max(s_acctbal) AS bound FROM supplier GROUP BY ALL),
       o AS (SELECT 'mua' AS layer, 'm' || n_nationkey AS metric, CASE WHEN n_nationkey % 2 = 0 THEN 'less' ELSE 'greater' END AS op, CASE WHEN n_nationkey % 3 > 0 THEN CAST(n_nationkey AS DOUBLE) END AS bound FROM nation)
       SELECT layer, metric, op, bound FROM o WHERE bound IS NOT NULL UNION ALL SELECT layer, metric, op, bound FROM d WHERE NOT EXISTS (FROM o WHERE o.layer = d.layer AND o.metric = d.metric AND o.op = d.op)""",
