@@ -12,6 +12,7 @@ from ..operators import sessions as s
 from ..operators import signal
 from ..sources import recordings as r
 from ..sources import sinks
+from ..sources.commits import hadoop_files
 from . import alignment
 from . import fixtures as f
 from .sessions import _units, _written, shared_path
@@ -43,6 +44,52 @@ def _headers(lines: DataFrame) -> str:
     return path
 
 
+def _recording(lines: DataFrame) -> str:
+    """Files <folder>/<name> of the rows (folder, name, value), a line each, in a new folder."""
+    spark = lines.sparkSession
+    made, root = shared_path(spark, "lines"), shared_path(spark, "recording")
+    lines.repartition("folder", "name").sortWithinPartitions("folder", "name", "at").drop("at").write.partitionBy("folder", "name").text(made)
+    parts = r.files(spark, made, "part-*").select("path", F.regexp_extract("path", "folder=([^/]*)/name=([^/]*)/", 1).alias("folder"), F.regexp_extract("path", "folder=([^/]*)/name=([^/]*)/", 2).alias("name")).collect()
+    fs, path = hadoop_files(spark, root)
+    for part in parts:  # one for each file of a recording
+        fs.mkdirs(path(f"{root}/{part.folder}"))
+        fs.rename(path(part.path), path(f"{root}/{part.folder}/{part.name}"))
+    return root
+
+
+def recording_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-1, SRC-2, QC-1: nations as probes, some without samples or header, some whose header gives another size; regions as digital streams."""
+    k = F.col("n_nationkey")
+    nations, regions = f.table(spark, sf_dir, "nation"), f.table(spark, sf_dir, "region")
+    at = F.posexplode("lines").alias("at", "value")
+    folder, stem = F.concat(F.lit("run_imec"), k), F.concat(F.lit("run_t0.imec"), k)
+    bins = nations.where(k % 4 > 0).select(folder.alias("folder"), F.concat(stem, F.lit(".ap.bin")).alias("name"), F.array(F.rpad(F.lit("x"), F.lit(10) + k.cast("int"), F.lit("x"))).alias("lines"))
+    size = F.lit(11) + k + F.when(k % 3 == 0, 1).otherwise(0)
+    head = F.array(F.lit("# head"), F.when(k % 7 > 0, "imSampRate=30000").otherwise("none"), F.concat(F.lit("fileSizeBytes="), size))
+    metas = nations.where(k % 5 > 0).select(folder.alias("folder"), F.concat(stem, F.lit(".ap.meta")).alias("name"), head.alias("lines"))
+    kinds = F.when(F.col("r_regionkey") % 3 == 0, F.array(F.lit("bin"))).when(F.col("r_regionkey") % 3 == 1, F.array(F.lit("meta"))).otherwise(F.array(F.lit("bin"), F.lit("meta")))
+    nidq = regions.select(F.lit("digital").alias("folder"), F.explode(kinds).alias("kind"), F.col("r_regionkey")).select("folder", F.concat(F.lit("r"), "r_regionkey", F.lit(".nidq."), "kind").alias("name"), F.array(F.lit("x")).alias("lines"))
+    root = _recording(bins.unionByName(metas).unionByName(nidq).select("folder", "name", at))
+    heads = r.wide(r.headers(spark, f"{root}/*/*.ap.meta"), ["imSampRate", "fileSizeBytes"]).withColumn("probe", F.regexp_extract("path", r"_imec(\d+)", 1).cast("int")).drop("path")
+    probes = r.checks(r.catalog(spark, root).join(heads, "probe", "left")).select(F.col("probe").cast("string").alias("name"), F.col("check").alias("test"), "status")
+    streams = r.pairs_of(r.files(spark, root, "*.nidq.*")).select(F.regexp_extract("stem", "([^/]*)[.]nidq$", 1).alias("name"), F.lit("pair").alias("test"), "status")
+    return probes.unionByName(streams)
+
+
+def sample_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-6, SRC-7, SIG-10: nations' names as the bytes of a recording of two channels, of which one is read from 30 s to 171.3 s."""
+    names = f.table(spark, sf_dir, "nation").select(F.lit("run_imec0").alias("folder"), F.lit("run.ap.bin").alias("name"), F.col("n_nationkey").alias("at"), F.rpad(F.lit(""), 399, F.col("n_name")).alias("value"))
+    root = _recording(names)
+    found = r.sample_slice(spark, f"{root}/run_imec0/run.ap.bin", 2, 10.0, 30.0, 171.3, [1], chunk="128", chunks="4")
+    return found.select("start_sample", F.posexplode("data").alias("i", "v")).select((F.col("start_sample") + F.col("i")).alias("sample"), F.col("v").cast("int").alias("v"))
+
+
+def gated_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-14: the sessions that pass the gate of the mode that needs units and trials."""
+    found = dataset_summary(spark, sf_dir)
+    return r.require_mode(found.where("can_score"), "trials").select("session", "n_units", "n_trials")
+
+
 def manifest_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-16, JN-5: nations' names as a tab-separated manifest, looked up by customers."""
     names = f.table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("FileName")).coalesce(1).sortWithinPartitions("n_nationkey")
@@ -163,7 +210,7 @@ def rate_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole.groupBy(F.col("user_id").alias("unit_id")).agg(F.round(safe_corr(F.col("a"), F.col("b")), 6).alias("r"))
 
 
-QUERIES = {q.__name__: q for q in (recording_headers, manifest_names, resolved_names, spike_samples, dataset_summary, unit_update_file, vector_texts, written_trials, written_units, written_eye, sync_reports, versioned_updates, moved_spikes, band_passed, rate_agreement)}
+QUERIES = {q.__name__: q for q in (recording_headers, recording_catalog, sample_slice, gated_sessions, manifest_names, resolved_names, spike_samples, dataset_summary, unit_update_file, vector_texts, written_trials, written_units, written_eye, sync_reports, versioned_updates, moved_spikes, band_passed, rate_agreement)}
 
 _BRAND = "replace(p_brand, '#', '') || '.tsv'"
 #: The kernel as SQL text; it is a list of parameters.
@@ -178,6 +225,14 @@ SQL = {
       v AS (SELECT file, count(*) AS n, min(path) AS path FROM found WHERE path < '/v2' GROUP BY ALL)
       SELECT name, CASE WHEN f.path IS NOT NULL THEN f.path ELSE v.path END AS path, CASE WHEN trim(name) = '' THEN 'no_dataset_name' WHEN f.path IS NOT NULL THEN 'direct' WHEN v.n > 1 THEN 'vault:' || (CASE WHEN v.path < '/v1' THEN '/v0' ELSE '/v1/' END) || '(multi)' WHEN v.n = 1 THEN 'vault:' || (CASE WHEN v.path < '/v1' THEN '/v0' ELSE '/v1/' END) ELSE 'vault_miss' END AS source
       FROM wanted w LEFT JOIN found f ON f.path = w.name LEFT JOIN v ON v.file = w.file""",
+    "recording_catalog": """WITH p AS (SELECT n_nationkey AS k, n_nationkey % 4 > 0 AS b, n_nationkey % 5 > 0 AS m FROM nation)
+      SELECT CAST(k AS VARCHAR) AS name, c.test AS test, CASE WHEN CASE c.test WHEN 'bin_present' THEN b WHEN 'meta_present' THEN m WHEN 'size_matches' THEN b AND m AND k % 3 > 0 ELSE m AND k % 7 > 0 END THEN 'pass' ELSE 'fail' END AS status
+      FROM p, (VALUES ('bin_present'), ('meta_present'), ('size_matches'), ('rate_present')) c(test) WHERE b OR m
+      UNION ALL SELECT 'r' || r_regionkey, 'pair', CASE r_regionkey % 3 WHEN 0 THEN 'meta_missing' WHEN 1 THEN 'bin_missing' ELSE 'ok' END FROM region""",
+    "sample_slice": """WITH t AS (SELECT string_agg(rpad('', 399, n_name) || chr(10), '' ORDER BY n_nationkey) AS t FROM nation)
+      SELECT s AS sample, CAST(ascii(substr(t, 4 * s + 3, 1)) + 256 * ascii(substr(t, 4 * s + 4, 1)) AS INT) AS v FROM t, (SELECT unnest(range(300, 1713)) AS s)""",
+    "gated_sessions": """SELECT session, n_units, n_trials FROM (SELECT c_nationkey AS session, count(*) AS n_units FROM customer WHERE c_nationkey % 5 > 0 GROUP BY ALL)
+      JOIN (SELECT c_nationkey AS session, count(*) AS n_trials FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_nationkey % 4 > 0 GROUP BY ALL) USING (session)""",
     "spike_samples": "WITH u AS (SELECT c_mktsegment AS probe_id, c_custkey AS unit_id, unnest(range(1, c_custkey % 7 + 2)) AS t FROM customer WHERE c_acctbal > 0 AND c_custkey % 9 > 0) SELECT probe_id, unit_id, count(*) AS n, CAST(sum(round_even(t * length(probe_id) * 1000.5, 0)) AS BIGINT) AS sum_sample FROM u GROUP BY ALL",
     "dataset_summary": """WITH u AS (SELECT c_nationkey AS session, count(*) AS n, string_agg(DISTINCT c_mktsegment, '+' ORDER BY c_mktsegment) AS probes FROM customer WHERE c_nationkey % 5 > 0 GROUP BY ALL), t AS (SELECT c_nationkey AS session, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_nationkey % 4 > 0 GROUP BY ALL)
       SELECT session, coalesce(u.n, 0) AS n_units, coalesce(probes, '') AS probes, coalesce(t.n, 0) AS n_trials, coalesce(u.n, 0) > 0 AND coalesce(t.n, 0) > 0 AS can_score FROM u FULL JOIN t USING (session)""",

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 VERSION = re.compile(r"version=v(\d+)")
 
 
-def _files(spark: SparkSession, root: str):
+def hadoop_files(spark: SparkSession, root: str):
     """The cluster's file system of a folder, and how to make its paths."""
     path = spark._jvm.org.apache.hadoop.fs.Path
     return path(root).getFileSystem(spark._jsc.hadoopConfiguration()), path
@@ -18,7 +18,7 @@ def _files(spark: SparkSession, root: str):
 
 def versions(spark: SparkSession, root: str) -> list[int]:
     """The numbers of the committed versions; none for a folder that is not there."""
-    fs, path = _files(spark, root)
+    fs, path = hadoop_files(spark, root)
     if not fs.exists(path(root)):
         return []
     names = [s.getPath().getName() for s in fs.listStatus(path(root)) if s.isDirectory()]
@@ -34,7 +34,7 @@ def commit_version(df: DataFrame, root: str, form: str = "parquet", **options: s
     no folder; a claim whose writer died before the rename leaves a gap in the numbers.
     """
     spark, root = df.sparkSession, root.rstrip("/")
-    fs, path = _files(spark, root)
+    fs, path = hadoop_files(spark, root)
     staging = f"{root}/_staging-{uuid.uuid4().hex}"
     try:
         df.write.format(form).options(**options).save(staging)
