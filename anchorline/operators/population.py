@@ -112,26 +112,39 @@ def rsm_reliability(rows: DataFrame, seeds: Sequence[int]) -> DataFrame:
     return compared(a, b, ("seed",))
 
 
-def ablation(rows: DataFrame, other: DataFrame, seeds: Sequence[int], fractions: Sequence[float], unit_counts: Sequence[int]) -> DataFrame:
-    """Mean and deviation over seeds of the match of two runs' matrices, for shares of trials and numbers of units.
+def drawn(run: DataFrame, seeds: Sequence[int], fractions: Sequence[float], unit_counts: Sequence[int]) -> DataFrame:
+    """(seed, fraction, units, stim, trial, unit, value): a share of a stimulus's trials and a number of units, in the order of a hash.
 
-    Trials are drawn per stimulus and units overall, both in the order of a hash,
-    so each larger sample holds the smaller; at least two trials stay.
+    Each larger sample holds the smaller; at least two trials stay.
     """
+    grid = F.explode(F.array(*(F.struct(F.lit(s).alias("seed"), F.lit(f).alias("fraction"), F.lit(u).alias("units")) for s in seeds for f in fractions for u in unit_counts)))
+    trials = run.select("stim", "trial").distinct().withColumn("seed", F.explode(F.array(*(F.lit(s) for s in seeds))))
+    of = Window.partitionBy("seed", "stim")
+    trials = trials.withColumn("_t", F.row_number().over(of.orderBy(hash_order(F.col("seed"), "trial"), "trial"))).withColumn("_n", F.count(F.lit(1)).over(of))
+    units = run.select("unit").distinct().withColumn("seed", F.explode(F.array(*(F.lit(s) for s in seeds))))
+    units = units.withColumn("_u", F.row_number().over(Window.partitionBy("seed").orderBy(hash_order(F.col("seed"), "unit"), "unit")))
+    cells = run.join(trials, ["stim", "trial"]).join(units, ["seed", "unit"]).withColumnRenamed("seed", "_seed").withColumn("g", grid)
+    kept = cells.where((F.col("g.seed") == F.col("_seed")) & (F.col("_u") <= F.col("g.units")) & (F.col("_t") <= F.greatest(F.lit(2), F.ceil(F.col("g.fraction") * F.col("_n")))))
+    return kept.select("g.*", "stim", "trial", "unit", "value")
+
+
+def ablation(rows: DataFrame, other: DataFrame, seeds: Sequence[int], fractions: Sequence[float], unit_counts: Sequence[int]) -> DataFrame:
+    """Mean and deviation over seeds of the match of two runs' matrices, for shares of trials and numbers of units."""
     keys = ("seed", "fraction", "units")
+    a, b = (drawn(run, seeds, fractions, unit_counts) for run in (rows, other))
+    match = compared(rsm(means(a, keys), keys), rsm(means(b, keys), keys), keys)
+    return match.groupBy("fraction", "units").agg(F.avg("pearson").alias("mean"), F.stddev_samp("pearson").alias("sd"), F.count("pearson").alias("n"))
+
 
-    def drawn(run: DataFrame) -> DataFrame:
-        grid = F.explode(F.array(*(F.struct(F.lit(s).alias("seed"), F.lit(f).alias("fraction"), F.lit(u).alias("units")) for s in seeds for f in fractions for u in unit_counts)))
-        trials = run.select("stim", "trial").distinct().withColumn("seed", F.explode(F.array(*(F.lit(s) for s in seeds))))
-        of = Window.partitionBy("seed", "stim")
-        trials = trials.withColumn("_t", F.row_number().over(of.orderBy(hash_order(F.col("seed"), "trial"), "trial"))).withColumn("_n", F.count(F.lit(1)).over(of))
-        units = run.select("unit").distinct().withColumn("seed", F.explode(F.array(*(F.lit(s) for s in seeds))))
-        units = units.withColumn("_u", F.row_number().over(Window.partitionBy("seed").orderBy(hash_order(F.col("seed"), "unit"), "unit")))
-        cells = run.join(trials, ["stim", "trial"]).join(units, ["seed", "unit"]).withColumnRenamed("seed", "_seed").withColumn("g", grid)
-        kept = cells.where((F.col("g.seed") == F.col("_seed")) & (F.col("_u") <= F.col("g.units")) & (F.col("_t") <= F.greatest(F.lit(2), F.ceil(F.col("g.fraction") * F.col("_n")))))
-        return kept.select("g.*", "stim", "unit", "value")
-
-    match = compared(rsm(means(drawn(rows), keys), keys), rsm(means(drawn(other), keys), keys), keys)
+def split_ablation(rows: DataFrame, seeds: Sequence[int], fractions: Sequence[float], unit_counts: Sequence[int]) -> DataFrame:
+    """As ``ablation`` for the two halves of one run's drawn trials, every other one in the order of a hash: what a run can match itself by."""
+    keys = ("seed", "fraction", "units")
+    order = Window.partitionBy(*keys, "stim").orderBy(hash_order(F.col("seed"), "trial"), "trial")
+    # a trial has a row for each unit
+    placed = drawn(rows, seeds, fractions, unit_counts).withColumn("half", F.when(F.dense_rank().over(order) % 2 == 1, "a").otherwise("b"))
+    both = rsm(means(placed, (*keys, "half")), (*keys, "half"))
+    a, b = (both.where(F.col("half") == h).drop("half") for h in "ab")
+    match = compared(a, b, keys)
     return match.groupBy("fraction", "units").agg(F.avg("pearson").alias("mean"), F.stddev_samp("pearson").alias("sd"), F.count("pearson").alias("n"))
 
 

@@ -19,9 +19,24 @@ def analog(trials: DataFrame, channel: str, wanted: DataFrame | None = None, key
     return held.where(samples.isNotNull() & (F.size(samples) > 0)).select(*keys, F.posexplode(samples).alias("i", "value"))
 
 
-def code_times(trials: DataFrame, codes: Sequence[int | str], keys: Sequence[str] = ("session", "trial_id")) -> DataFrame:
-    """(keys, time) of the nested ``events`` (code, time) of trials that have one of the codes."""
-    return trials.select(*keys, F.explode("events").alias("e")).where(F.col("e.code").isin(list(codes))).select(*keys, F.col("e.time").alias("time"))
+def code_times(trials: DataFrame, codes: Sequence[int | str], keys: Sequence[str] = ("session", "trial_id"), wanted: DataFrame | None = None) -> DataFrame:
+    """(keys, time) of the nested ``events`` (code, time) of trials that have one of the codes; ``wanted`` limits the trials."""
+    held = trials if wanted is None else trials.join(wanted.select(*keys).distinct(), list(keys), "left_semi")
+    return held.select(*keys, F.explode("events").alias("e")).where(F.col("e.code").isin(list(codes))).select(*keys, F.col("e.time").alias("time"))
+
+
+def session_report(trials: DataFrame, units: DataFrame, eye: DataFrame, suspicious: float) -> DataFrame:
+    """Per session: trials, units, mean score, units without a score, units with a score below ``suspicious``, and the sampling interval of the first trial that has one.
+
+    trials: (session, trial_id); units: (session, unit_id, score); eye: (session,
+    trial_id, interval_ms).  A session that only one table knows has a row.
+    """
+    t = trials.groupBy("session").agg(F.count("*").alias("n_trials"))
+    u = units.groupBy("session").agg(F.count("*").alias("n_units"), F.avg("score").alias("mean_score"), F.count_if(F.col("score").isNull()).alias("n_null"), F.count_if(F.col("score") < suspicious).alias("n_suspicious"))
+    e = eye.where("interval_ms IS NOT NULL").groupBy("session").agg(F.min_by("interval_ms", "trial_id").alias("interval_ms"))
+    both = t.join(u, "session", "full_outer").join(e, "session", "left")
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return both.select("session", zero("n_trials"), zero("n_units"), "mean_score", zero("n_null"), zero("n_suspicious"), "interval_ms")
 
 
 def behavior_events(trials: DataFrame, onsets: DataFrame, fits: DataFrame, names: DataFrame) -> DataFrame:

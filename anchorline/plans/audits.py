@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from ..operators import audit, clocks, joins, runs, trials
 from ..operators import pairing as p
+from ..operators import population as pop
+from ..operators import sessions as s
+from ..sources import sinks
 from . import alignment, curations
 from . import fixtures as f
 from . import populations as pops
-from .sessions import _written
+from .sessions import _trials, _written
 
 
 def rewrite_list(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,7 +106,48 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("session", "trial_id", "trial", F.col("j").cast("long").alias("j"), F.round("onset_s", 6).alias("onset_s"), F.round("latency_ms", 6).alias("latency_ms"), F.col("flag").cast("long").alias("flag"), "dataset_name", F.round(probe, 4).alias("imec0_s"))
 
 
-QUERIES = {q.__name__: q for q in (rewrite_list, audit_fields, agreement_quartiles, matched_subset, overridden_bounds, first_occurrences, probe_times, run_events)}
+def split_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AG-41: halves of the even vectors."""
+    found = pop.split_ablation(pops._rows(spark, sf_dir).where("trial % 2 = 0"), pops.SEEDS, pops.FRACTIONS, pops.UNITS)
+    return found.withColumns({c: F.round(c, 6) for c in ("mean", "sd")})
+
+
+def chosen_code_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-1: the assistant's turns of the conversations in a list."""
+    nested = _trials(spark, sf_dir)
+    return s.code_times(nested, ["assistant"], ("trial_id",), nested.where("trial_id % 3 = 0")).select("trial_id", F.col("time").cast("long").alias("time"))
+
+
+def session_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AG-45, AG-48: nations as sessions, customers as units scored by their balance, orders as trials."""
+    customers = f.table(spark, sf_dir, "customer")
+    score = F.when(F.col("c_custkey") % 5 > 0, F.col("c_acctbal") / 10000)
+    units = customers.where("c_nationkey % 6 > 0").select(F.col("c_nationkey").alias("session"), F.col("c_custkey").alias("unit_id"), score.alias("score"))
+    orders = f.table(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey")).where("c_nationkey % 5 > 0").select(F.col("c_nationkey").alias("session"), F.col("o_orderkey").alias("trial_id"))
+    eye = orders.withColumn("interval_ms", F.when(F.col("trial_id") % 3 > 0, (F.col("trial_id") % 10).cast("double")))
+    return s.session_report(orders, units, eye, 0.1).withColumn("mean_score", F.round("mean_score", 8))
+
+
+def merged_units_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SK-7, SK-5: units with what they were merged from, of the probes that are written."""
+    spikes, keys = f.spikes(spark, sf_dir), ["session", "probe", "unit_id"]
+    metrics = spikes.groupBy(*keys).agg(F.count("*").alias("n"))
+    merged = metrics.where("unit_id % 4 = 0").select(*keys, F.array("unit_id", F.col("unit_id") + 1).alias("merged_from"))
+    trials = f.onsets(spark, sf_dir).select("session", ((F.col("session") != "s1") & F.col("valid")).alias("valid"))
+    shown = metrics.withColumn("unit_id", F.when(~((F.col("session") == "s2") & (F.col("probe") == "imec1")), F.col("unit_id")))
+    status = sinks.writable(shown, trials)
+    table = sinks.units_table(spikes, metrics, keys, merged).join(status, ["session", "probe"])
+    back = spark.read.parquet(_written(table, "units"))
+    return back.select(*keys, "n", F.array_join("merged_from", ",").alias("merged_from"), F.size("spike_times_us").cast("long").alias("n_times"), "status")
+
+
+def probe_fits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SK-1: a row for each probe."""
+    back = spark.read.parquet(_written(sinks.probe_fits(alignment._fits(spark, sf_dir)), "fits"))
+    return back.select("session", "probe", F.round("residual_ms", 3).alias("residual_ms"), "n_repaired", "status", "usable")
+
+
+QUERIES = {q.__name__: q for q in (rewrite_list, audit_fields, agreement_quartiles, matched_subset, overridden_bounds, first_occurrences, probe_times, run_events, split_ablation, chosen_code_times, session_report, merged_units_table, probe_fits)}
 
 _KEYS = "units, trials"
 _TAGGED = """{n} AS (SELECT u.units, t.trials, stim, unit, value FROM (SELECT *, CASE WHEN trial % 7 > 0 THEN trial % 5 > 0 END AS valid FROM long WHERE trial % 2 = {i}) l,
@@ -141,6 +185,17 @@ SQL = {
       SELECT ma.session, ma.trial_id, trial, j, round(t / 2.0 + coalesce(latency, 0) / 1000, 6) AS onset_s, round(latency, 6) AS latency_ms, CAST(flag AS BIGINT) AS flag, 'set-' || (ma.session % 4) AS dataset_name,
         CASE WHEN vi.session IS NOT NULL THEN round((t / 2.0 + coalesce(latency, 0) / 1000) * 1.0001 + 0.5, 4) END AS imec0_s
       FROM ma JOIN la USING (session, trial_id) LEFT JOIN vi ON vi.session = ma.session""",
+    "split_ablation": pops.SQL["ablation"].split("e AS (SELECT * EXCLUDE")[0].replace("l.stim, l.unit, value FROM", "l.stim, l.trial, l.unit, value FROM") + f"""hf AS (SELECT * EXCLUDE (run, trial), dense_rank() OVER (PARTITION BY seed, fraction, units, stim ORDER BY md5(seed || ':' || trial), trial) % 2 AS h FROM kept WHERE run = 0),
+      e AS (SELECT * EXCLUDE (h) FROM hf WHERE h = 1), o AS (SELECT * EXCLUDE (h) FROM hf WHERE h = 0), {pops._rsm_sql('e', 'seed, fraction, units')}, {pops._rsm_sql('o', 'seed, fraction, units')},
+      m AS (SELECT seed, fraction, units, corr(a.r, b.r) AS x FROM r_e a JOIN r_o b USING (seed, fraction, units, stim_a, stim_b) GROUP BY ALL) SELECT fraction, units, round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS sd, count(x) AS n FROM m GROUP BY ALL""",
+    "chosen_code_times": "SELECT conv_id AS trial_id, turn AS time FROM conversations WHERE role = 'assistant' AND conv_id % 3 = 0",
+    "session_report": """WITH u AS (SELECT c_nationkey AS session, count(*) AS n_units, avg(CASE WHEN c_custkey % 5 > 0 THEN c_acctbal / 10000 END) AS mean_score, count(*) FILTER (c_custkey % 5 = 0) AS n_null, count(*) FILTER (c_custkey % 5 > 0 AND c_acctbal / 10000 < 0.1) AS n_suspicious FROM customer WHERE c_nationkey % 6 > 0 GROUP BY ALL),
+      o AS (SELECT c_nationkey AS session, o_orderkey AS k FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_nationkey % 5 > 0), t AS (SELECT session, count(*) AS n_trials FROM o GROUP BY ALL), e AS (SELECT session, CAST(min(k) FILTER (k % 3 > 0) % 10 AS DOUBLE) AS interval_ms FROM o GROUP BY ALL)
+      SELECT coalesce(t.session, u.session) AS session, coalesce(n_trials, 0) AS n_trials, coalesce(n_units, 0) AS n_units, round(mean_score, 8) AS mean_score, coalesce(n_null, 0) AS n_null, coalesce(n_suspicious, 0) AS n_suspicious, interval_ms FROM t FULL JOIN u ON t.session = u.session LEFT JOIN e ON e.session = coalesce(t.session, u.session)""",
+    "merged_units_table": f"""WITH {f.SPIKES_SQL}, {f.ONSETS_SQL}, t AS (SELECT session, count(*) FILTER (session <> 's1' AND valid) AS n FROM onsets GROUP BY ALL)
+      SELECT s.session, probe, unit_id, count(*) AS n, CASE WHEN unit_id % 4 = 0 THEN unit_id || ',' || (unit_id + 1) ELSE '' END AS merged_from, count(*) AS n_times,
+        CASE WHEN s.session = 's2' AND probe = 'imec1' THEN 'skip_no_units' WHEN coalesce(any_value(t.n), 0) = 0 THEN 'skip_no_trials' ELSE 'write' END AS status FROM spikes s LEFT JOIN t ON t.session = s.session GROUP BY s.session, probe, unit_id""",
+    "probe_fits": "SELECT session, stream AS probe, residual_ms, n_repaired, status, status = 'ok' AND a IS NOT NULL AS usable FROM (" + alignment.SQL["clock_fit"] + ")",
     "overridden_bounds": """WITH d AS (SELECT CASE WHEN s_suppkey % 2 = 0 THEN 'mua' ELSE 'noise' END AS layer, 'm' || s_nationkey AS metric, CASE WHEN s_suppkey % 3 = 0 THEN 'less' ELSE 'greater' END AS op, max(s_acctbal) AS bound FROM supplier GROUP BY ALL),
       o AS (SELECT 'mua' AS layer, 'm' || n_nationkey AS metric, CASE WHEN n_nationkey % 2 = 0 THEN 'less' ELSE 'greater' END AS op, CASE WHEN n_nationkey % 3 > 0 THEN CAST(n_nationkey AS DOUBLE) END AS bound FROM nation)
       SELECT layer, metric, op, bound FROM o WHERE bound IS NOT NULL UNION ALL SELECT layer, metric, op, bound FROM d WHERE NOT EXISTS (FROM o WHERE o.layer = d.layer AND o.metric = d.metric AND o.op = d.op)""",

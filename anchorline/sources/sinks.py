@@ -24,10 +24,30 @@ def trials_table(events: DataFrame, onsets: DataFrame, probes: Sequence[str], re
     return joined.select("*", start.alias("start_time"), (start + F.coalesce("duration_ms", F.lit(default_ms)) / 1000).alias("stop_time")).withColumn("trial_valid", F.coalesce("trial_valid", F.lit(True)))
 
 
-def units_table(spikes: DataFrame, metrics: DataFrame, keys: Sequence[str] = ("session", "probe", "unit_id")) -> DataFrame:
-    """Units with their metrics and their spike times as one sorted array."""
+def units_table(spikes: DataFrame, metrics: DataFrame, keys: Sequence[str] = ("session", "probe", "unit_id"), merged: DataFrame | None = None) -> DataFrame:
+    """Units with their metrics, their spike times as one sorted array, and, by ``merged`` (keys, merged_from), the units they were made of, none for most."""
     trains = spikes.groupBy(*keys).agg(F.array_sort(F.collect_list("t_us")).alias("spike_times_us"))
-    return metrics.join(trains, list(keys), "left").withColumn("spike_times_us", F.coalesce("spike_times_us", F.array().cast("array<long>")))
+    out = metrics.join(trains, list(keys), "left").withColumn("spike_times_us", F.coalesce("spike_times_us", F.array().cast("array<long>")))
+    if merged is None:
+        return out
+    return out.join(merged.select(*keys, "merged_from"), list(keys), "left").withColumn("merged_from", F.coalesce("merged_from", F.array().cast("array<long>")))
+
+
+def probe_fits(fits: DataFrame) -> DataFrame:
+    """One row for each probe of a session, without the reference: slope, intercept, residual, repaired pulses and whether the fit is to be used."""
+    usable = (F.col("status") == "ok") & F.col("a").isNotNull()
+    return fits.select("session", F.col("stream").alias("probe"), "a", "b", "residual_ms", "n_repaired", "status", usable.alias("usable"))
+
+
+def writable(units: DataFrame, trials: DataFrame, keys: Sequence[str] = ("session", "probe")) -> DataFrame:
+    """(keys, status): what is exported: ``skip_no_units``, ``skip_no_trials`` for a session without a valid trial, else ``write``.
+
+    units: (keys, unit_id), null ids for probes without units; trials: (session, valid).
+    """
+    n = units.groupBy(*keys).agg(F.count("unit_id").alias("_units"))
+    t = trials.groupBy("session").agg(F.count_if(F.coalesce("valid", F.lit(False))).alias("_trials"))
+    status = F.when(F.col("_units") == 0, "skip_no_units").when(F.coalesce("_trials", F.lit(0)) == 0, "skip_no_trials").otherwise("write")
+    return n.join(t, "session", "left").select(*keys, status.alias("status"))
 
 
 def padded(values, width: int):
