@@ -62,8 +62,11 @@ def new_ids(units: DataFrame, probe: str, unit: str) -> DataFrame:
 
 def moved_in_time(spikes: DataFrame, offset_s: float, rate: float) -> DataFrame:
     """Spikes of a sliced run (column ``sample``) with their times in the whole recording; a run without spikes raises when it is read."""
-    some = spikes.agg(F.count("*").alias("_all")).select(F.assert_true(F.col("_all") > 0, "no units were found").alias("_some"))
-    return spikes.withColumn("t", F.col("sample") / rate + offset_s).join(F.broadcast(some)).drop("_some")
+    moved = spikes.withColumn("t", F.col("sample") / rate + offset_s)
+    # no row, or an error: a column that holds the test would be dropped unread
+    test = F.when(F.col("_all") > 0, False).otherwise(F.raise_error(F.lit("no units were found")).cast("boolean"))
+    nothing = spikes.agg(F.count("*").alias("_all")).where(test).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in moved.schema))
+    return moved.unionByName(nothing)
 
 
 def peak(template: Column) -> Column:

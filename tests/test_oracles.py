@@ -14,7 +14,7 @@ def con():
 
 
 #: Queries with a nested loop over one row, or with one task for rows of which there is one for each type, task or file.
-ONE_ROW = {"named_stims": "the manifest's greatest index", "moved_spikes": "the first id", "versioned_updates": "the version"}
+ONE_ROW = {"named_stims": "the manifest's greatest index", "versioned_updates": "the version"}
 FEW_ROWS = {"unit_type_shares": "a row for each type", "new_unit_ids": "a row for each task", "manifest_names": "a row for each task"}
 
 

@@ -1,8 +1,9 @@
 """Behaviour tables, several sessions, and the checks between stages: literal cases."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from anchorline.operators import clocks, raster, sessions
+from anchorline.operators import audit, clocks, projections, raster, sessions
 from anchorline.sources import recordings
 
 MS = 1000
@@ -93,3 +94,49 @@ def test_gates(spark):
     assert {r.session: r.reason for r in sessions.safe_to_delete(given, streams).collect()} == {"a": "", "b": "unverified", "c": "unreadable", "d": "no_files"}
     limits = spark.createDataFrame([("x", 0.5), ("y", 1.5), ("z", None), ("n", float("nan"))], "name string, value double")
     assert {r.name for r in sessions.out_of_range(limits).collect()} == {"y", "z", "n"}
+
+
+def test_a_sliced_run_without_spikes_raises(spark):
+    rows = spark.createDataFrame([(1, 30)], "unit_id long, sample long")
+    assert projections.moved_in_time(rows, 2.0, 10.0).first().t == 5.0
+    with pytest.raises(Exception, match="no units were found"):
+        projections.moved_in_time(rows.where("sample < 0"), 2.0, 10.0).collect()
+
+
+def test_a_manifest_without_names_has_no_index(spark):
+    onsets = spark.createDataFrame([(1, 1)], "trial_id long, stim_index long")
+    none = spark.createDataFrame([], "stim_index long, stim_name string")
+    with pytest.raises(Exception, match="out of range"):
+        sessions.named_stims(onsets, none).collect()
+    assert sessions.named_stims(onsets.withColumn("stim_index", F.lit(0).cast("long")), none).first().stim_name == ""
+
+
+def test_repeated_labels_give_one_unit(spark):
+    spikes = spark.createDataFrame([("s", "p", 1, 5)], "session string, probe string, unit_id long, t long")
+    labels = spark.createDataFrame([("s", "p", 1, "mua"), ("s", "p", 1, "good"), ("s", "p", 2, "mua")], "session string, probe string, unit_id long, label string")
+    assert sorted((r.unit_id, r.n_spikes, r.label, r.status) for r in sessions.imported_sorting(spikes, labels).collect()) == [(1, 1, "good", "pass"), (2, 0, "mua", "warn")]
+
+
+def test_missing_ranges(spark):
+    expected = spark.createDataFrame([("whole", 300), ("short", 300), ("holed", 300), ("missing", 70), ("late", 300), ("long", 100)], "stream string, n_samples long")
+    chunks = [("whole", 200, 100), ("whole", 0, 150), ("whole", 100, 100), ("short", 0, 120), ("holed", 0, 50), ("holed", 60, 20), ("holed", 70, 230), ("late", 500, 10), ("long", 0, 400), ("other", 0, 9), ("missing", 5, 0)]
+    got = sorted(tuple(r) for r in audit.missing_ranges(expected, spark.createDataFrame(chunks, "stream string, start long, n long")).collect())
+    assert got == [("holed", 50, 60, "hole"), ("late", 0, 300, "hole"), ("missing", 0, 70, "missing"), ("short", 120, 300, "short")]
+
+
+def test_audits_of_ragged_tables(spark):
+    one = spark.createDataFrame([("a", 1.5, None), ("b", 2.5, "x")], "session string, t double, note string")
+    two = spark.createDataFrame([("a", 7)], "session string, code long")
+    rows = audit.audit_rows({"stimulus": one, "event": two})
+    got = sorted(tuple(r) for r in rows.select("session", "kind", audit.audited("t", "double"), audit.audited("note", "string"), audit.audited("code", "long")).collect())
+    assert got == [("a", "event", None, None, 7), ("a", "stimulus", 1.5, None, None), ("b", "stimulus", 2.5, "x", None)]
+
+
+def test_probe_times_and_bounds(spark):
+    rows = spark.createDataFrame([('{"imec0": 1.5}',), ('{"imec1": 2}',), (None,)], "j string")
+    assert [r.t for r in audit.probe_times(rows, "j", "imec0").collect()] == [1.5, None, None]
+    with pytest.raises(Exception, match="no time of imec0"):
+        audit.probe_times(rows, "j", "imec0", "error").collect()
+    ddl = "layer string, metric string, op string, bound double"
+    merged = audit.merged_bounds(spark.createDataFrame([("mua", "snr", "greater", 5.0), ("mua", "snr", "less", 9.0), ("noise", "n", "less", 1.0)], ddl), spark.createDataFrame([("mua", "snr", "greater", 4.0), ("noise", "n", "less", None), ("mua", "drift", "less", 2.0)], ddl))
+    assert sorted(tuple(r) for r in merged.collect()) == [("mua", "drift", "less", 2.0), ("mua", "snr", "greater", 4.0), ("mua", "snr", "less", 9.0)]
