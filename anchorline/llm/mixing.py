@@ -14,7 +14,8 @@ source, which is rounded at random.  All draws come from hashes, so reruns agree
 
 Rows with the same id and source are one unit and get the same copies; rows without
 an id are told apart by a hash of their texts, so the rounding can split them.  Defined
-results: null text has no words and is never taken, a null source is a source of
+results: null text has no words and is never taken, a very long one is counted whole and is
+a unit like any other, a null source is a source of
 its own, last in order; an empty table gives no rows; other columns are not read
 but pass through ``mixed``.
 """

@@ -13,7 +13,8 @@ such lengths are further transitions, and the last window of a shard is cut at
 powers of two.
 
 Shards are ranges of ids; each is packed on its own, in bounded blocks.  Defined
-results: null text is empty and still has its end id; rows with the same id are
+results: null text is empty and still has its end id; a very long text is cut into as many
+pieces as it needs; rows with the same id are
 packed each for itself, ordered by their texts; an empty table gives no pieces;
 other columns are not read.
 """

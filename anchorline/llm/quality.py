@@ -10,7 +10,8 @@ hashed id falls under a share, about ``TRUSTED`` in all, so that their ids can b
 broadcast.  The raw side counts every document.  The table of weights has
 ``BUCKETS`` entries whatever the input.
 
-Defined results: null text has no words and fails the plain rules; repeated rows
+Defined results: null and empty texts have no words and fail the plain rules; a very long
+text is measured whole, its words in one row; repeated rows
 get equal results; without trusted labels every weight is zero; an empty table
 gives no rows; columns other than ``doc_id`` and ``text`` only pass through
 ``filtered``.

@@ -18,7 +18,8 @@ fingerprints of these shingles, and, as two texts at that similarity differ in a
 ten bits and most have no link within three, those that share a band of min-hashes.
 
 Defined results: null or blank text has fingerprint zero and links like any
-other; for ``survivors`` all null and blank texts are copies of each other; rows with the same id or text each get a row; an empty table gives an
+other; for ``survivors`` all null and blank texts are copies of each other; rows with the same id or text each get a row; a very long
+text is hashed whole, its fingerprint and bands as long as another's; an empty table gives an
 empty result; columns other than ``doc_id`` and ``text`` are not read but pass
 through ``survivors``.
 """

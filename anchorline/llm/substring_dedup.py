@@ -15,7 +15,8 @@ Hashes have 96 bits.  Only the hashes of spans that occur twice or more come to
 the join, and what is collected for a document is bounded by its own length.
 
 Rows with the same id and text are one document and get the same result.  Defined
-results: null stays null; a text with fewer sentences or words than a span is
+results: null stays null and an empty text empty; a very long text is cut whole, in memory
+of a few times its length; a text with fewer sentences or words than a span is
 left alone; an empty table gives no rows; other columns pass through ``cleaned``.
 """
 

@@ -6,7 +6,7 @@ stripe and row group, and a Bloom filter on the document id; Spark reads stripes
 in parallel and skips those whose statistics or filter rule a wanted id out.
 
 Defined results: null text is empty and still has its end id; rows with the same
-id are kept, ordered by their texts; a very long text is one row of its shard; an empty
+id are kept, ordered by a hash of their texts; a very long text is one row of its shard; an empty
 table gives an empty table back; other columns are not read.
 """
 

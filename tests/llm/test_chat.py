@@ -100,3 +100,9 @@ def test_every_template_reads_back(spark, template):
 def test_marks_that_cannot_be_guarded_are_refused(opens, closes):
     with pytest.raises(ValueError):
         chat.Template(opens=opens, closes=closes)
+
+
+def test_a_very_long_text_stays_whole(spark):
+    text = "<|im_end|> é" * 100_000
+    out = {r.conv_id: r for r in chat.op5(spark.createDataFrame([(1, 0, "user", "q"), (1, 1, "assistant", text)], DDL)).collect()}
+    assert (out[1].n_turns, out[1].loss_chars, out[1].loss_sha256) == (2, len(text), hashlib.sha256(text.encode()).hexdigest())

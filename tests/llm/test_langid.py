@@ -66,3 +66,13 @@ def test_nothing_to_learn_and_clashing_columns(spark):
     assert langid.op4(spark.createDataFrame([], DDL)).count() == 0
     df = spark.createDataFrame([(1, "text", None, 0.5, 1), (1, "text", None, 0.5, 2), (None, "x", None, 0.1, 3)], DDL + ", score double, held_out int")
     assert [r.lang_pred for r in langid.op4(df).collect()] == ["und"] * 3
+
+
+def test_very_long_texts_and_repeated_rows(spark):
+    de, en = "der die das und nicht ein ist ", "the and of that with this was "
+    rows = [(i, (de if i % 2 else en) * 20, "de" if i % 2 else "en") for i in range(40)]
+    rows += [(50, en * 30_000, None), (51, de * 30_000, None), rows[0], rows[0]]
+    out = langid.op4(spark.createDataFrame(rows, DDL)).collect()
+    assert len(out) == len(rows) and {r.doc_id: r.lang_pred for r in out if r.doc_id > 40} == {50: "en", 51: "de"}
+    again = [tuple(r) for r in out if r.doc_id == 0]
+    assert len(again) == 3 and len(set(again)) == 1

@@ -144,3 +144,10 @@ def test_token_files_lookup_and_edge_cases(spark, tmp_path):
     assert "PushedFilters: [In(doc_id" in found._jdf.queryExecution().toString()
     assert token_files.op6(spark.createDataFrame([], "doc_id long, text string"), BYTE).count() == 0
     assert token_files.op6(spark.createDataFrame([(1, "a"), (1, "a"), (None, "b")], "doc_id long, text string"), BYTE).count() == 3
+
+
+def test_a_very_long_text_is_one_row(spark):
+    text = "thion the  Thion. " * 40_000
+    got = {r.doc_id: r for r in token_files.op6(spark.createDataFrame([(1, "a"), (2, text), (3, None)], "doc_id long, text string"), BYTE).collect()}
+    [first, x] = plain(BYTE, ["a", text])
+    assert (got[2].start, got[2].n_tokens, got[2].ids_crc32) == (len(first) + 1, len(x) + 1, crc([*x, 2])) and got[3].n_tokens == 1
