@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import with_checkpoints
-from .population import cosine
 
 #: Entries of a template that make up one part of it; what rounding may add to a bound.
 PART, SLACK = 8, 1e-9
@@ -38,7 +37,7 @@ def heavy(norms: Column, least: float) -> Column:
 
 
 def candidates(a: DataFrame, b: DataFrame, keys: Sequence[str], least_cosine: float, within: float | None = None, width: int = PART) -> DataFrame:
-    """Pairs, each once, that hold all of a cosine of ``least_cosine`` or more, by an equality.
+    """(keys, unit_a, unit_b): pairs, each once, that hold all of a cosine of ``least_cosine`` or more, by an equality on light rows.
 
     Units meet if they share a heavy part and, where ``within`` bounds the distance, lie
     in neighbouring cells of that width.  Rows (keys, unit_id, template, x, y).
@@ -47,21 +46,16 @@ def candidates(a: DataFrame, b: DataFrame, keys: Sequence[str], least_cosine: fl
         raise ValueError("without a positive least cosine every pair is wanted")
 
     def side(rows: DataFrame, name: str) -> DataFrame:
-        norms = parts(F.col("template"), width)
-        return (
-            rows.select(*keys, F.col("unit_id").alias(f"unit_{name}"), F.col("template").alias(f"_t{name}"), F.col("x").alias(f"_x{name}"), F.col("y").alias(f"_y{name}"), norms.alias(f"_n{name}"))
-            .withColumn(f"_h{name}", heavy(F.col(f"_n{name}"), least_cosine)).withColumn("_part", F.explode(f"_h{name}"))
-        )
+        part = F.explode(heavy(parts(F.col("template"), width), least_cosine)).alias("_part")
+        return rows.select(*keys, F.col("unit_id").alias(f"unit_{name}"), "x", "y", part)
 
     left, right, on = side(a, "a"), side(b, "b"), [*keys, "_part"]
     if within is not None:
         cell = lambda c: F.floor(F.col(c) / within)
-        left = left.withColumn("_cx", F.explode(F.sequence(cell("_xa") - 1, cell("_xa") + 1))).withColumn("_cy", F.explode(F.sequence(cell("_ya") - 1, cell("_ya") + 1)))
-        right = right.withColumn("_cx", cell("_xb")).withColumn("_cy", cell("_yb"))
+        left = left.withColumn("_cx", F.explode(F.sequence(cell("x") - 1, cell("x") + 1))).withColumn("_cy", F.explode(F.sequence(cell("y") - 1, cell("y") + 1)))
+        right = right.withColumn("_cx", cell("x")).withColumn("_cy", cell("y"))
         on += ["_cx", "_cy"]
-    d = F.sqrt((F.col("_xa") - F.col("_xb")) ** 2 + (F.col("_ya") - F.col("_yb")) ** 2)
-    # of the parts that two units share one stands for the pair
-    return left.join(right, on).where(F.col("_part") == F.array_min(F.array_intersect("_ha", "_hb"))).withColumn("d_xy", d)
+    return left.drop("x", "y").join(right.drop("x", "y"), on).select(*keys, "unit_a", "unit_b").distinct()
 
 
 def close_pairs(a: DataFrame, b: DataFrame, keys: Sequence[str], least_cosine: float, within: float | None = None, bound: Column | None = None, width: int = PART) -> DataFrame:
@@ -70,11 +64,20 @@ def close_pairs(a: DataFrame, b: DataFrame, keys: Sequence[str], least_cosine: f
     A candidate is dropped by the sum of the products of its parts' norms, which no cosine
     exceeds, before the cosine is computed; ``bound`` is a greater least cosine by ``d_xy``.
     """
-    met = candidates(a, b, keys, least_cosine, within, width)
-    most = F.aggregate(F.zip_with("_na", "_nb", lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
+    total = lambda values: F.aggregate(values, F.lit(0.0), lambda s, v: s + v)
+    product = lambda x, y: total(F.zip_with(x, y, lambda p, q: p.cast("double") * q))
+
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        square = product(F.col("template"), F.col("template"))
+        return rows.select(*keys, F.col("unit_id").alias(f"unit_{name}"), F.col("template").alias(f"_t{name}"), F.col("x").alias(f"_x{name}"), F.col("y").alias(f"_y{name}"), parts(F.col("template"), width).alias(f"_n{name}"), square.alias(f"_s{name}"))
+
+    met = candidates(a, b, keys, least_cosine, within, width).join(side(a, "a"), [*keys, "unit_a"]).join(side(b, "b"), [*keys, "unit_b"])
+    met = met.withColumn("d_xy", F.sqrt((F.col("_xa") - F.col("_xb")) ** 2 + (F.col("_ya") - F.col("_yb")) ** 2))
     need = F.lit(least_cosine) if bound is None else F.greatest(F.lit(least_cosine), bound)
-    met = met.where(most >= need - SLACK) if within is None else met.where((F.col("d_xy") <= within) & (most >= need - SLACK))
-    return met.select(*keys, "unit_a", "unit_b", cosine(F.col("_ta"), F.col("_tb")).alias("cos"), "d_xy").where(F.col("cos") >= least_cosine)
+    fits = product(F.col("_na"), F.col("_nb")) >= need - SLACK
+    met = met.where(fits if within is None else (F.col("d_xy") <= within) & fits)
+    cosine = product(F.col("_ta"), F.col("_tb")) / F.sqrt(F.col("_sa") * F.col("_sb"))
+    return met.select(*keys, "unit_a", "unit_b", cosine.alias("cos"), "d_xy").where(F.col("cos") >= least_cosine)
 
 
 def similar_pairs(a: DataFrame, b: DataFrame, keys: Sequence[str], least: float, width: int = PART) -> DataFrame:

@@ -111,7 +111,7 @@ def calibrated(chunks: DataFrame, onsets: DataFrame, keys: Sequence[str], pre: i
     z = normalised(windows(chunks, placed.where("_in").select(*keys, "trial_id", "centre"), keys, pre, post, chunk_size), keys, least_variance)
     level = z.groupBy(*keys).agg((0.1 * F.avg(F.when(F.col("offset") < pre, F.col("z"))) + 0.9 * F.avg(F.when((F.col("offset") >= a) & (F.col("offset") < b), F.col("z")))).alias("threshold"))
     over = F.col("z") > F.col("threshold")
-    found = z.join(F.broadcast(level), list(keys)).groupBy(*keys, "trial_id").agg(
+    found = z.join(level, list(keys)).groupBy(*keys, "trial_id").agg(
         F.min(F.when(over & (F.col("offset") >= pre), F.col("offset") - pre)).alias("_first"), F.max(F.when(F.col("offset") < pre, over)).alias("_early"))
     joined = placed.join(found, [*keys, "trial_id"], "left")
     flag = F.when(~F.col("_in"), 2).when(F.col("_first").isNull(), 3).when(F.col("_early"), 1).otherwise(0)

@@ -182,7 +182,7 @@ def stim_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JN-5: nations as the 1-based manifest of customers; 0 and unknown numbers have no name."""
     names = f.table(spark, sf_dir, "nation").select((F.col("n_nationkey") + 1).alias("i"), "n_name")
     rows = f.table(spark, sf_dir, "customer").select("c_custkey", (F.col("c_custkey") % 30).cast("int").alias("stim_index"))
-    return rows.join(F.broadcast(names), rows["stim_index"] == names["i"], "left").select("c_custkey", "stim_index", F.coalesce("n_name", F.lit("")).alias("stim_name"))
+    return rows.join(names, rows["stim_index"] == names["i"], "left").select("c_custkey", "stim_index", F.coalesce("n_name", F.lit("")).alias("stim_name"))
 
 
 def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
