@@ -45,9 +45,17 @@ def hashed(docs: DataFrame) -> DataFrame:
     return cut.withColumn("_pairs", pairs_of(F.col("_h"), F.col("_n"), lambda a, b: F.xxhash64(a, b)))
 
 
-def grams() -> Column:
-    bucket = lambda h: F.pmod(h, F.lit(BUCKETS)).cast("int")
-    return F.concat(F.transform("_h", bucket), F.transform("_pairs", bucket))
+def bucket(h: Column) -> Column:
+    return F.pmod(h, F.lit(BUCKETS)).cast("int")
+
+
+def gram_rows(docs: DataFrame, *keep: str) -> DataFrame:
+    """(keep, bucket): a row for each word and each pair of neighbours, hashed as rows in generated code, not inside arrays."""
+    cut = docs.select(*keep, common.words(F.col("text").cast("string")).alias("_words"))
+    both = cut.select(*keep, F.explode(F.arrays_zip(F.col("_words").alias("a"), F.slice("_words", F.lit(2), F.size("_words")).alias("b"))).alias("_z"))
+    hashes = both.select(*keep, F.xxhash64("_z.a").alias("a"), F.when(F.col("_z.b").isNotNull(), F.xxhash64("_z.b")).alias("b"))
+    pair = F.when(F.col("b").isNotNull(), bucket(F.xxhash64("a", "b")))
+    return hashes.select(*keep, F.explode(F.array(bucket(F.col("a")), pair)).alias("bucket")).where("bucket IS NOT NULL")
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -61,7 +69,7 @@ def weights(docs: DataFrame, labels: DataFrame) -> list[float]:
     ids = F.broadcast(trusted_ids(labels).withColumn("_trusted", F.lit(1)))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left")
     counts = (
-        hashed(texts).select(F.coalesce("_trusted", F.lit(0)).alias("t"), F.explode(grams()).alias("bucket"))
+        gram_rows(texts.withColumn("t", F.coalesce("_trusted", F.lit(0))), "t")
         .groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("t").alias("trusted")).collect()
     )
     raw, trusted = sum(r.raw for r in counts), sum(r.trusted for r in counts)
@@ -85,15 +93,16 @@ def measured(docs: DataFrame, log_ratios: list[float]) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(f"[^{common.BLANKS[1:-1]}]"))
     table = F.from_json(F.lit("[" + ",".join(map(str, log_ratios)) + "]"), "array<double>")
-    df = hashed(docs).withColumns({"_lines": lines, "_grams": grams(), "_threes": pairs_of(F.col("_pairs"), F.size("_pairs"), lambda a, b: F.xxhash64(a, b))})
+    df = hashed(docs).withColumns({"_lines": lines, "_threes": pairs_of(F.col("_pairs"), F.size("_pairs"), lambda a, b: F.xxhash64(a, b))})
     df = df.withColumn("_ordered", F.when(F.size(F.array_distinct("_threes")) < F.size("_threes"), F.sort_array(F.transform("_threes", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
+    weighed = lambda s, h: s + F.get(table, bucket(h))
     df = df.withColumns({
         "n_words": F.col("_n").cast("long"),
         "word_chars": F.length(F.array_join("_words", "")).cast("long"),
-        "n_symbols": (F.length(text) - F.length(F.regexp_replace(text, r"[#*$%&|<>]", ""))).cast("long"),
+        "n_symbols": F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long"),
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
         "n_repeat_words": F.coalesce(F.when(F.col("_ordered").isNotNull(), repeated_words(F.col("_n"))), F.lit(0).cast("long")),
-        "score": F.round(F.aggregate("_grams", F.lit(0.0), lambda s, g: s + F.get(table, g)) / F.greatest(F.size("_grams"), F.lit(1)), 9),
+        "score": F.round(F.aggregate("_pairs", F.aggregate("_h", F.lit(0.0), weighed), weighed) / F.greatest(F.size("_h") + F.size("_pairs"), F.lit(1)), 9),
     })
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     return df.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("score") >= THRESHOLD))
