@@ -64,6 +64,13 @@ def unit_problems(units: DataFrame) -> DataFrame:
     return counted.select("probe_id", problem.alias("problem")).where("problem IS NOT NULL")
 
 
+def units_per_probe(probes: DataFrame, units: DataFrame, key: str = "probe_id") -> DataFrame:
+    """(key, n_units, status): how many of ``units`` each expected probe has; none, whether it is known or not, warns."""
+    counts = units.groupBy(key).agg(F.count("*").alias("n_units"))
+    found = probes.select(key).distinct().join(counts, key, "left").withColumn("n_units", F.coalesce("n_units", F.lit(0)))
+    return found.withColumn("status", F.when(F.col("n_units") > 0, "pass").otherwise("warn"))
+
+
 def probe_key(units: DataFrame) -> DataFrame:
     """``units`` with ``probe``: its probe_id, else its electrode_group_name; without either column it raises."""
     have = [F.col(c).cast("string") for c in ("probe_id", "electrode_group_name") if c in units.columns]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import stats
 from ..operators import curation as c
 from ..operators import joins, signal
+from ..operators import sessions as s
 from . import fixtures as f
 
 DAYS, MONTHS = 2520.0, 84
@@ -203,9 +204,8 @@ def verify_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
 def units_per_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """QC-5, QC-8, SRC-13: suppliers with lines of each nation, as units of a probe."""
     active = f.table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("s_suppkey")).distinct()
-    counts = f.table(spark, sf_dir, "supplier").join(active, "s_suppkey").groupBy(F.col("s_nationkey").alias("n_nationkey")).agg(F.count("*").alias("n"))
-    rows = f.table(spark, sf_dir, "nation").select("n_nationkey").join(counts, "n_nationkey", "left")
-    return rows.select("n_nationkey", F.coalesce("n", F.lit(0)).alias("n_units"), F.when(F.col("n") > 0, "pass").otherwise("warn").alias("status"))
+    units = f.table(spark, sf_dir, "supplier").join(active, "s_suppkey").select(F.col("s_nationkey").alias("n_nationkey"))
+    return s.units_per_probe(f.table(spark, sf_dir, "nation"), units, "n_nationkey")
 
 
 QUERIES = {q.__name__: q for q in (quality_metrics, classify_units, threshold_labels, label_overlaps, unit_type_shares, metric_histogram, quantile_summary, ks_test, gaze_density, fixation, calibrate, trace_band, time_slice, smoothed, common_reference, apply_updates, unknown_updates, stim_names, reconcile, verify_copy, units_per_probe)}

@@ -37,6 +37,13 @@ def export_raster(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.raster(f.spikes(spark, sf_dir), onsets, PRE, POST, BIN)
 
 
+def probe_rasters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AG-2, FLT-4: onsets in two clocks, of which imec0 lacks those of stimulus 3; the first valid trial of a session sets the length."""
+    clocks = F.create_map(F.lit("imec0"), F.when(F.col("stim_index") != 3, F.col("t_us")), F.lit("imec1"), F.col("t_us") + 20_000)
+    trials = f.onsets(spark, sf_dir).withColumns({"onsets": clocks, "onset_us": (F.col("trial_id") % 3 + 20) * BIN + 7, "offset_us": F.lit(5 * BIN)})
+    return r.probe_rasters(f.spikes(spark, sf_dir), trials, PRE, BIN)
+
+
 def psth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AG-5, OP-6."""
     return r.psth(_cells(spark, sf_dir), r.trial_counts(f.onsets(spark, sf_dir)), BIN_S).withColumn("rate_hz", F.round("rate_hz", 9))
@@ -112,7 +119,7 @@ def valid_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.onsets(spark, sf_dir).agg(F.count_if(v.eqNullSafe(True)).alias("strict"), F.count_if(F.coalesce(v, F.lit(True))).alias("missing_is_valid"), F.count_if(v.isNull()).alias("missing"))
 
 
-QUERIES = {q.__name__: q for q in (range_join, event_raster, export_raster, psth, psth_preferred, rebinned, window_counts, stim_rates, unit_stats, selectivity, consistency_score, responsiveness, top_units, stim_coverage, raster_stats, valid_filters)}
+QUERIES = {q.__name__: q for q in (range_join, event_raster, export_raster, probe_rasters, psth, psth_preferred, rebinned, window_counts, stim_rates, unit_stats, selectivity, consistency_score, responsiveness, top_units, stim_coverage, raster_stats, valid_filters)}
 
 _COUNTS = f"counts AS (SELECT {UNIT}, trial_id, sum(n) AS n FROM cells WHERE bin >= {FIRST} AND bin < {LAST} GROUP BY ALL)"
 _RATES = f"""rates AS (SELECT u.session, u.probe, u.unit_id, p.stim_index, p.trials, coalesce(h.n, 0) / (p.trials * {WINDOW_S}) AS rate_hz
@@ -143,6 +150,10 @@ _TEST = f"""sides AS (SELECT {UNIT}, trial_id, sum(CASE WHEN bin < {PRE_BINS} TH
 SQL = {
     "range_join": f"WITH {f.SPIKES_SQL}, {f.ONSETS_SQL} SELECT s.session, probe, unit_id, count(*) AS n, CAST(sum(s.t_us - (o.t_us - {PRE})) AS BIGINT) AS sum_dt_us FROM spikes s JOIN onsets o ON s.session = o.session AND s.t_us >= o.t_us - {PRE} AND s.t_us < o.t_us + {POST} GROUP BY ALL",
     "event_raster": f"{WITH_CELLS} SELECT {UNIT}, trial_id, bin, least(n, 255) AS n FROM cells",
+    "probe_rasters": f"""WITH {f.SPIKES_SQL}, {f.ONSETS_SQL}, len AS (SELECT session, {PRE} + (arg_min(trial_id % 3, trial_id) + 25) * {BIN} AS length FROM onsets WHERE valid GROUP BY session),
+  clocks AS (SELECT session, 'imec0' AS probe, trial_id, t_us FROM onsets WHERE valid AND stim_index <> 3 UNION ALL SELECT session, 'imec1', trial_id, t_us + 20000 FROM onsets WHERE valid)
+  SELECT s.session, s.probe, unit_id, trial_id, CAST((s.t_us - o.t_us + {PRE}) // {BIN} AS INT) AS bin, least(count(*), 255) AS n FROM spikes s JOIN clocks o ON s.session = o.session AND s.probe = o.probe
+  JOIN len l ON l.session = s.session WHERE s.t_us >= o.t_us - {PRE} AND s.t_us < o.t_us - {PRE} + length GROUP BY ALL""",
     "export_raster": f"{WITH_CELLS} SELECT {UNIT}, trial_id, bin, least(n, 255) AS n FROM cells WHERE trial_id IN (SELECT trial_id FROM onsets WHERE valid)",
     "psth": f"{WITH_CELLS}, {_TRIALS} SELECT {UNIT}, bin, CAST(sum(least(n, 255)) AS BIGINT) AS n_spikes, round(sum(least(n, 255)) / (any_value(n_trials) * {BIN_S}), 9) AS rate_hz FROM cells JOIN per_session USING (session) GROUP BY ALL",
     "psth_preferred": f"""{WITH_CELLS}, per AS (SELECT session, stim_index, count(*) AS trials FROM onsets GROUP BY ALL), stims AS (SELECT session, count(*) AS n_stims FROM per GROUP BY ALL),

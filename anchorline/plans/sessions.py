@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import joins
 from ..operators import sessions as s
 from ..session import with_checkpoints
-from ..sources import sinks
+from ..sources import recordings, sinks
 from ..sources.commits import commit_version
 from . import alignment
 from . import fixtures as f
@@ -27,6 +27,19 @@ def behaviour_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _trials(spark, sf_dir).select("trial_id", F.size("events").cast("long").alias("n_events"), F.element_at("events", 1)["code"].alias("first_code"), F.element_at("events", -1)["time"].cast("long").alias("last_time"))
 
 
+def logged_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-8: conversations logged as trials in JSON lines, read back with the trials' schema; some lack a channel, a variable or their validity."""
+    k = F.col("trial_id")
+    event = lambda e: F.struct(e["code"].alias("code"), e["time"].cast("double").alias("time"))
+    doubles = F.transform_values("analog", lambda _, v: F.transform(v, lambda x: x.cast("double")))
+    trials = _trials(spark, sf_dir).select(
+        F.concat(F.lit("s"), k % 3).alias("session"), k, F.when(k % 7 > 0, k % 5 > 0).alias("valid"), F.transform("events", event).alias("events"),
+        F.when(k % 4 > 0, doubles).alias("analog"), F.when(k % 2 > 0, F.create_map(F.lit("stim"), (k % 10).cast("string"))).alias("vars"))
+    back = recordings.behaviour_trials(spark, _written(trials, "trials", "json"))
+    total = F.aggregate(F.coalesce(F.col("analog")["user"], F.array().cast("array<double>")), F.lit(0.0), lambda a, x: a + F.coalesce(x, F.lit(0.0)))
+    return back.select("session", "trial_id", "valid", F.size("events").cast("long").alias("n_events"), F.element_at("events", -1)["time"].alias("last_time"), total.alias("user_chars"), F.col("vars")["stim"].alias("stim"))
+
+
 def analog_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-9: trials without the channel have no rows."""
     return s.analog(_trials(spark, sf_dir), "system", keys=("trial_id",)).select("trial_id", F.col("i").cast("long").alias("i"), F.col("value").cast("long").alias("value"))
@@ -206,12 +219,13 @@ def named_stims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.named_stims(onsets, manifest).select("trial_id", "stim_index", "stim_name")
 
 
-QUERIES = {q.__name__: q for q in (behaviour_trials, analog_channel, code_times, behavior_events, unit_problems, unit_probes, imported_sorting, channel_locations, electrodes, chosen_units, kept_channels, subjects, trace_variants, unlike_neighbours, metrics_csv, written_scores, merge_log, sorter_columns, curated_probes, thresholds_out_of_range, stage_outputs, safe_to_delete, copy_chunks, named_stims)}
+QUERIES = {q.__name__: q for q in (behaviour_trials, logged_trials, analog_channel, code_times, behavior_events, unit_problems, unit_probes, imported_sorting, channel_locations, electrodes, chosen_units, kept_channels, subjects, trace_variants, unlike_neighbours, metrics_csv, written_scores, merge_log, sorter_columns, curated_probes, thresholds_out_of_range, stage_outputs, safe_to_delete, copy_chunks, named_stims)}
 
 _UNITS = """units AS (SELECT c_custkey AS unit_id, CASE WHEN c_custkey % 9 > 0 THEN c_mktsegment END AS probe_id, CAST(c_nationkey AS VARCHAR) AS electrode_group_name, CASE WHEN c_acctbal > 0 THEN c_custkey % 7 + 1 ELSE 0 END AS n_spikes, c_acctbal FROM customer)"""
 _WINDOWS = "w AS (SELECT vec_id, label, unnest(range(len(embedding))) AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings)"
 
 SQL = {
+    "logged_trials": "SELECT 's' || (conv_id % 3) AS session, conv_id AS trial_id, CASE WHEN conv_id % 7 > 0 THEN conv_id % 5 > 0 END AS valid, count(*) AS n_events, CAST(max(turn) AS DOUBLE) AS last_time, CASE WHEN conv_id % 4 > 0 THEN coalesce(sum(length(text)) FILTER (role = 'user'), 0) ELSE 0 END + 0.0::DOUBLE AS user_chars, CASE WHEN conv_id % 2 > 0 THEN CAST(conv_id % 10 AS VARCHAR) END AS stim FROM conversations GROUP BY conv_id",
     "behaviour_trials": "SELECT conv_id AS trial_id, count(*) AS n_events, min_by(role, turn) AS first_code, max(turn) AS last_time FROM conversations GROUP BY conv_id",
     "analog_channel": "SELECT conv_id AS trial_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS i, length(text) AS value FROM conversations WHERE role = 'system'",
     "code_times": "SELECT conv_id AS trial_id, turn AS time FROM conversations WHERE role = 'assistant'",

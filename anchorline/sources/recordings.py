@@ -184,6 +184,18 @@ def spike_samples(units: DataFrame, rates: DataFrame, default_rate: float | None
     return times.select("probe_id", "unit_id", F.rint(F.col("t") * rate).cast("long").alias("sample"))
 
 
+#: A behaviour trial as it is logged.
+TRIAL = "session string, trial_id long, valid boolean, events array<struct<code: string, time: double>>, analog map<string, array<double>>, vars map<string, string>"
+
+
+def behaviour_trials(spark: SparkSession, path: str, form: str = "json") -> DataFrame:
+    """Nested behaviour trials from JSON lines or Parquet, with the columns of TRIAL; fields that a file lacks are null, a line that is none or a trial without an id raises."""
+    reader = spark.read.schema(TRIAL)
+    rows = reader.option("mode", "FAILFAST").json(path) if form == "json" else reader.parquet(path)
+    number = F.coalesce("trial_id", F.raise_error(F.lit("a behaviour trial has no trial_id")).cast("long"))
+    return rows.withColumn("trial_id", number)
+
+
 def summary(units: DataFrame, trials: DataFrame) -> DataFrame:
     """Per session: counts, probes, and which modes the tables allow."""
     u = units.groupBy("session").agg(F.count("*").alias("n_units"), F.array_sort(F.collect_set("probe_id")).alias("probes"))

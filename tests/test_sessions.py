@@ -140,3 +140,40 @@ def test_probe_times_and_bounds(spark):
     ddl = "layer string, metric string, op string, bound double"
     merged = audit.merged_bounds(spark.createDataFrame([("mua", "snr", "greater", 5.0), ("mua", "snr", "less", 9.0), ("noise", "n", "less", 1.0)], ddl), spark.createDataFrame([("mua", "snr", "greater", 4.0), ("noise", "n", "less", None), ("mua", "drift", "less", 2.0)], ddl))
     assert sorted(tuple(r) for r in merged.collect()) == [("mua", "drift", "less", 2.0), ("mua", "snr", "greater", 4.0), ("mua", "snr", "less", 9.0)]
+
+
+def test_export_windows_come_from_the_first_valid_trial(spark):
+    spikes = spark.createDataFrame([("a", p, 1, t * MS) for p in ("p", "q") for t in (949, 950, 999, 1000, 1029, 1030, 2010)], "session string, probe string, unit_id long, t_us long")
+    rows = [("a", 1, None, {"p": 1000 * MS}, 900 * MS, 900 * MS), ("a", 2, True, {"p": 1000 * MS}, 20 * MS + 999, 10 * MS), ("a", 3, True, {"p": None, "q": 2000 * MS}, 500 * MS, 500 * MS), ("a", 4, False, {"p": 2000 * MS}, 1, 1), ("b", 5, True, {"p": 1000 * MS}, None, 1)]
+    trials = spark.createDataFrame(rows, "session string, trial_id long, valid boolean, onsets map<string, long>, onset_us long, offset_us long")
+    found = sorted((r.probe, r.trial_id, r.bin, r.n) for r in raster.probe_rasters(spikes, trials, 50 * MS, MS).collect())
+    assert found == [("p", 2, b, 1) for b in (0, 49, 50, 79)] + [("q", 3, 60, 1)]
+    assert raster.probe_rasters(spikes, trials.where("trial_id = 4"), 50 * MS, MS).count() == 0
+    both = spikes.unionByName(spikes).where("probe = 'q' AND t_us = 2010000")
+    assert [r.n for r in raster.probe_rasters(both, trials, 50 * MS, MS, 1).collect()] == [1]
+
+
+def test_missing_validity_counts_as_told(spark):
+    trials = spark.createDataFrame([(1, True), (2, False), (3, None)], "trial_id long, valid boolean")
+    ids = lambda df: sorted(r.trial_id for r in df.collect())
+    assert ids(raster.valid_trials(trials)) == [1] and ids(raster.valid_trials(trials, missing=True)) == [1, 3]
+    assert ids(raster.valid_trials(trials.drop("valid"))) == [] and ids(raster.valid_trials(trials.drop("valid"), missing=True)) == [1, 2, 3]
+
+
+def test_logged_trials_keep_their_schema(spark, tmp_path):
+    (tmp_path / "t.json").write_text('{"session": "a", "trial_id": 1, "events": [{"code": "5", "time": 0.5}], "analog": {"eye": [1, 2.5]}, "more": 7}\n{"trial_id": 2}\n')
+    rows = {r.trial_id: r for r in recordings.behaviour_trials(spark, str(tmp_path)).collect()}
+    assert rows[1].events[0].time == 0.5 and rows[1].analog == {"eye": [1.0, 2.5]} and rows[1].valid is None
+    assert rows[2].events is None and rows[2].session is None
+    (tmp_path / "u.json").write_text('{"session": "a"}\n')
+    with pytest.raises(Exception, match="no trial_id"):
+        recordings.behaviour_trials(spark, str(tmp_path)).collect()
+    (tmp_path / "u.json").write_text('{"trial_id": "x"\n')
+    with pytest.raises(Exception):
+        recordings.behaviour_trials(spark, str(tmp_path)).collect()
+
+
+def test_probes_without_units_warn(spark):
+    probes = spark.createDataFrame([("p",), ("q",), ("q",)], "probe_id string")
+    units = spark.createDataFrame([("p", 1), ("p", 2), ("r", 3)], "probe_id string, unit_id long")
+    assert sorted(tuple(r) for r in sessions.units_per_probe(probes, units).collect()) == [("p", 2, "pass"), ("q", 0, "warn")]
