@@ -42,7 +42,7 @@ def rank_sum(histogram: DataFrame, keys: Sequence[str], value: str, base: str, r
     rows = histogram.withColumn("_t", t).withColumn("_rank", before + (t + 1) / 2.0)
     n = F.first(trials).cast("double")
     sums = rows.groupBy(*keys).agg(
-        n.alias("n"), F.sum(F.col("_rank") * F.col(base)).alias("_r"), F.sum(F.col("_t") * F.col("_t") * F.col("_t") - F.col("_t")).cast("double").alias("_ties"),
+        n.alias("n"), F.sum(F.col("_rank") * F.col(base)).alias("_r"), F.sum(F.col("_t").cast("double") * F.col("_t") * F.col("_t") - F.col("_t")).alias("_ties"),
         (F.sum(F.col(value) * F.col(base)) / n).alias("mean_base"), (F.sum(F.col(value) * F.col(response)) / n).alias("mean_response"), F.max("_t").alias("_most"),
     )
     n = F.col("n")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import hash_order, safe_corr
+from .sweeps import UNIT
 
 
 def json_map(text: Column) -> Column:
@@ -88,12 +89,25 @@ def mean_template(units: DataFrame, kind: str, template: str) -> DataFrame:
 
 def psth_reliability(cells: DataFrame, seed: int, bins: int) -> DataFrame:
     """Correlation over bins of the rates of two random halves of the trials, per unit; empty bins are zeros."""
-    unit = ["session", "probe", "unit_id"]
-    half = F.conv(F.substring(hash_order(seed, "trial_id"), 1, 1), 16, 10).cast("int") % 2
-    sums = cells.withColumn("_h", half).groupBy(*unit, "bin").agg(F.sum(F.when(F.col("_h") == 0, F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("_h") == 1, F.col("n")).otherwise(0)).alias("b"))
-    grid = sums.select(*unit).distinct().withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    full = grid.join(sums, [*unit, "bin"], "left").fillna(0, ["a", "b"])
-    return full.groupBy(*unit).agg(safe_corr(F.col("a").cast("double"), F.col("b").cast("double")).alias("r"))
+    sums = cells.withColumn("_h", half(seed)).groupBy(*UNIT, "bin").agg(F.sum(F.when(F.col("_h") == 0, F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("_h") == 1, F.col("n")).otherwise(0)).alias("b"))
+    grid = sums.select(*UNIT).distinct().withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    return _halves(grid.join(sums, [*UNIT, "bin"], "left").fillna(0, ["a", "b"]))
+
+
+def half(seed: int) -> Column:
+    """The random half, 0 or 1, that a trial is in."""
+    return F.conv(F.substring(hash_order(seed, "trial_id"), 1, 1), 16, 10).cast("int") % 2
+
+
+def courses_reliability(sums: DataFrame, bins: int) -> DataFrame:
+    """psth_reliability from spikes per unit and half as lists by bin, (unit, by, n), as sweeps.bin_sums gives them."""
+    side = lambda h: F.array(*(F.sum(F.when(F.col("by") == h, F.col("n")[i]).otherwise(0)) for i in range(bins)))
+    both = sums.groupBy(*UNIT).agg(side(0).alias("a"), side(1).alias("b"))
+    return _halves(both.select(*UNIT, F.explode(F.arrays_zip("a", "b")).alias("_c")).select(*UNIT, "_c.a", "_c.b"))
+
+
+def _halves(full: DataFrame) -> DataFrame:
+    return full.groupBy(*UNIT).agg(safe_corr(F.col("a").cast("double"), F.col("b").cast("double")).alias("r"))
 
 
 def first_name(trials: DataFrame, keys: Sequence[str], name: str, order: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import stats
 from ..operators import population, signal
 from ..operators import projections as p
-from ..operators import raster as r
+from ..operators import sweeps
 from . import curations, event_locked, populations
 from . import fixtures as f
 
@@ -76,8 +76,8 @@ def mean_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def psth_reliability(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AG-14."""
-    cells = r.raster(f.spikes(spark, sf_dir), f.onsets(spark, sf_dir), f.PRE, f.POST, f.BIN, None)
-    return p.psth_reliability(cells, 0, f.BINS).withColumn("r", F.round("r", 6))
+    sums = sweeps.bin_sums(f.spikes(spark, sf_dir), f.onsets(spark, sf_dir), f.PRE, sweeps.bin_edges(f.PRE, f.POST, f.BIN), by=p.half(0))
+    return p.courses_reliability(sums, f.BINS).withColumn("r", F.round("r", 6))
 
 
 def paired_reliability(spark: SparkSession, sf_dir: str) -> DataFrame:
