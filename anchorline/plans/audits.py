@@ -92,6 +92,7 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OP-2, OP-3, OP-4, OP-1, OP-5 in one run: a user's events as coded samples with zeros between them, a behaviour log that lacks one event in ten, the values as photodiode and the views as pulses."""
     codes = alignment._codes(spark, sf_dir)
     numbered = joins.ordinal(codes, ["session"], ["t_us", "event_id"], "s").withColumn("s", (F.col("s") - 1).cast("long"))
+    numbered = spark.read.parquet(_written(numbered, "run_numbered"))  # six tables come from it: numbered once
     words = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("s", "code"))), lambda x: F.array(x["code"], F.lit(0))))
     coded = numbered.groupBy("session", F.expr(f"s div {curations.CHUNK}").alias("chunk_id")).agg((2 * F.min("s")).alias("start_sample"), words.alias("data"))
     logged = numbered.where("event_id % 10 <> 0")
@@ -100,7 +101,8 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = numbered.where("code = 8").select("session", F.col("s").cast("double").alias("t"))
     pulses = base.withColumn("stream", F.lit("nidq")).unionByName(base.select("session", (F.col("t") * 1.0001 + 0.5).alias("t"), F.lit("imec0").alias("stream")))
     names = behaviour.select("session").distinct().withColumn("dataset_name", F.concat(F.lit("set-"), F.col("session") % 4))
-    out = runs.stimulus_table(trials.code_changes(coded, range(5)), behaviour.select("session", "trial_id"), given, curations._signal(spark, sf_dir), clocks.clock_fits(pulses, "nidq", 1e12, 5.0), names, RUN)
+    changes = spark.read.parquet(_written(trials.code_changes(coded, range(5)), "run_changes"))
+    out = runs.stimulus_table(changes, behaviour.select("session", "trial_id"), given, curations._signal(spark, sf_dir), clocks.clock_fits(pulses, "nidq", 1e12, 5.0), names, RUN)
     back = spark.read.parquet(_written(out, "run_events"))
     probe = F.get_json_object("onset_by_probe", "$.imec0").cast("double")
     return back.select("session", "trial_id", "trial", F.col("j").cast("long").alias("j"), F.round("onset_s", 6).alias("onset_s"), F.round("latency_ms", 6).alias("latency_ms"), F.col("flag").cast("long").alias("flag"), "dataset_name", F.round(probe, 4).alias("imec0_s"))

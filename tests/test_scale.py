@@ -172,3 +172,14 @@ def test_matrix_by_tiles(spark, tile):
             z[g, s] = {u: (x - m) / size for u, x in v.items()}
     want = {(g, s, t): sum(x * w[u] for u, x in v.items() if u in w) for ((g, s), v), ((h, t), w) in product(z.items(), z.items()) if g == h and s > t and v.keys() & w.keys()}
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_a_run_numbers_its_events_once(spark, monkeypatch):
+    """run_events reads the numbered events and the changes of their code back; neither is made anew for each table that uses it."""
+    from anchorline.plans import audits
+
+    made = []
+    table = audits.runs.stimulus_table
+    monkeypatch.setattr(audits.runs, "stimulus_table", lambda codes, behaviour, *rest: made.extend((codes, behaviour)) or table(codes, behaviour, *rest))
+    audits.run_events(spark, "/root/testdata/sf0.001")
+    assert len(made) == 2 and not any("Window" in x._jdf.queryExecution().optimizedPlan().toString() for x in made)
