@@ -100,7 +100,7 @@ def half(seed: int) -> Column:
 
 
 def courses_reliability(sums: DataFrame, bins: int) -> DataFrame:
-    """psth_reliability from spikes per unit and half as lists by bin, (unit, by, n), as sweeps.bin_sums gives them."""
+    """psth_reliability from spikes per unit and half as lists by bin, (unit, by, n), as sweeps.bin_parts gives them: both halves are added in one go."""
     side = lambda h: F.array(*(F.sum(F.when(F.col("by") == h, F.col("n")[i]).otherwise(0)) for i in range(bins)))
     both = sums.groupBy(*UNIT).agg(side(0).alias("a"), side(1).alias("b"))
     return _halves(both.select(*UNIT, F.explode(F.arrays_zip("a", "b")).alias("_c")).select(*UNIT, "_c.a", "_c.b"))

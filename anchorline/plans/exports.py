@@ -76,8 +76,8 @@ def mean_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def psth_reliability(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AG-14."""
-    sums = sweeps.bin_sums(f.spikes(spark, sf_dir), f.onsets(spark, sf_dir), f.PRE, sweeps.bin_edges(f.PRE, f.POST, f.BIN), by=p.half(0))
-    return p.courses_reliability(sums, f.BINS).withColumn("r", F.round("r", 6))
+    parts = sweeps.bin_parts(f.spikes(spark, sf_dir), f.onsets(spark, sf_dir), f.PRE, sweeps.bin_edges(f.PRE, f.POST, f.BIN), by=p.half(0))
+    return p.courses_reliability(parts, f.BINS).withColumn("r", F.round("r", 6))
 
 
 def paired_reliability(spark: SparkSession, sf_dir: str) -> DataFrame:
