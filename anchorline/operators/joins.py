@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +13,8 @@ from ..session import with_checkpoints
 
 #: Length of a bucket of time, an hour in microseconds.
 BUCKET = 3_600_000_000
+#: Rows, of all values of the keys together, that mutual_best puts in order instead of taking more rounds.
+LAST = 1 << 18
 
 
 def bucketed_range_join(points: DataFrame, ranges: DataFrame, keys: Sequence[str], time: str, low: str, high: str, width: int) -> DataFrame:
@@ -65,30 +69,60 @@ def anchor_before(points: DataFrame, anchors: DataFrame, keys: Sequence[str], ti
     return rows.join(told, on, "left").select(*(F.col(f"p.{c}") for c in points.columns), F.coalesce("p._in", "c._carried").alias(anchor))
 
 
+def _in_order(left: str, right: str, score: str) -> Callable[[pa.Table], pa.Table]:
+    """Pairs of one value of the keys from the best score down, of equal ones by the smaller ids, each unless a side of it is gone.
+
+    They are the mutual best of all rounds: no row before a mutual best has a side of it,
+    and the first row that is left is always one.
+    """
+
+    def taken(rows: pa.Table) -> pa.Table:
+        values = rows[score].to_pandas().to_numpy(float)
+        missing = rows[score].is_null().to_numpy()
+        a, b = (np.unique(rows[c].to_pandas().to_numpy(), return_inverse=True)[1] for c in (left, right))
+        # as Spark sorts down: NaN before numbers, nulls last
+        order = np.lexsort((b, a, -values, ~np.isnan(values), missing))
+        gone_a, gone_b, held = set(), set(), []
+        for row, p, q in zip(order.tolist(), a[order].tolist(), b[order].tolist()):
+            if p not in gone_a and q not in gone_b:
+                gone_a.add(p)
+                gone_b.add(q)
+                held.append(row)
+        return rows.take(pa.array(held, pa.int64()))
+
+    return taken
+
+
 def mutual_best(pairs: DataFrame, keys: Sequence[str], left: str, right: str, score: str) -> DataFrame:
     """One-to-one pairs: rows that are the best of both their sides, taken out, until none is left.
 
     Equal scores go to the smaller ids.  Where a group of lefts and a group of rights
     have each other, and nothing else, as their best, all are taken in one round, the
     k-th with the k-th, as rounds of one pair each would.  Every round is cut off by
-    a checkpoint.
+    a checkpoint.  Rows that are LAST or fewer in all take no more rounds: see _in_order.
     """
     of_left, of_right = Window.partitionBy(*keys, left), Window.partitionBy(*keys, right)
     with_checkpoints(pairs.sparkSession)
     pairs = pairs.checkpoint()  # the scores are computed once
     rest, found, done = pairs, None, 0
     while True:
-        ranked = rest.withColumn("_l", F.row_number().over(of_left.orderBy(F.desc(score), right))).withColumn("_r", F.row_number().over(of_right.orderBy(F.desc(score), left)))
-        # what is best on a side, as a set
-        ranked = ranked.withColumn("_tl", F.col(score) == F.max(score).over(of_left)).withColumn("_tr", F.col(score) == F.max(score).over(of_right))
-        for name, top, other, side in (("_sl", "_tl", right, of_left), ("_sr", "_tr", left, of_right)):
+        if rest.count() <= LAST:
+            taken = rest.groupBy(*keys).applyInArrow(_in_order(left, right, score), pairs.schema).checkpoint()
+            return taken if found is None else found.unionByName(taken)
+        ranked = rest
+        # each side's best, what is best on it as a set: all that a side is dealt for comes one after the other
+        for rank, top, name, other, side in (("_l", "_tl", "_sl", right, of_left), ("_r", "_tr", "_sr", left, of_right)):
+            ranked = ranked.withColumn(rank, F.row_number().over(side.orderBy(F.desc(score), other))).withColumn(top, F.col(score) == F.max(score).over(side))
             ranked = ranked.withColumn(name, F.struct(F.count(F.when(F.col(top), 1)).over(side).alias("n"), F.bit_xor(F.when(F.col(top), F.xxhash64(other))).over(side).alias("h")))
+        # what is best on neither side says nothing about those that are
+        first = (F.col("_l") == 1) & (F.col("_r") == 1)
+        ranked = ranked.where(first | F.coalesce("_tl", F.lit(False)) | F.coalesce("_tr", F.lit(False)))
         # the best ones of a side all have this side among their best, and the same set of best
         for name, top, back, theirs, side in (("_cl", "_tl", "_tr", "_sr", of_left), ("_cr", "_tr", "_tl", "_sl", of_right)):
             theirs = F.when(F.col(top), F.col(theirs))
             ranked = ranked.withColumn(name, F.min(F.when(F.col(top), F.col(back))).over(side) & (F.min(theirs).over(side) == F.max(theirs).over(side)))
         tied = F.col("_tl") & F.col("_tr") & F.col("_cl") & F.col("_cr") & (F.col("_l") == F.col("_r"))
-        taken = ranked.where(tied | ((F.col("_l") == 1) & (F.col("_r") == 1))).select(*pairs.columns).checkpoint()
+        taken = ranked.where(tied | first).select(*pairs.columns).checkpoint()
         if taken.isEmpty():
             break
         done += 1

@@ -57,3 +57,45 @@ def test_all_are_compared_by_blocks(monkeypatch, spark, name):
     monkeypatch.setattr(blocks, "met", lambda *x: asked.append(x) or met(*x))
     registry.queries()[name](spark, "/root/testdata/sf0.001")
     assert asked
+
+
+def test_rounds_and_the_order_of_the_rest_agree(spark, monkeypatch):
+    """With ties, chains and missing scores: all in rounds, all in order, and rounds first."""
+    rng = random.Random(3)
+    rows = [(k, a, b, rng.choice([None, 0.5, float(rng.randrange(6)), float(a + b)])) for k in range(3) for a in range(14) for b in range(12) if rng.random() < 0.6]
+    pairs, found = spark.createDataFrame(rows, "k int, a long, b long, s double"), []
+    for last in (0, 150, 1 << 18):
+        monkeypatch.setattr(joins, "LAST", last)
+        found.append(sorted((r.k, r.a, r.b) for r in joins.mutual_best(pairs, ["k"], "a", "b", "s").collect()))
+    assert found[0] == found[1] == found[2] and len(found[0]) > 20
+
+
+def test_a_short_rest_is_not_paired_by_rounds(spark):
+    """A chain in which every pair waits for the one before took a round each."""
+    rows = [(0, i // 2 + i % 2, i // 2, float(100 - i)) for i in range(60)]
+    group = "short-rest"
+    spark.sparkContext.setJobGroup(group, group)
+    found = joins.mutual_best(spark.createDataFrame(rows, "k int, a long, b long, s double"), ["k"], "a", "b", "s").collect()
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setJobGroup("", "")
+    assert len(found) == 30 and jobs < 15
+
+
+def test_what_the_product_leaves_out_is_below_the_least(monkeypatch):
+    """Every pair of the fold, with blends just at the least, templates without a value, of other lengths and of extreme sizes."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(4)
+    kinds = [[rng.gauss(0, 1) for _ in range(6)] for _ in range(40)] + [None, [], [None, 1.0], [0.0] * 6, [1e-170] * 6, [1e160] * 6, [1.0] * 5, [float("inf")] * 6, [float("nan"), 1.0]]
+    table = lambda ts: pa.table({"unit_id": list(range(len(ts))), "template": pa.array(ts, pa.list_(pa.float64())), "x": [0.5 * i for i in range(len(ts))], "y": [0.0] * len(ts)})
+    for x, y in ((kinds, kinds[::-1]), (kinds[:40], kinds[:30])):
+        x, y = blocks.Side(table(x)), blocks.Side(table(y))
+        with np.errstate(all="ignore"):
+            whole = blocks.compared(x, y, slice(0, 128))[2]
+            for least in (0.6, float(np.nanmax(whole)), float(np.nanmedian(whole)), 0.2):
+                i, j = blocks.likely(x, y, slice(0, 128), least)
+                held = blocks._measured(x, y, i, j)[2] >= least
+                assert sorted(zip(i[held].tolist(), j[held].tolist())) == sorted(zip(*(v.tolist() for v in np.nonzero(whole >= least))))
+    few = blocks.likely(x, y, slice(0, 128), 0.6)
+    assert 0 < len(few[0]) < 0.6 * whole.size
