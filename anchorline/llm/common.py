@@ -42,6 +42,15 @@ def saved(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def met(rows: DataFrame, others: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """rows.join(others, on, how) by a shuffle, whatever their size is taken for.
+
+    Spark takes exploded rows for as many as there were before, and a written table for as
+    large as its packed file; of either it would send many times its limit through the driver.
+    """
+    return rows.join(others.hint("merge"), on, how)
+
+
 def on_workers(spark: SparkSession) -> None:
     """Lets Python workers on this machine import the package from where the driver has it."""
     here = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

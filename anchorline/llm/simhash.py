@@ -120,7 +120,7 @@ def links(fps: DataFrame, distance: int = 3, block: int = 256) -> DataFrame:
         members.groupBy("key").agg(F.count("*").alias("n"), F.min("side").alias("low"), F.max("side").alias("high"), F.first("whole").alias("whole"))
         .where((F.col("n") > 1) & (F.col("whole") | (F.col("low") < F.col("high")))).select("key", "n")
     )
-    held = members.join(shared, "key").select("key", "fp", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    held = common.met(members, shared, "key").select("key", "fp", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     mine = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
     dealt = held.select("key", "fp", mine.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     grouped = dealt.select(F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("g"), "key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "fp")
@@ -159,7 +159,7 @@ def links(fps: DataFrame, distance: int = 3, block: int = 256) -> DataFrame:
 def joined(rows: DataFrame, small: DataFrame, by: str, other: str) -> DataFrame:
     """rows.join(small, by), where the rows of one value are dealt over SALTS tasks by ``other``."""
     dealt = small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return rows.withColumn("salt", F.pmod(F.xxhash64(other), F.lit(SALTS)).cast("int")).join(dealt, [by, "salt"]).drop("salt")
+    return common.met(rows.withColumn("salt", F.pmod(F.xxhash64(other), F.lit(SALTS)).cast("int")), dealt, [by, "salt"]).drop("salt")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -293,7 +293,7 @@ def near_prints(nodes: DataFrame) -> DataFrame:
     same = nodes.select("fp", "node").join(least, "fp").where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
     linked = links(least.select("fp"), DISTANCE)
     for end in "ab":
-        linked = linked.join(least.withColumnsRenamed({"fp": end, "least": f"least_{end}"}), end)
+        linked = common.met(linked, least.withColumnsRenamed({"fp": end, "least": f"least_{end}"}), end)
     return same.unionByName(linked.select(F.least("least_a", "least_b").alias("a"), F.greatest("least_a", "least_b").alias("b")))
 
 
@@ -315,7 +315,7 @@ def copies(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     stars = joined(held, middle, "band", "node").where("node <> middle").select(F.least("middle", "node").alias("a"), F.greatest("middle", "node").alias("b"))
     stars = common.saved(stars.unionByName(near_prints(nodes)).distinct(), "stars")
     met = stars.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = common.saved(sets_of(docs, nodes.join(met, "node", "left_semi").select("node", "first.*")), "sets")
+    sets = common.saved(sets_of(docs, common.met(nodes, met, "node", "left_semi").select("node", "first.*")), "sets")
     found = common.saved(similar(stars, sets), "links")
     rooted = components(found)
     at = common.saved(held.select("band", "node").join(rooted, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root")), "rooted")

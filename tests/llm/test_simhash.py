@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from anchorline.llm import simhash
 
@@ -170,3 +171,12 @@ def test_groups_without_a_middle_are_compared_in_blocks(spark, monkeypatch):
     held = [(i, i, np.array(sorted(s), np.uint64)) for i, s in sets.items()]
     found = simhash.forest(held)
     assert set(found) <= near and len(found) == len(sets) - len(set(root.values()))
+
+
+def test_exploded_rows_are_not_sent_through_the_driver(spark):
+    """Keys of fingerprints, 66 for each, and rows dealt over salts are more than Spark takes them for."""
+    fps = spark.createDataFrame([(i * 977,) for i in range(50)], "fp long")
+    edges = spark.createDataFrame([(i, i + 1) for i in range(9)], "a long, b long")
+    for df in (simhash.links(fps), simhash.joined(edges, edges.select("a", F.col("b").alias("m")), "a", "b")):
+        df.collect()
+        assert "BroadcastExchange" not in df._jdf.queryExecution().executedPlan().toString()
