@@ -153,7 +153,7 @@ def copies(sizes: DataFrame) -> DataFrame:
         here = out.where("part = 0 OR part = 1").select("s", "key", "known", F.col("part").cast("int").alias("more"))
         settled = here if settled is None else settled.unionByName(here)
         left = out.where("part > 0 AND part < 1")
-    found = units.join(settled, ["s", "key", "known"], "left")
+    found = common.met(units, settled, ["s", "key", "known"], "left")
     return found.select("s", "source", "key", "known", "source_size", "target", (F.col("whole") + F.coalesce("more", F.lit(0))).alias("copies"))
 
 

@@ -115,7 +115,7 @@ def repeated(docs: DataFrame, every: int = BREAK) -> DataFrame:
     """(_id, _tie, covered, firsts) for documents with later copies: (pos, n) of their spans, ids of the documents that come first."""
     each = all_spans(keys(docs.select("doc_id", "text")), every)
     twice = common.saved(each.groupBy("h1").agg(F.count("*").alias("c")).where("c > 1").select("h1"), "repeated")
-    held = common.saved(each.join(twice, "h1"), "spans")
+    held = common.saved(common.met(each, twice, "h1"), "spans")
     first = common.saved(held.groupBy("h1", "h2").agg(F.min(F.struct("id", "tie", "pos")).alias("first"), F.count("*").alias("c")).where("c > 1").drop("c"), "firsts")
     later = held.join(first, ["h1", "h2"]).where(F.struct("id", "tie", "pos") != F.col("first"))
     return later.groupBy(F.col("id").alias("_id"), F.col("tie").alias("_tie")).agg(F.collect_set(F.struct("pos", "n")).alias("covered"), F.array_sort(F.collect_set("first.id")).alias("firsts"))

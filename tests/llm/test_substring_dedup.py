@@ -107,3 +107,14 @@ def test_all_sentences_of_repeated_runs_go(spark):
     for r in rows:
         assert out[r[0]].text.lower().encode().split() == left[r]
     assert all(out[i].removed_words >= len(passages[i % 3].split()) for i in range(3, 30))
+
+
+def test_repeated_hashes_are_not_sent_through_the_driver(spark, monkeypatch):
+    """A packed file of hashes is many times as large once it is a table in memory."""
+    written, saved = [], sd.common.saved
+    monkeypatch.setattr(sd.common, "saved", lambda df, name, **o: written.append(df) or saved(df, name, **o))
+    text = " ".join(f"w{i}" for i in range(200))
+    sd.repeated(spark.createDataFrame([(1, text), (2, text)], DDL)).collect()
+    for df in written:
+        df.collect()
+        assert "BroadcastExchange" not in df._jdf.queryExecution().executedPlan().toString()
